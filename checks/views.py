@@ -244,30 +244,21 @@ VIEWS: dict[str, str] = {
             join region on n_regionkey = r_regionkey""",
 }
 
-_NAME = re.compile(r"\bv_[a-z_]+\b")
+_NAME = re.compile(r"\b[vq]_[a-z0-9_]+\b")
 
 
-def needed(text: str) -> list[str]:
-    """Views that `text` uses, directly or through other views, in definition order of use."""
+def with_views(statement: str, registry: dict[str, str] = VIEWS) -> str:
+    """`statement` behind a WITH list of the named queries it uses, each after those it uses itself."""
     order: list[str] = []
 
     def visit(sql: str) -> None:
         for name in dict.fromkeys(_NAME.findall(sql)):
-            if name in VIEWS and name not in order:
-                visit(VIEWS[name])
-                if name not in order:
-                    order.append(name)
+            if name in registry and name not in order:
+                visit(registry[name])
+                order.append(name)
 
-    visit(text)
-    return order
-
-
-def with_views(statement: str, extra: dict[str, str] | None = None) -> str:
-    """`statement` behind a WITH list of the views it needs, then of its own named steps."""
-    steps = extra or {}
-    names = needed(" ".join([*steps.values(), statement]))
-    parts = [f"{n} as ({VIEWS[n].strip()})" for n in names]
-    parts += [f"{n} as ({sql.strip()})" for n, sql in steps.items()]
+    visit(statement)
+    parts = [f"{name} as ({registry[name].strip()})" for name in order]
     return ("with " + ",\n".join(parts) + "\n" if parts else "") + statement.strip()
 
 

@@ -230,8 +230,8 @@ def _oriented(rows: DataFrame) -> DataFrame:
 
 def orient(earnings: DataFrame, terms: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Income and cost from the side taken: a buyer receives the market leg, a seller the contract leg."""
-    sides = _sides(terms)
-    return _oriented(earnings.join(sized(sides, broadcast_rows), ["deal_id", "product_id"]))
+    sides = sized(_sides(terms), broadcast_rows)
+    return _oriented(earnings.drop("buy").join(sides, ["deal_id", "product_id"]))
 
 
 def settle_book(
