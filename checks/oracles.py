@@ -242,13 +242,13 @@ STEPS: dict[str, str] = {
             left join v_markets m on i.marketid = m.id left join v_nodes n on p.nodeid = n.id
         where b.active = 'Y'""",
     "q_retail_rates": """
-        select product_id, from_date, least(coalesce(lead(from_date - 1) over (
-                partition by product_id, code, day_type, period_id order by from_date), date '9999-12-31'), enddate) to_date,
-            jurisdiction_id, day_type, period_id, rate
-        from v_rate_profiles_raw join (select id, enddate from v_products) on id = product_id
-            join (select distinct product_id, jurisdiction_id from v_halfhour join v_jurisdiction using (jurisdiction))
-                using (product_id)
-        where code = 'R' and interval_minutes = 5""",
+        select product_id, from_date, least(next_from - 1, enddate) to_date, jurisdiction_id, day_type, period_id, rate
+        from (select *, coalesce(lead(from_date) over (partition by product_id, code, day_type, period_id
+                order by from_date), date '9999-12-31') next_from
+            from v_rate_profiles_raw where code = 'R' and interval_minutes = 5)
+        join (select id, enddate from v_products) on id = product_id
+        join (select distinct product_id, jurisdiction_id from v_halfhour join v_jurisdiction using (jurisdiction))
+            using (product_id)""",
     "q_day_types": """
         select distinct interval_date, jurisdiction_id, period_id, day_of_week, holiday_name is not null public_holiday,
             case when holiday_name is not null or day_of_week = 7 then 'S' when day_of_week = 6 then '6' else 'W' end day_type

@@ -102,6 +102,39 @@ def expand_to_dates(
     )
 
 
+def clip_to_dates(
+    ranges: DataFrame, calendar: DataFrame, start: str = "start_date", end: str = "end_date"
+) -> DataFrame:
+    """Each range cut to its first and last calendar date; ranges without one are dropped.
+
+    The same as expanding to dates and taking their bounds, without the dates: every day of
+    the calendar's span knows the calendar date at or after it and at or before it, and a
+    range looks up its two ends. The lookup has one row per day of the span.
+    """
+    days = calendar.select("interval_date").distinct()
+    first = days.select(F.min("interval_date")).scalar()
+    last = days.select(F.max("interval_date")).scalar()
+    onward = Window.orderBy("day").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    so_far = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    span = days.agg(F.min("interval_date").alias("a"), F.max("interval_date").alias("b")).select(
+        F.explode(F.sequence("a", "b")).alias("day")
+    )
+    ends = span.join(days, F.col("day") == F.col("interval_date"), "left").select(
+        "day", F.min("interval_date").over(onward).alias("next"), F.max("interval_date").over(so_far).alias("previous")
+    )
+    opening = F.broadcast(ends.select(F.col("day").alias("_from"), F.col("next").alias("_opens")))
+    closing = F.broadcast(ends.select(F.col("day").alias("_to"), F.col("previous").alias("_closes")))
+    return (
+        ranges.withColumn("_from", F.greatest(F.col(start), first))
+        .withColumn("_to", F.least(F.col(end), last))
+        .where(F.col(start).isNotNull() & F.col(end).isNotNull())
+        .join(opening, "_from").join(closing, "_to")
+        .where(F.col("_opens") <= F.col("_closes"))
+        .withColumn(start, F.col("_opens")).withColumn(end, F.col("_closes"))
+        .drop("_from", "_to", "_opens", "_closes")
+    )
+
+
 def horizon_filter(calendar: DataFrame, as_of: date, days: int = HORIZON_DAYS) -> DataFrame:
     """Calendar rows from `as_of` to `as_of + days`, both included."""
     return calendar.where(

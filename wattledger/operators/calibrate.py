@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattledger.functions.money import CAP_STRIKE, MARKET_PRICE_CAP, at_least, at_most
-from wattledger.functions.plans import cut, first_in_group, sized
+from wattledger.functions.plans import BROADCAST_ROWS, cut, first_in_group, sized
 from wattledger.functions.timegrid import quarter_of, year_of
 from wattledger.operators.calendar import expand_to_dates
 
@@ -155,30 +155,33 @@ def apply_energy_adjustment(
     number per round, the mean absolute error. Groups without futures leave with the first
     round; a path that already agrees is returned as it is.
     """
-    base = cut(_with_quarter(path.select(*PATH)))
-    target = cut(_target(futures, regions, "energy_boq"))
-    factors = None
-    current = base.withColumn("price", F.col("rrp"))
+    target = _target(futures, regions, "energy_boq").withColumn("listed", F.lit(True))
+    base = cut(_with_quarter(path.select(*PATH)).join(target, GROUP, "left"))
+    current = base.withColumn("factors", F.array().cast("array<double>")).withColumn("price", F.col("rrp"))
     for _ in range(max_iterations):
-        means = current.groupBy(*GROUP).agg(
-            F.avg(at_most(at_least(F.col("price"), F.lit(0.0)), F.lit(strike))).alias("middle"),
-            F.avg(at_most(F.col("price"), F.lit(0.0))).alias("negative"),
-        )
         gap = F.col("target") - F.col("negative")
-        measured = means.join(target, GROUP).select(
-            *GROUP,
-            F.try_divide(gap, F.col("middle")).alias("factor"),
-            F.abs(gap - F.col("middle")).alias("error"),
+        measured = cut(
+            current.where("listed")
+            .groupBy(*GROUP)
+            .agg(
+                F.avg(at_most(at_least(F.col("price"), F.lit(0.0)), F.lit(strike))).alias("middle"),
+                F.avg(at_most(F.col("price"), F.lit(0.0))).alias("negative"),
+                F.any_value("target").alias("target"),
+                F.any_value("factors").alias("factors"),
+            )
+            .select(
+                *GROUP,
+                F.abs(gap - F.col("middle")).alias("error"),
+                F.concat("factors", F.array(F.try_divide(gap, F.col("middle")))).alias("factors"),
+            )
         )
-        if factors is not None:
-            measured = measured.join(factors, GROUP)
-        measured = cut(measured)
-        error = measured.agg(F.avg("error")).first()[0]
+        error, groups = measured.agg(F.avg("error"), F.count(F.lit(1))).first()
         if error is None or error < tolerance:
             break
-        earlier = F.array().cast("array<double>") if factors is None else F.col("factors")
-        factors = measured.select(*GROUP, F.concat(earlier, F.array("factor")).alias("factors"))
-        current = base.join(sized(factors), GROUP).withColumn(
+        # One row per quarter and region, just counted.
+        factors = measured.select(*GROUP, "factors")
+        factors = F.broadcast(factors) if groups <= BROADCAST_ROWS else factors.hint("merge")
+        current = base.join(factors, GROUP).withColumn(
             "price", _replayed(F.col("rrp"), F.col("factors"), strike)
         )
     return current.select(*PATH[:-1], F.col("price").alias("rrp"))

@@ -119,33 +119,43 @@ def generation_profiles(
 
     Availability comes first, then metered output, then the regional capacity factor by unit
     size; MWh after the latest loss factors. Only readings are moved: the three sources are
-    stacked per unit and interval and folded in one aggregate, so a unit and an interval
-    without any reading never meet. Telemetry is taken as one reading per unit and interval,
-    the highest where a source has several.
+    stacked per plant (meter, region, fuel) and interval and folded in one aggregate, so a
+    plant and an interval without any reading never meet. Contracts of the same plant share
+    that work and are told apart in the last step. Telemetry is taken as one reading per unit
+    and interval, the highest where a source has several.
     """
-    unit = units.select("deal_id", "product_id", "duid", "region_number", "fuel", "size_mw")
+    plant = ["duid", "region_number", "fuel"]
     reading = ["availability", "scadavalue", "regional_capacity_factor"]
+    small = sized(units.select("product_id", *plant, "size_mw"))
+    plants = small.select(*plant).distinct()
 
     def stack(df: DataFrame, present: str) -> DataFrame:
         return df.select(
-            *unit.columns, *DAY_PARTS,
+            *plant, *DAY_PARTS,
             *[(F.col(c) if c == present else F.lit(None)).cast("double").alias(c) for c in reading],
         )
 
-    small = sized(unit)
     stacked = (
-        stack(unit_availability(dispatch, units).join(small, "duid"), "availability")
-        .unionByName(stack(unit_actuals(scada, units).join(small, "duid"), "scadavalue"))
+        stack(unit_availability(dispatch, units).join(plants, "duid"), "availability")
+        .unionByName(stack(unit_actuals(scada, units).join(plants, "duid"), "scadavalue"))
         .unionByName(
-            stack(regional_capacity_long(capacity).join(small, ["region_number", "fuel"]), "regional_capacity_factor")
+            stack(regional_capacity_long(capacity).join(plants, ["region_number", "fuel"]), "regional_capacity_factor")
         )
     )
-    folded = stacked.groupBy(*unit.columns, *DAY_PARTS).agg(*[F.max(c).alias(c) for c in reading])
+    folded = stacked.groupBy(*plant, *DAY_PARTS).agg(*[F.max(c).alias(c) for c in reading])
     years = details.select("model_id", F.col("gen_reference_year").alias("year")).distinct()
     intervals = calendar.select(*DAY_PARTS).distinct().join(years, "year")
+    metered = folded.join(intervals, DAY_PARTS).join(latest_loss_factors(unit_detail, units), "duid", "left")
+    contract = small.select(
+        "product_id", "size_mw", F.col("duid").alias("_duid"), F.col("region_number").alias("_region"),
+        F.col("fuel").alias("_fuel"),
+    )
+    # A contract without a meter has no duid and is matched all the same.
+    same_plant = (
+        F.col("duid").eqNullSafe(F.col("_duid")) & (F.col("region_number") == F.col("_region")) & (F.col("fuel") == F.col("_fuel"))
+    )
     return (
-        folded.join(intervals, DAY_PARTS)
-        .join(latest_loss_factors(unit_detail, units), "duid", "left")
+        metered.join(contract, same_plant)
         .withColumn(
             "generation_mwh",
             F.coalesce("availability", "scadavalue", F.col("regional_capacity_factor") * F.col("size_mw"))

@@ -19,11 +19,11 @@ SETTLED = ["deal_id", "product_id", "instrument_id", *INTERVAL]
 
 
 def _under_contract(
-    facts: DataFrame, terms: DataFrame, key: str, values: list[str], broadcast_rows: int
+    facts: DataFrame, terms: DataFrame, key: str, values: list[str], small: bool
 ) -> DataFrame:
     """Fact rows with each contract that covers them: equal `key`, date inside the contract.
 
-    A contract list of checked size is broadcast and the facts are not shuffled. A larger one
+    A `small` contract list, counted by the caller, is broadcast and the facts are not shuffled. A larger one
     is spread over its dates (one row per contract and day, 1/288 of the rows it will match)
     and joined on key and date, so a product or region that owns much of the table is divided
     over its days; adaptive execution splits what is still skewed.
@@ -33,7 +33,7 @@ def _under_contract(
     shared = {c for c in contract.columns if c in facts.columns and c != key}
     contract = contract.drop(*shared)
     covered = F.col("interval_date").between(F.col("start_date"), F.col("end_date"))
-    if fits(contract, broadcast_rows):
+    if small:
         return facts.join(F.broadcast(contract), key).where(covered).drop("start_date", "end_date")
     dates = facts.select(F.min("interval_date").alias("first"), F.max("interval_date").alias("last"))
     first, last = dates.select("first").scalar(), dates.select("last").scalar()
@@ -55,9 +55,9 @@ def _settled(rows: DataFrame, volume: Column, buy: Column, sell: Column) -> Data
     )
 
 
-def _generation_energy(terms, generation, prices, buy, sell, broadcast_rows) -> DataFrame:
+def _generation_energy(terms, generation, prices, buy, sell, small) -> DataFrame:
     values = ["quantity", "price", "floor", "tolling_fee"]
-    rows = _under_contract(generation, terms, "product_id", values, broadcast_rows).join(prices, INTERVAL)
+    rows = _under_contract(generation, terms, "product_id", values, small).join(prices, INTERVAL)
     return _settled(rows, F.col("generation_mwh") * F.col("quantity"), buy, sell)
 
 
@@ -85,14 +85,18 @@ def ppa_energy(
     terms: DataFrame, generation: DataFrame, prices: DataFrame, broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
     """Offtake energy: a share of the generation, spot (not under the floor) against contract price."""
-    return _generation_energy(terms, generation, prices, _floored_spot(), _contract_price(), broadcast_rows)
+    return _generation_energy(
+        terms, generation, prices, _floored_spot(), _contract_price(), fits(terms, broadcast_rows)
+    )
 
 
 def asset_toll_energy(
     terms: DataFrame, generation: DataFrame, prices: DataFrame, broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
     """Tolled asset: its generation at spot against a daily fee, an even part of it per interval."""
-    return _generation_energy(terms, generation, prices, _spot(), _daily_fee(), broadcast_rows)
+    return _generation_energy(
+        terms, generation, prices, _spot(), _daily_fee(), fits(terms, broadcast_rows)
+    )
 
 
 def retail_energy(
@@ -103,10 +107,14 @@ def retail_energy(
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Retail energy: load at spot against load at the retail rate, summed over jurisdictions."""
+    return _retail_energy(terms, load, prices, rates, fits(terms, broadcast_rows))
+
+
+def _retail_energy(terms, load, prices, rates, small) -> DataFrame:
     # Contracts first: they keep only retail products before anything is shuffled. The region
     # of the load, not of the contract, decides the price.
     rows = (
-        _under_contract(load, terms, "product_id", [], broadcast_rows)
+        _under_contract(load, terms, "product_id", [], small)
         .join(rates, ["product_id", "jurisdiction_id", "interval_date", "period_id"])
         .join(prices, INTERVAL)
     )
@@ -118,8 +126,8 @@ def retail_energy(
     )
 
 
-def _flat(terms, prices, buy, broadcast_rows) -> DataFrame:
-    rows = _under_contract(prices, terms, "region_number", ["quantity", "price", "strike"], broadcast_rows)
+def _flat(terms, prices, buy, small) -> DataFrame:
+    rows = _under_contract(prices, terms, "region_number", ["quantity", "price", "strike"], small)
     return _settled(rows, F.col("quantity") / INTERVALS_PER_HOUR, buy, _contract_price())
 
 
@@ -127,21 +135,21 @@ def flat_energy_swap(
     terms: DataFrame, prices: DataFrame, broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
     """Flat swap: constant MW at spot against the contract price."""
-    return _flat(terms, prices, _spot(), broadcast_rows)
+    return _flat(terms, prices, _spot(), fits(terms, broadcast_rows))
 
 
 def flat_energy_cap(
     terms: DataFrame, prices: DataFrame, broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
     """Flat cap: constant MW at the spot price above the strike against the premium."""
-    return _flat(terms, prices, _spot_over("strike"), broadcast_rows)
+    return _flat(terms, prices, _spot_over("strike"), fits(terms, broadcast_rows))
 
 
-def _profiled(terms, shapes, prices, buy, broadcast_rows) -> DataFrame:
+def _profiled(terms, shapes, prices, buy, small) -> DataFrame:
     shape = shapes.select(
         "product_id", "interval_date", "period_id", "volume_factor", F.col("strike").alias("shape_strike")
     )
-    rows = _under_contract(shape, terms, "product_id", ["quantity", "price"], broadcast_rows).join(prices, INTERVAL)
+    rows = _under_contract(shape, terms, "product_id", ["quantity", "price"], small).join(prices, INTERVAL)
     volume = F.col("quantity") / INTERVALS_PER_HOUR * F.col("volume_factor")
     return _settled(rows, volume, buy, _contract_price())
 
@@ -150,14 +158,14 @@ def profiled_energy_swap(
     terms: DataFrame, shapes: DataFrame, prices: DataFrame, broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
     """Profiled swap: MW by the product's shape, at spot against the contract price."""
-    return _profiled(terms, shapes, prices, _spot(), broadcast_rows)
+    return _profiled(terms, shapes, prices, _spot(), fits(terms, broadcast_rows))
 
 
 def profiled_energy_cap(
     terms: DataFrame, shapes: DataFrame, prices: DataFrame, broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
     """Profiled cap: as the swap, paid above the strike of the shape."""
-    return _profiled(terms, shapes, prices, _spot_over("shape_strike"), broadcast_rows)
+    return _profiled(terms, shapes, prices, _spot_over("shape_strike"), fits(terms, broadcast_rows))
 
 
 def _certificates(rows: DataFrame, market: DataFrame, volume: Column) -> DataFrame:
@@ -174,8 +182,12 @@ def generation_lgc(
     terms: DataFrame, generation: DataFrame, certificates: DataFrame, broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
     """Offtake certificates: a share of the generation at the market price against the contract's."""
+    return _generation_lgc(terms, generation, certificates, fits(terms, broadcast_rows))
+
+
+def _generation_lgc(terms, generation, certificates, small) -> DataFrame:
     values = ["quantity", "lgc_price", "lgc_percentage"]
-    rows = _under_contract(generation, terms, "product_id", values, broadcast_rows)
+    rows = _under_contract(generation, terms, "product_id", values, small)
     volume = F.col("generation_mwh") * F.col("quantity") * F.col("lgc_percentage")
     return _certificates(rows, certificates, volume)
 
@@ -184,7 +196,11 @@ def retail_lgc(
     terms: DataFrame, load: DataFrame, certificates: DataFrame, broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
     """Retail certificates: a share of the load; one row per jurisdiction of the load."""
-    rows = _under_contract(load, terms, "product_id", ["lgc_price", "lgc_percentage"], broadcast_rows)
+    return _retail_lgc(terms, load, certificates, fits(terms, broadcast_rows))
+
+
+def _retail_lgc(terms, load, certificates, small) -> DataFrame:
+    rows = _under_contract(load, terms, "product_id", ["lgc_price", "lgc_percentage"], small)
     return _certificates(rows, certificates, F.col("load_mwh") * F.col("lgc_percentage"))
 
 
@@ -196,10 +212,14 @@ def apply_turndown(
     `turndowns` are the terms that have one. A product with a turndown keeps only the rows
     inside its dates; only such products are joined to prices.
     """
+    return _turned_down(generation, turndowns, prices, fits(turndowns, broadcast_rows))
+
+
+def _turned_down(generation, turndowns, prices, small) -> DataFrame:
     limits = turndowns.where(F.col("turndown").isNotNull()).select(
         "product_id", "region_number", "start_date", "end_date", "turndown"
     )
-    limits = sized(limits, broadcast_rows)
+    limits = F.broadcast(limits) if small else limits.hint("merge")
     columns = ["product_id", "interval_date", "period_id", "generation_mwh"]
     free = generation.join(limits.select("product_id").distinct(), "product_id", "left_anti").select(*columns)
     limited = (
@@ -250,9 +270,11 @@ def settle_book(
     nine instruments), and the side of each contract is attached to the terms, not to the
     interval rows. `terms` carries `instrument` and `instrument_id`.
     """
+    # The book fits when all of it does: its parts are then small too.
+    small = fits(terms, broadcast_rows)
     sided = terms.drop("buy").join(_sides(terms), ["deal_id", "product_id"])
     # Turndown applies to generation before any contract sees it.
-    metered = apply_turndown(generation, terms, prices, broadcast_rows)
+    metered = _turned_down(generation, terms, prices, small)
 
     def of(*instruments: str) -> DataFrame:
         return sided.where(F.col("instrument").isin(*instruments))
@@ -263,20 +285,20 @@ def settle_book(
             of("ppa_energy", "asset_toll_energy"), metered, prices,
             F.when(name == "ppa_energy", _floored_spot()).otherwise(_spot()),
             F.when(name == "ppa_energy", _contract_price()).otherwise(_daily_fee()),
-            broadcast_rows,
+            small,
         ),
-        generation_lgc(of("generation_lgc"), metered, certificates, broadcast_rows),
-        retail_energy(of("retail_energy"), load, prices, rates, broadcast_rows),
-        retail_lgc(of("retail_lgc"), load, certificates, broadcast_rows),
+        _generation_lgc(of("generation_lgc"), metered, certificates, small),
+        _retail_energy(of("retail_energy"), load, prices, rates, small),
+        _retail_lgc(of("retail_lgc"), load, certificates, small),
         _flat(
             of("flat_energy_swap", "flat_energy_cap"), prices,
             F.when(name == "flat_energy_swap", _spot()).otherwise(_spot_over("strike")),
-            broadcast_rows,
+            small,
         ),
         _profiled(
             of("profiled_energy_swap", "profiled_energy_cap"), shapes, prices,
             F.when(name == "profiled_energy_swap", _spot()).otherwise(_spot_over("shape_strike")),
-            broadcast_rows,
+            small,
         ),
     ]
     book = _oriented(passes[0])

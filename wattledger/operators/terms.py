@@ -1,7 +1,8 @@
 """Settlement terms: one typed row per contract, instrument and validity range.
 
-Contracts are spread over the dates of the horizon inside each task and grouped back right
-away, so the dates are folded up before the shuffle.
+Where values change by date, contracts are spread over the dates of the horizon inside each
+task and grouped back right away, so the dates are folded up before the shuffle. Where they
+do not, only the ends of the range are looked up.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattledger.operators.calendar import compact_ranges, expand_to_dates
+from wattledger.operators.calendar import clip_to_dates, compact_ranges, expand_to_dates
 from wattledger.operators.trades import with_region_number
 
 TERM_VALUES = (
@@ -100,38 +101,52 @@ def ppa_certificate_terms(
     )
 
 
-def _retail(trades: DataFrame, regions: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Daily rows of the retail customers."""
+def _widest(ranges: DataFrame, keys: list[str]) -> DataFrame:
+    """First start and last end of each attribute combination."""
+    return ranges.groupBy(*keys).agg(
+        F.min("product_start_date").alias("start_date"), F.max("product_end_date").alias("end_date")
+    )
+
+
+def _retail(trades: DataFrame, regions: DataFrame) -> DataFrame:
+    """The retail customers with region number and the dates of their product."""
     customers = (
         trades.where(F.col("instrument") == "Retail Customer")
         .select("deal_id", "product_id", "buy_sell", "regionid", "product_start_date", "product_end_date")
         .distinct()
     )
-    return expand_to_dates(
-        with_region_number(customers, regions), calendar, "product_start_date", "product_end_date"
-    )
+    return with_region_number(customers, regions)
 
 
 def retail_energy_terms(trades: DataFrame, regions: DataFrame, calendar: DataFrame) -> DataFrame:
     """Retail energy: the product's dates, priced by the rate calendar."""
-    keys = ["deal_id", "product_id", "buy_sell", "region_number"]
-    return _terms(compact_ranges(_retail(trades, regions, calendar), keys), "retail_energy")
+    ranges = clip_to_dates(_retail(trades, regions), calendar, "product_start_date", "product_end_date")
+    return _terms(_widest(ranges, ["deal_id", "product_id", "buy_sell", "region_number"]), "retail_energy")
 
 
 def retail_certificate_terms(
     trades: DataFrame, regions: DataFrame, rates: DataFrame, calendar: DataFrame
 ) -> DataFrame:
-    """Retail certificates: one row per certificate price and percentage of the product."""
-    daily = (
-        _retail(trades, regions, calendar)
-        .join(rates, ["product_id", "interval_date"])
+    """Retail certificates: one row per certificate price and percentage of the product.
+
+    The dates belong to the product, so rates are folded up per product before its deals,
+    however many, are joined.
+    """
+    customers = _retail(trades, regions)
+    product = ["product_id", "product_start_date", "product_end_date"]
+    rated = (
+        rates.join(calendar.select("interval_date").distinct(), "interval_date", "left_semi")
+        .join(customers.select(*product).distinct(), "product_id")
+        .where(F.col("interval_date").between(F.col("product_start_date"), F.col("product_end_date")))
         .withColumn("lgc_price", F.coalesce("lgc_price", F.lit(0.0)))
         .withColumn("lgc_percentage", F.coalesce("lgc_percentage", F.lit(0.0)))
     )
+    ranges = compact_ranges(rated, [*product, "lgc_price", "lgc_percentage"])
     keys = ["deal_id", "product_id", "buy_sell", "region_number", "lgc_price", "lgc_percentage"]
-    return _terms(
-        compact_ranges(daily, keys), "retail_lgc", lgc_price="lgc_price", lgc_percentage="lgc_percentage"
+    held = customers.join(ranges, product).groupBy(*keys).agg(
+        F.min("start_date").alias("start_date"), F.max("end_date").alias("end_date")
     )
+    return _terms(held, "retail_lgc", lgc_price="lgc_price", lgc_percentage="lgc_percentage")
 
 
 def wholesale_terms(
@@ -154,11 +169,8 @@ def wholesale_terms(
         )
         .distinct()
     )
-    daily = expand_to_dates(
-        with_region_number(firm, regions), calendar, "product_start_date", "product_end_date"
-    )
-    ranges = compact_ranges(
-        daily,
+    ranges = _widest(
+        clip_to_dates(with_region_number(firm, regions), calendar, "product_start_date", "product_end_date"),
         ["product_id", "instrument_calculation", "deal_id", "buy_sell", "region_number", "quantity", "price", "strike_price"],
     )
     shaped = shapes.select("product_id", F.col("volume_factor").isNotNull().alias("shaped")).distinct()

@@ -81,16 +81,14 @@ def trade_star(
             "instrument", "instrument_calculation", "market",
         )
     )
-    joined = legs.join(deal, legs["dealid"] == deal["deal_id"]).join(
-        product, legs["productid"] == product["product_id"], "left"
-    )
-    return numbered_in_chunks(
-        joined,
+    numbered = numbered_in_chunks(
+        legs.join(deal, legs["dealid"] == deal["deal_id"]),
         ["deal_id"],
         F.to_date("transferdate"),
         [F.col("transferdate"), *[F.col(c) for c in leg_order]],
         "leg_number",
-    ).select(
+    )
+    return numbered.join(product, F.col("productid") == F.col("product_id"), "left").select(
         "deal_id", "deal_name", "leg_number", "product_id", "product_name", "buy_sell", "deal_date",
         "status", "product_schedule", "product_start_date", "product_end_date", "product_term",
         "optionality", "option_code", "option_type", "option_price", "quantity", "price", "brokerage",
