@@ -267,6 +267,11 @@ class Inputs:
 
     def __init__(self, spark, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        # One temporary view per table and folder: the footers are read once per session.
+        self._tag = re.sub(r"\W", "_", sf_dir)
+        for table in BASE_TABLES:
+            if not spark.catalog.tableExists(f"{table}{self._tag}"):
+                spark.read.parquet(f"{sf_dir}/{table}.parquet").createTempView(f"{table}{self._tag}")
 
     def __getattr__(self, name: str):
         return self.sql(f"select * from v_{name}")
@@ -276,7 +281,7 @@ class Inputs:
         for table in BASE_TABLES:
             text = re.sub(
                 rf"\b(from|join)\s+{table}\b(?!\s*\.)",
-                rf"\1 parquet.`{self.sf_dir}/{table}.parquet` as {table}",
+                rf"\1 {table}{self._tag} as {table}",
                 text,
             )
         return self.spark.sql(text)

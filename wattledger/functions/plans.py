@@ -63,26 +63,18 @@ def numbered_in_chunks(
 
     Each (keys, chunk) is numbered on its own; the rows of the earlier chunks are added from
     per-chunk counts, which are combined before they are shuffled. A key that owns a third of
-    the table is spread over its chunks. The rows themselves are shuffled once.
+    the table is spread over its chunks. The rows themselves are shuffled once, for the window
+    and the join alike. Keys and chunk must not be null.
     """
     chunked = df.withColumn("_chunk", chunk)
     earlier = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        chunked.groupBy(*keys, "_chunk")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select(
-            *[F.col(k).alias(f"_{k}") for k in keys],
-            F.col("_chunk").alias("_in_chunk"),
-            F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
-        )
+        chunked.groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_rows"))
+        .select(*keys, "_chunk", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
     )
     within = F.row_number().over(Window.partitionBy(*keys, "_chunk").orderBy(*order))
-    same = F.col("_chunk").eqNullSafe(F.col("_in_chunk"))
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
     return (
         chunked.withColumn("_within", within)
-        .join(offsets, same)
-        .withColumn(name, (F.col("_within") + F.col("_before")).cast("int"))
-        .select(*df.columns, name)
+        .join(offsets, [*keys, "_chunk"])
+        .select(*df.columns, (F.col("_within") + F.col("_before")).cast("int").alias(name))
     )

@@ -81,14 +81,17 @@ def trade_star(
             "instrument", "instrument_calculation", "market",
         )
     )
+    # A deal is in an active book with all its legs or with none, so legs can be numbered alone.
     numbered = numbered_in_chunks(
-        legs.join(deal, legs["dealid"] == deal["deal_id"]),
-        ["deal_id"],
-        F.to_date("transferdate"),
+        legs.where(F.col("dealid").isNotNull()),
+        ["dealid"],
+        # Legs without a date come first, as they would in the order itself.
+        F.coalesce(F.to_date("transferdate"), F.to_date(F.lit("0001-01-01"))),
         [F.col("transferdate"), *[F.col(c) for c in leg_order]],
         "leg_number",
     )
-    return numbered.join(product, F.col("productid") == F.col("product_id"), "left").select(
+    own = numbered.join(deal, F.col("dealid") == F.col("deal_id"))
+    return own.join(product, F.col("productid") == F.col("product_id"), "left").select(
         "deal_id", "deal_name", "leg_number", "product_id", "product_name", "buy_sell", "deal_date",
         "status", "product_schedule", "product_start_date", "product_end_date", "product_term",
         "optionality", "option_code", "option_type", "option_price", "quantity", "price", "brokerage",
