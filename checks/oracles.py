@@ -460,10 +460,10 @@ def check(table: str, name: str, required: str, key: str, parents: dict[str, tup
     rows.append(
         f"select '{name}', 'unique', '{key}', count(*) from (select {key} from {table} group by {key} having count(*) > 1)"
     )
-    for label, (column, parent) in parents.items():
+    for label, (columns, parent) in parents.items():
         rows.append(
-            f"select '{name}', 'reference', '{column}->{label}', count(*) from {table}"
-            f" where {column} is not null and {column} not in (select {column} from {parent})"
+            f"select '{name}', 'reference', '{columns}->{label}', count(*)"
+            f" from {table} anti join (select distinct {columns} from {parent}) using ({columns})"
         )
     return rows
 
@@ -475,10 +475,10 @@ def terms(source: str) -> str:
 STATEMENTS: dict[str, str] = {
     "k1_check_contract": " union all ".join(
         check(
-            "v_load_profile", "load_profiles",
-            "model_id product_id jurisdiction_id year month_id day_id period_id load_mwh",
-            "product_id,jurisdiction_id,year,month_id,day_id,period_id",
-            {"models": ("model_id", "v_models"), "jurisdictions": ("jurisdiction_id", "v_jurisdiction")},
+            "v_sims", "scenario_prices", "model_id sample_id interval_date period_id region_number rrp",
+            "interval_date,period_id,region_number",
+            {"models": ("model_id", "v_models"), "sample_details": ("model_id,sample_id", "v_samples"),
+             "regions": ("region_number", "v_region")},
         )
         + check(
             "v_terms", "settlement_terms", "deal_id product_id instrument buy region_number start_date end_date",
@@ -581,7 +581,7 @@ STATEMENTS: dict[str, str] = {
                 using (duid, year, month_id, day_id, period_id)
             left join q_capacity using (region_number, year, month_id, day_id, period_id, fuel)
             left join q_unit_loss using (duid)
-            where year = 2024)
+            where year in (select gen_reference_year + 27 from v_samples))
         where generation_mwh is not null""",
     "p8_load_profiles": f"""
         select model_id, product_id, jurisdiction_id, year, month_id, day_id, period_id,

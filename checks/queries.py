@@ -165,8 +165,9 @@ def _(i):
         ("product_id", "interval_date"), {("product_id",): "products"},
     )
     checks = {
-        "load_profiles": check_contract(
-            i.load_profile, TABLES["load_profiles"], {"models": i.models, "jurisdictions": i.jurisdiction}
+        # Several samples share an interval here, so the key of the one chosen path is repeated.
+        "scenario_prices": check_contract(
+            i.sims, TABLES["scenario_prices"], {"models": i.models, "sample_details": i.samples, "regions": i.region}
         ),
         "settlement_terms": check_contract(i.terms, TABLES["settlement_terms"], {"regions": i.region}),
         "certificate_rates": check_contract(
@@ -445,7 +446,8 @@ def _(i):
 
 @query("p7_generation_profiles")
 def _(i):
-    details = i.samples.withColumn("gen_reference_year", F.lit(2024))
+    # Reference years 2022 to 2024; the clock has 2024.
+    details = i.samples.withColumn("gen_reference_year", F.col("gen_reference_year") + 27)
     return cents(
         profiles.generation_profiles(i.clock, details, i.units, scada(i), availability(i), i.capacity, i.unit_detail),
         "generation_mwh",

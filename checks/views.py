@@ -39,7 +39,7 @@ VIEWS: dict[str, str] = {
         from v_dates join v_jurisdiction on day_id = jurisdiction_id + 1""",
     "v_models": "select * from (values (1, 'base'), (2, 'unused')) m(model_id, model_name)",
     "v_sims": """
-        select 1 model_id, cast(o_custkey % 6 as int) sample_id, cast(o_orderdate as date) interval_date,
+        select cast(length(o_orderstatus) as int) model_id, cast(o_custkey % 6 as int) sample_id, cast(o_orderdate as date) interval_date,
             cast(o_orderkey % 4 + 1 as int) period_id, cast(n_regionkey + 1 as int) region_number,
             min(o_totalprice) / 500.0 - 50 rrp
         from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey

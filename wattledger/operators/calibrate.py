@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from wattledger.functions.money import CAP_STRIKE, MARKET_PRICE_CAP, at_least, at_most
 from wattledger.functions.plans import BROADCAST_ROWS, cut, first_in_group, sized
 from wattledger.functions.timegrid import quarter_of, year_of
-from wattledger.operators.calendar import expand_to_dates
 
 PATH = ["model_id", "sample_id", "interval_date", "period_id", "region_number", "rrp"]
 GROUP = ["year", "quarter", "region_number"]
@@ -45,9 +44,9 @@ def best_samples(
     are averaged where they are read; only one row per sample, region and quarter moves on.
     """
     ahead = sims.where(F.col("interval_date") >= F.lit(as_of))
-    dates = ahead.select("interval_date").distinct()
-    certificate = expand_to_dates(curve, dates, "period_start", "period_end").select(
-        "interval_date", F.col("price").alias("lgc_price")
+    certificate = curve.where(F.col("period_end") >= F.lit(as_of)).select(
+        F.explode(F.sequence(F.greatest("period_start", F.lit(as_of)), "period_end")).alias("interval_date"),
+        F.col("price").alias("lgc_price"),
     )
     bounded = (
         F.when(F.col("rrp") < -F.col("lgc_price"), -F.col("lgc_price"))
