@@ -1,0 +1,69 @@
+from itertools import product
+from math import ceil
+
+import numpy as np
+import pytest
+
+from wattledger.operators import dispatch
+
+
+def check_limits(prices, capacity, duration, rte, hours, cycles=1.0):
+    d, c, metered, level = dispatch.solve(np.array(prices, dtype=float), capacity, duration, rte, hours, cycles)
+    eps = 1e-6
+    assert (d >= -eps).all() and (c >= -eps).all() and (d + c <= capacity + eps).all()
+    change = (np.append(0, level[:-1]) + ((c + np.append(0, c[:-1])) * rte - (d + np.append(0, d[:-1]))) * hours / 2)
+    assert np.allclose(level, change, atol=1e-6)
+    assert (level >= -eps).all() and (level <= capacity * duration + eps).all() and abs(level[-1]) < 1e-6
+    assert d.sum() * hours / (capacity * duration) <= ceil(cycles * len(prices) * hours / 24) + 1e-6
+    assert np.allclose(metered, (d + np.append(0, d[:-1]) - c - np.append(0, c[:-1])) * hours / 2)
+    return d, c, metered, level
+
+
+def test_flat_prices_rest():
+    d, c, *_ = check_limits([50] * 12, 100, 2, 0.81, 1)
+    assert d.sum() == 0 and c.sum() == 0
+
+
+def test_one_cheap_and_one_dear_interval_make_one_cycle():
+    prices = [50, 0, 0, 50, 50, 500, 500, 50]
+    d, c, metered, _ = check_limits(prices, 100, 1, 0.81, 1)
+    assert d.sum() == pytest.approx(100) and (np.array(prices) * metered).sum() > 0
+    assert d.argmax() in (4, 5) and c.argmax() in (0, 1)
+
+
+def test_cycle_limit_binds():
+    prices = [0, 0, 400, 400] * 6
+    d, *_ = check_limits(prices, 100, 1, 0.9, 1)
+    assert d.sum() / 100 <= 1 + 1e-9 and d.sum() > 0
+    more, *_ = check_limits(prices, 100, 1, 0.9, 1, cycles=5)
+    assert more.sum() > d.sum()
+
+
+def test_random_traces_stay_inside_all_limits():
+    rng = np.random.default_rng(7)
+    for capacity, duration, hours in ((111, 2.6, 1 / 12), (100, 12, 6), (10, 0.5, 1)):
+        check_limits(rng.normal(60, 120, 150), capacity, duration, 0.81, hours)
+
+
+def test_schedule_is_the_best_of_all_on_the_grid():
+    rng = np.random.default_rng(3)
+    moves = np.array([0, -2, -1, 1, 2])
+    energy = np.where(moves > 0, -moves / 0.8, -moves * 1.0)
+    for _ in range(5):
+        value = rng.normal(50, 40, 6)
+        path = dispatch._schedule(value, moves, energy, 3, 0.0)
+        best = -np.inf
+        for plan in product(range(len(moves)), repeat=5):
+            level = np.cumsum(moves[list(plan)])
+            if level.min() >= 0 and level.max() <= 3 and level[-1] == 0:
+                best = max(best, float((value[:5] * energy[list(plan)]).sum()))
+        assert float((value * energy[path]).sum()) == pytest.approx(best)
+
+
+def test_every_trace_row_has_a_schedule(spark, inputs):
+    from checks import queries as q
+    from wattledger.operators import profiles
+
+    traces = profiles.storage_price_traces(inputs.sims, q.curve(inputs), inputs.storage)
+    got = dispatch.storage_dispatch(traces, inputs.storage, q.GRID_HOURS)
+    assert got.count() == traces.count()

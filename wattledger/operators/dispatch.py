@@ -51,6 +51,19 @@ def _schedule(value: np.ndarray, moves: np.ndarray, energy: np.ndarray, levels:
     return path
 
 
+def _spliced(over: np.ndarray, under: np.ndarray, moves: np.ndarray, cycle: np.ndarray, limit: float) -> np.ndarray:
+    """`over` up to an interval where both schedules hold the same level, `under` from there on.
+
+    At the fee where the limit starts to hold both are worth the same, so any such splice is
+    too; the one that uses most of the limit is taken.
+    """
+    same = np.append(True, moves[over].cumsum() == moves[under].cumsum())
+    used = np.append(0.0, cycle[over].cumsum()) + np.append(cycle[under][::-1].cumsum()[::-1], 0.0)
+    used[~same | (used > limit + 1e-9)] = -np.inf
+    cut = int(used.argmax())
+    return np.concatenate((over[:cut], under[cut:]))
+
+
 def solve(
     prices: np.ndarray, capacity: float, duration: float, rte: float, hours: float, cycles_per_day: float
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -61,7 +74,7 @@ def solve(
     power at an interval end therefore earns the mean of the prices on its two sides, which
     makes the problem one of flat moves on the level grid. Losses are taken on charging. The
     limit on cycles is met by the lowest fee per discharged MWh that keeps it, found by
-    bisection; the result is feasible and close to, not exactly at, the optimum.
+    bisection. The result keeps every limit; it is close to, not exactly at, the optimum.
     """
     n, storage = len(prices), capacity * duration
     step_count = ceil(storage / (capacity * hours) * LEVELS_PER_INTERVAL)
@@ -80,15 +93,18 @@ def solve(
 
     path = _schedule(value, moves, energy, step_count, 0.0)
     if cycles(path) > limit + 1e-9:
+        over, path = path, np.zeros(n, dtype=np.int64)
         low, high = 0.0, float(np.abs(prices).max()) * 2 / rte + 1.0
-        path = np.zeros(n, dtype=np.int64)
         for _ in range(24):
+            if cycles(over) - cycles(path) <= 1.0:
+                break
             fee = (low + high) / 2
             trial = _schedule(value, moves, energy, step_count, fee)
             if cycles(trial) > limit + 1e-9:
-                low = fee
+                low, over = fee, trial
             else:
                 high, path = fee, trial
+        path = _spliced(over, path, moves, np.maximum(energy, 0.0) / storage, limit)
     discharge = np.maximum(energy[path], 0.0) / hours
     charge = np.maximum(-energy[path], 0.0) / hours
     net, stored = discharge - charge, charge * rte - discharge
