@@ -145,7 +145,9 @@ def generation_profiles(
     folded = stacked.groupBy(*plant, *DAY_PARTS).agg(*[F.max(c).alias(c) for c in reading])
     years = details.select("model_id", F.col("gen_reference_year").alias("year")).distinct()
     intervals = calendar.select(*DAY_PARTS).distinct().join(years, "year")
-    metered = folded.join(intervals, DAY_PARTS).join(latest_loss_factors(unit_detail, units), "duid", "left")
+    metered = folded.join(intervals, DAY_PARTS).join(
+        sized(latest_loss_factors(unit_detail, units)), "duid", "left"
+    )
     contract = small.select(
         "product_id", "size_mw", F.col("duid").alias("_duid"), F.col("region_number").alias("_region"),
         F.col("fuel").alias("_fuel"),
@@ -190,7 +192,7 @@ def load_profiles(
     )
     return (
         intervals.join(quantities, ["interval_date", "period_30min"])
-        .join(average_loss_factors(published_loss), ["product_id", "jurisdiction"], "left")
+        .join(sized(average_loss_factors(published_loss)), ["product_id", "jurisdiction"], "left")
         .join(jurisdictions.select("jurisdiction", "jurisdiction_id"), "jurisdiction")
         .select(
             "model_id", "product_id", "jurisdiction_id", *DAY_PARTS,
@@ -254,7 +256,7 @@ def storage_price_traces(sims: DataFrame, curve: DataFrame, contracts: DataFrame
     asset = contracts.select("product_id", "region_number")
     return (
         sims.withColumn("_year", F.year("interval_date"))
-        .join(yearly, "_year")
+        .join(sized(yearly), "_year")
         .withColumn("rrp", at_least(F.col("rrp"), -F.col("lgc_price")))
         .join(sized(asset), "region_number")
         .select("product_id", "sample_id", "interval_date", "period_id", "rrp")
@@ -272,9 +274,9 @@ def storage_profiles(
     loss = F.coalesce("factor", F.lit(1.0))
     energy = F.col("metered_energy_mwh")
     return (
-        dispatch.join(contracts.select("product_id", "duid"), "product_id")
+        dispatch.join(sized(contracts.select("product_id", "duid")), "product_id")
         .join(
-            factors,
+            sized(factors),
             (F.col("duid") == F.col("_duid")) & F.col("interval_date").between(F.col("start_date"), F.col("end_date")),
             "left",
         )

@@ -169,6 +169,7 @@ def profiled_energy_cap(
 
 
 def _certificates(rows: DataFrame, market: DataFrame, volume: Column) -> DataFrame:
+    """Rows by the market price of their date; the caller has sized `market`, a row per date."""
     priced = rows.join(market.select("interval_date", F.col("lgc_price").alias("market_price")), "interval_date")
     return _settled(
         priced,
@@ -182,7 +183,7 @@ def generation_lgc(
     terms: DataFrame, generation: DataFrame, certificates: DataFrame, broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
     """Offtake certificates: a share of the generation at the market price against the contract's."""
-    return _generation_lgc(terms, generation, certificates, fits(terms, broadcast_rows))
+    return _generation_lgc(terms, generation, sized(certificates), fits(terms, broadcast_rows))
 
 
 def _generation_lgc(terms, generation, certificates, small) -> DataFrame:
@@ -196,7 +197,7 @@ def retail_lgc(
     terms: DataFrame, load: DataFrame, certificates: DataFrame, broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
     """Retail certificates: a share of the load; one row per jurisdiction of the load."""
-    return _retail_lgc(terms, load, certificates, fits(terms, broadcast_rows))
+    return _retail_lgc(terms, load, sized(certificates), fits(terms, broadcast_rows))
 
 
 def _retail_lgc(terms, load, certificates, small) -> DataFrame:
@@ -272,6 +273,7 @@ def settle_book(
     """
     # The book fits when all of it does: its parts are then small too.
     small = fits(terms, broadcast_rows)
+    certificates = sized(certificates)
     sided = terms.drop("buy").join(_sides(terms), ["deal_id", "product_id"])
     # Turndown applies to generation before any contract sees it.
     metered = _turned_down(generation, terms, prices, small)
