@@ -6,13 +6,36 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wattledger.functions.plans import scratch_path
+from wattledger.llm import decontaminate, mixing, secret_scan, sharding, simhash, token_counts, token_files
 from wattledger.llm import exact_dedup as exact
-from wattledger.llm import mixing, secret_scan, sharding, token_counts
 from wattledger.llm.common import table
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 
 
+def op1_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    tokenizer = public_tokenizers.path(WORD_TOKENIZER)
+    token_files.write_token_files(table(spark, folder, "documents"), path, tokenizer)
+    return token_files.token_digests(spark, path)
+
+
+def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    docs, items = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    marked = decontaminate.contaminated_words(docs, items, ["doc_id"])
+    return marked.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    near = simhash.near_components(table(spark, folder, "documents"))
+    return near.select("doc_id", simhash.hex_print(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = secret_scan.scan_history(table(spark, folder, "documents"), ["doc_id"])
     spans = secret_scan.span_text(F.col("findings"))
@@ -48,6 +71,9 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_token_files": op1_token_files,
+    "op2_decontaminate": op2_decontaminate,
+    "op3_simhash": op3_simhash,
     "op5_secret_scan": op5_secret_scan,
     "op6_mix_sources": op6_mix_sources,
     "op7_shard_lpt": op7_shard_lpt,
@@ -77,6 +103,37 @@ def _kind_spans(name: str, nth: int, pattern: str, group: int, at_least: int) ->
 
 
 ORACLES = {
+    "op2_decontaminate": r"""
+    with
+    docs as (
+      select row_number() over () as r, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+      from documents),
+    items as (
+      select item_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+      from benchmark),
+    item_windows as (
+      select distinct coalesce(item_id::varchar, '') as item, least(len(w), 10) as n,
+        array_to_string(w[i:i + least(len(w), 10) - 1], ' ') as win
+      from (select item_id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) as i from items where len(w) > 0)),
+    doc_windows as (
+      select r, i, n, array_to_string(w[i:i + n - 1], ' ') as win
+      from (select r, w, n, unnest(range(1, len(w) - n + 2)) as i
+        from docs, (select distinct n from item_windows) where len(w) >= n)),
+    found as (select r, i, d.n, item from doc_windows d join item_windows using (n, win)),
+    hit as (
+      select r, count(distinct p) as n_hit
+      from (select r, unnest(range(i, i + n)) as p from (select distinct r, i, n from found)) group by r),
+    held as (
+      select r, count(*) as n_items, string_agg(item, ',' order by item) as items
+      from (select distinct r, item from found) group by r)
+    select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
+      coalesce(n_items, 0)::bigint as n_items, sha256(coalesce(items, '')) as items_sha256,
+      coalesce(n_hit, 0) > 0 as contaminated
+    from docs left join hit using (r) left join held using (r)""",
     "op5_secret_scan": f"""
     with docs as (select row_number() over () as row_no, doc_id, coalesce(text, '') as t from documents),
     {_kind_spans("assign", 0, _ASSIGN, 2, 12)},
