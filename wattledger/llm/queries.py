@@ -7,8 +7,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattledger.functions.plans import scratch_path
-from wattledger.llm import decontaminate, mixing, secret_scan, sharding, simhash, token_counts, token_files
+from wattledger.llm import decontaminate, mixing, quality, secret_scan, sharding, simhash
 from wattledger.llm import exact_dedup as exact
+from wattledger.llm import token_counts, token_files
 from wattledger.llm.common import table
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -36,6 +37,11 @@ def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return near.select("doc_id", simhash.hex_print(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    return quality.quality_scores(docs, labels, ["doc_id"])
+
+
 def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = secret_scan.scan_history(table(spark, folder, "documents"), ["doc_id"])
     spans = secret_scan.span_text(F.col("findings"))
@@ -74,6 +80,7 @@ QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_decontaminate": op2_decontaminate,
     "op3_simhash": op3_simhash,
+    "op4_quality": op4_quality,
     "op5_secret_scan": op5_secret_scan,
     "op6_mix_sources": op6_mix_sources,
     "op7_shard_lpt": op7_shard_lpt,

@@ -152,8 +152,14 @@ def near_links(prints: DataFrame, distance: int = DISTANCE, entry_members: int =
     return both.mapInArrow(spanning(distance), "a long, b long")
 
 
-def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """One row per input row: id, fp, component_id (the least id that is reachable over links).
+def near_components(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle: int = 3,
+    carry: tuple[str, ...] = (),
+) -> DataFrame:
+    """One row per input row: id, `carry`, fp, component_id (the least id reachable over links).
 
     Fingerprints are linked when they differ in three bits or fewer; rows with one fingerprint
     are one node, so copies are never paired.
@@ -163,7 +169,7 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     component_id; repeated rows get the same result; an empty table gives an empty result; other
     columns are not looked at.
     """
-    marked = staged(fingerprints(docs, [id_col], text_col, shingle), "simhash-docs")
+    marked = staged(fingerprints(docs, [id_col, *carry], text_col, shingle), "simhash-docs")
     prints = marked.groupBy("fp").agg(F.min(id_col).alias("_least"), F.count(F.lit(1)).alias("_rows"))
     prints = staged(prints, "simhash-prints")
     labels = components(near_links(prints.select("fp")))
@@ -173,7 +179,7 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = staged(nodes, "simhash-nodes")
     least = nodes.groupBy("label").agg(F.min("_least").alias("component_id"))
     placed = staged(nodes.join(least, "label").select("fp", "_rows", "component_id"), "simhash-placed")
-    return join_groups(marked, placed, "fp", "_rows").select(id_col, "fp", "component_id")
+    return join_groups(marked, placed, "fp", "_rows").select(id_col, *carry, "fp", "component_id")
 
 
 def hex_print(fp: Column) -> Column:
