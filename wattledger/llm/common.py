@@ -69,15 +69,16 @@ def running_totals(
 HEAVY_PARTS = 10_000
 
 
-def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataFrame:
+def join_groups(rows: DataFrame, groups: DataFrame, key: str | list[str], size: str) -> DataFrame:
     """`rows` left-joined to `groups` (one row per key, with its number of rows in `size`).
 
     Heavy groups, at most HEAVY_PARTS by their definition, are broadcast to their rows; only the
     others are shuffled by key, so no key puts more than a small share of the rows in one task.
     Both inputs are read twice and should be stage tables.
     """
+    keys = [key] if isinstance(key, str) else key
     limit = rows.count() // HEAVY_PARTS
     heavy = F.broadcast(groups.where(F.col(size) > limit))
-    rest = rows.join(heavy.select(key), key, "left_anti")
-    light = rest.join(groups.where(F.col(size) <= limit), key, "left")
-    return rows.join(heavy, key).unionByName(light)
+    rest = rows.join(F.broadcast(groups.where(F.col(size) > limit).select(*keys)), keys, "left_anti")
+    light = rest.join(groups.where(F.col(size) <= limit), keys, "left")
+    return rows.join(heavy, keys).unionByName(light)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from wattledger.llm.common import staged
 from wattledger.llm.encoding import slices
-from wattledger.llm.wordscan import SLICE_BYTES, Words, run_hashes
+from wattledger.llm.wordscan import SLICE_BYTES, Words, byte_view, run_hashes
 
 FOURIER = 256
 KERNEL_WIDTH = 8.0
@@ -67,8 +67,7 @@ def statistics(texts: pa.Array) -> np.ndarray:
         return np.zeros((0, len(STATISTICS)))
     words = Words(texts)
     sizes = np.diff(words.offsets)
-    raw = b"".join(t or b"" for t in texts.cast(pa.binary()).to_pylist())
-    raw = np.frombuffer(raw, dtype=np.uint8)
+    raw = byte_view(texts)[0]
     text_of_byte = np.repeat(np.arange(n), sizes)
     classes = np.bincount(text_of_byte * 8 + CLASSES[raw], minlength=n * 8).reshape(n, 8)
     ends = np.bincount(text_of_byte[np.isin(raw, [46, 33, 63])], minlength=n)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from wattledger.functions.plans import scratch_path
 from wattledger.llm import decontaminate, mixing, quality, secret_scan, sharding, simhash
 from wattledger.llm import exact_dedup as exact
-from wattledger.llm import token_counts, token_files
+from wattledger.llm import repeats, token_counts, token_files
 from wattledger.llm.common import table
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -66,6 +66,10 @@ def op7_shard_lpt(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.repeated_bytes(table(spark, folder, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.exact_dedup(table(spark, folder, "documents"), digest_all=True)
 
@@ -84,6 +88,7 @@ QUERIES = {
     "op5_secret_scan": op5_secret_scan,
     "op6_mix_sources": op6_mix_sources,
     "op7_shard_lpt": op7_shard_lpt,
+    "op8_repeats": op8_repeats,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_token_counts": op10_token_counts,
 }

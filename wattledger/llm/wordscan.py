@@ -39,6 +39,17 @@ def powers(base: int, count: int) -> np.ndarray:
     return made[:count]
 
 
+def byte_view(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all texts (null: none) one after another, and their bounds."""
+    texts = pa.concat_arrays([pc.fill_null(texts.cast(pa.large_binary()), b"")])
+    if not len(texts):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    bounds = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset :][: len(texts) + 1]
+    data = texts.buffers()[2]
+    raw = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return raw[bounds[0] : bounds[-1]], bounds - bounds[0]
+
+
 class Words:
     """The words of the texts: `buffer` (lowered bytes), starts, ends, and the bounds per text.
 
@@ -46,14 +57,8 @@ class Words:
     """
 
     def __init__(self, texts: pa.Array) -> None:
-        texts = pc.fill_null(texts.cast(pa.large_binary()), b"")
-        texts = pa.concat_arrays([texts])
-        offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset :][: len(texts) + 1]
-        data = texts.buffers()[2]
-        raw = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)
-        low, high = (int(offsets[0]), int(offsets[-1])) if len(texts) else (0, 0)
-        self.buffer = LOWERED[raw[low:high]]
-        self.offsets = offsets - low if len(texts) else np.zeros(1, np.int64)
+        raw, self.offsets = byte_view(texts)
+        self.buffer = LOWERED[raw]
         inside = WORD_PART[self.buffer]
         before = np.concatenate([[False], inside[:-1]])[: len(inside)]
         edge = np.zeros(len(inside) + 1, dtype=bool)
