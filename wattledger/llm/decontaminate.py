@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattledger.llm.common import staged
@@ -164,8 +164,11 @@ def occurrences(words: Words, hashes: np.ndarray, index: Prefixes) -> Iterator[t
             yield start, nth
 
 
-def mark_hits(docs: DataFrame, text_col: str, carry: list[str], index: list[Prefixes]) -> DataFrame:
-    """`carry`, n_words, hits (a bit per word) and items, added to those of earlier blocks."""
+def mark_hits(
+    docs: DataFrame, text_col: str, carry: list[str], index: list[Prefixes], state: list[Column]
+) -> DataFrame:
+    """`carry`, n_words, n_hit, hits (a bit per word) and items, added to the hits and items of
+    earlier blocks (`state`)."""
     # Bounded: a block has BLOCK_WINDOWS windows at most.
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
@@ -202,10 +205,7 @@ def mark_hits(docs: DataFrame, text_col: str, carry: list[str], index: list[Pref
 
     kinds = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in carry)
     made = f"{kinds}n_words long, n_hit long, hits binary, items array<string>"
-    earlier = ["hits", "items"] if {"hits", "items"} <= set(docs.columns) else [
-        F.lit(None).cast("binary").alias("hits"), F.lit(None).cast("array<string>").alias("items")
-    ]
-    return docs.select(F.col(text_col).alias("_scanned"), *earlier, *carry).mapInArrow(mark, made)
+    return docs.select(F.col(text_col).alias("_scanned"), *state, *carry).mapInArrow(mark, made)
 
 
 def contaminated_words(
@@ -238,19 +238,19 @@ def contaminated_words(
     windows = staged(item_windows(items, item_id_col, item_text_col, window, shingle), "bench-windows")
     blocks = -(-windows.count() // block_windows) or 1
     block = F.pmod(F.xxhash64("words"), F.lit(blocks))
-    state = docs
+    marked, state = docs, [F.lit(None).cast("binary").alias("_hits"), F.lit(None).cast("array<string>").alias("_items")]
     for nth in range(blocks):
         part = windows.where(block == nth)
         width = F.least("n_words", F.lit(shingle)).alias("width")
         tokens = part.select(width, F.explode("shingles").alias("shingle")).distinct().toArrow()
-        wanted = {
-            w: np.sort(np.asarray(tokens["shingle"])[np.asarray(tokens["width"]) == w].view(np.uint64))
-            for w in np.unique(np.asarray(tokens["width"])).tolist()
-        }
+        widths, shingles = np.asarray(tokens["width"]), np.asarray(tokens["shingle"]).view(np.uint64)
+        wanted = {w: np.sort(shingles[widths == w]) for w in np.unique(widths).tolist()}
         counts = staged(shingle_counts(docs, text_col, wanted), "bench-shingles")
         index = index_of(rarest(part, counts).toArrow(), shingle)
-        last = nth == blocks - 1
-        state = mark_hits(state, text_col, list(carry) if last else list(dict.fromkeys([*carry, text_col])), index)
-        if not last:
-            state = staged(state.drop("n_words", "n_hit"), "bench-block")
-    return state
+        if nth == blocks - 1:
+            return mark_hits(marked, text_col, list(carry), index, state)
+        marked = mark_hits(marked, text_col, list(dict.fromkeys([*carry, text_col])), index, state)
+        renamed = [F.col("hits").alias("_hits"), F.col("items").alias("_items")]
+        marked = staged(marked.select(*dict.fromkeys([*carry, text_col]), *renamed), "bench-block")
+        state = [F.col("_hits"), F.col("_items")]
+    raise AssertionError("there is at least one block")
