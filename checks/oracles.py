@@ -49,11 +49,11 @@ def trading(ts: str) -> str:
     )
 
 
-def readings(value: str, where: str = "true") -> str:
+def readings(column: str, view: str, value: str) -> str:
     return f"""
         select duid, cast(year(interval_date) as int) as year, cast(month(interval_date) as int) month_id,
-            cast(day(interval_date) as int) day_id, period_id, value {value}
-        from (select duid, value, {trading('settlementdate')} from v_ticks where {where})
+            cast(day(interval_date) as int) day_id, period_id, {value} {column}
+        from (select duid, {value}, {trading('settlementdate')} from {view})
         where duid in (select duid from v_units)"""
 
 
@@ -343,8 +343,8 @@ STEPS: dict[str, str] = {
         select period, period_start, period_end, price from v_quotes
         where product = 'LGC' and not period ilike 'spot' and period_end >= {TODAY}
         qualify row_number() over (partition by product, period order by consolidate_date desc, price) = 1""",
-    "q_scada": readings("scadavalue"),
-    "q_availability": readings("availability", "value > 250"),
+    "q_scada": readings("scadavalue", "v_ticks", "value"),
+    "q_availability": readings("availability", "v_availability", "availability"),
     "q_capacity": """
         select region_number, cast(year(interval_date) as int) as year, cast(month(interval_date) as int) month_id,
             cast(day(interval_date) as int) day_id, period_id, 'Solar' fuel, solar_avail_cf regional_capacity_factor

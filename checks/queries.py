@@ -15,14 +15,13 @@ from pyspark.sql import functions as F
 from checks.views import AS_OF, Inputs
 from wattledger.functions.plans import cut, scratch_path
 from wattledger.operators import calendar as cal
-from wattledger.operators import calibrate, dispatch, market, profiles, report, settle, terms, trades
+from wattledger.operators import calibrate, market, profiles, report, settle, terms, trades
 from wattledger.sources import captures, sinks
 from wattledger.sources.checks import check_contract
 from wattledger.sources.schemas import TABLES, TableContract, instrument_dim, with_instrument
 
 TODAY = date.fromisoformat(AS_OF)
 RATE_START, RATE_END = date(1996, 1, 1), date(2001, 12, 31)
-GRID_HOURS = 6.0
 
 # Fixed value: the rounding step of the comparison, a little off one half so that sums which
 # land on a half cent fall to the same side in every summation order.
@@ -101,7 +100,7 @@ def scada(i: Inputs) -> DataFrame:
 
 
 def availability(i: Inputs) -> DataFrame:
-    return i.ticks.where(F.col("value") > 250).withColumnRenamed("value", "availability")
+    return i.availability
 
 
 def book(i: Inputs, *instruments: str) -> DataFrame:
@@ -219,7 +218,11 @@ def _(i):
     path = scratch_path(i.spark, "slices")
     rows = settle.orient(settle.flat_energy_swap(book(i, "flat_energy_swap"), i.spot), i.terms)
     for day in (TODAY, date(1998, 5, 21), TODAY):
-        sinks.replace_slice(report.quarterly_earnings(rows, day), path, ["run_date"])
+        sinks.replace_slice(report.quarterly_earnings(rows, day), path, ["run_date"], [(day,)])
+    # A rerun without rows clears its own slice.
+    gone = date(1998, 5, 22)
+    for part in (rows, rows.limit(0)):
+        sinks.replace_slice(report.quarterly_earnings(part, gone), path, ["run_date"], [(gone,)])
     return cents(i.spark.read.parquet(path), "volume_mwh", "income", "cost")
 
 
@@ -487,12 +490,6 @@ def _(i):
     return cents(profiles.storage_price_traces(i.sims, curve(i), i.storage), "rrp")
 
 
-@query("p14_storage_dispatch")
-def _(i):
-    traces = profiles.storage_price_traces(i.sims, curve(i), i.storage)
-    return dispatch.storage_dispatch(traces, i.storage, GRID_HOURS)
-
-
 @query("p15_storage_profiles")
 def _(i):
     return cents(storage_rows(i), "generation_mwh")

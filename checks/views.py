@@ -3,7 +3,8 @@
 The same text runs in Spark SQL and in DuckDB, so a registered query and its oracle start
 from identical rows. The grid of the derived tables has 4 periods a day, which makes the
 sparse source tables meet in joins; `ticks` and `capacity` are on the real 5-minute grid.
-No view restricts its source to an id subset: work grows with the given tables.
+No view cuts its source: rows that shall find no match differ by value, so work grows with the
+given tables.
 """
 
 from __future__ import annotations
@@ -57,6 +58,9 @@ VIEWS: dict[str, str] = {
         select interval_date, period_id, region_number, min(rrp) rrp from v_sims group by all""",
     "v_ticks": """
         select concat('U', cast(user_id % 10 as string)) duid, ts settlementdate, value from events""",
+    "v_availability": """
+        select case when value > 250 then duid else concat('X', duid) end duid, settlementdate, value availability
+        from v_ticks""",
     "v_quotes": """
         select case when o_orderkey % 2 = 0 then 'Swap' else 'Cap' end product, r_name node,
             concat('Q', cast(quarter(o_orderdate) as string), '-', cast(year(o_orderdate) as string)) period,
@@ -129,7 +133,9 @@ VIEWS: dict[str, str] = {
     "v_avg_loss": """
         select distinct product_id, jurisdiction, date '2000-01-01' + period_id published_datetime,
             cast(1.02 + period_id * 0.01 as double) loss_factor
-        from v_halfhour where jurisdiction < 'NATION_2'""",
+        from (select product_id, period_id,
+            case when product_id % 3 = 0 then concat('NOT ', jurisdiction) else jurisdiction end jurisdiction
+            from v_halfhour)""",
     "v_units": """
         select cast(s_suppkey as int) deal_id, cast(s_suppkey % 40 as int) product_id,
             concat('U', cast(s_suppkey % 12 as string)) duid,
@@ -163,9 +169,9 @@ VIEWS: dict[str, str] = {
             cast(1.0 + l_linenumber % 3 * 0.02 as double) factor
         from lineitem
         union all
-        select distinct cast(l_suppkey as int), 'M', date '1996-01-01' + cast(l_linenumber % 3 * 365 as int),
-            cast(3000 + l_linenumber % 3 * 100 as double)
-        from lineitem join supplier on l_suppkey = s_suppkey where s_acctbal > 5000""",
+        select distinct cast(case when l_suppkey % 2 = 0 then l_suppkey else -l_suppkey end as int), 'M',
+            date '1996-01-01' + cast(l_linenumber % 3 * 365 as int), cast(3000 + l_linenumber % 3 * 100 as double)
+        from lineitem""",
     "v_rate_profiles_raw": """
         select cast(l_partkey % 10 as int) product_id, 'R' as code, 5 as interval_minutes,
             case l_returnflag when 'A' then 'W' when 'N' then '6' else 'S' end day_type,

@@ -86,3 +86,20 @@ def test_first_in_group_limits_before_the_shuffle(spark, capsys):
     assert rows(top) == [(0, 99), (1, 97), (2, 98)]
     top.explain()
     assert "WindowGroupLimit" in capsys.readouterr().out
+
+
+def test_an_empty_calendar_expands_nothing(spark):
+    ranges = spark.createDataFrame([(1, date(2020, 1, 1), date(9999, 12, 31))], "id int, start_date date, end_date date")
+    none = spark.createDataFrame([], "interval_date date")
+    assert cal.expand_to_dates(ranges, none).count() == 0
+    assert cal.clip_to_dates(ranges, none).count() == 0
+
+
+def test_clipping_crosses_years_without_dates(spark):
+    days = spark.createDataFrame([(date(2019, 3, 1),), (date(2022, 5, 5),)], "interval_date date")
+    ranges = spark.createDataFrame(
+        [(1, date(2019, 4, 1), date(2030, 1, 1)), (2, date(2000, 1, 1), date(2022, 1, 1)), (3, date(2020, 1, 1), date(2021, 1, 1))],
+        "id int, start_date date, end_date date",
+    )
+    got = {r.id: (r.start_date, r.end_date) for r in cal.clip_to_dates(ranges, days).collect()}
+    assert got == {1: (date(2022, 5, 5), date(2022, 5, 5)), 2: (date(2019, 3, 1), date(2019, 3, 1))}

@@ -147,7 +147,7 @@ def test_revaluation_from_terms_to_quarters(spark, inputs):
     prices = revaluation.update_prices(tables, i.sims, i.models, "base", i.quotes, i.trading, i.dates, i.region, q.TODAY)
     assert check_contract(prices, TABLES["scenario_prices"], {"regions": i.region}).where("violations > 0").count() == 0
     path = tables.path("storage_profiles")
-    storage.update_storage_profiles(path, i.sims, q.curve(i), i.storage, i.unit_detail, 1, q.GRID_HOURS)
+    storage.update_storage_profiles(path, q.dispatch_rows(i), i.storage, i.unit_detail, 1)
     earnings = revaluation.update_earnings(
         tables, i.gen_profile, spark.read.parquet(path), i.load_profile, i.samples, shapes, i.jurisdiction, i.quotes,
         i.dates, q.TODAY,
@@ -163,13 +163,65 @@ def test_revaluation_from_terms_to_quarters(spark, inputs):
 
 def test_outlook_plan(spark, inputs):
     names = spark.createDataFrame(
-        [("h", "Hindcast"), ("m", "Mean"), ("m_p90", "P90"), ("m_p10", "P10"), ("Central", "C")], "curve string, curve_name string"
+        [("h", "Hindcast"), ("m", "Mean"), ("m_p90", "P90"), ("m_p10", "P10"), ("Central", "C"), ("n", "N"), ("n_p90", "N90")], "curve string, curve_name string"
     )
     got = outlook.outlook(
-        inputs.outlook, inputs.outlook, inputs.outlook, inputs.product_instrument, names, date(1995, 1, 1), date(2001, 12, 31),
-        hindcast_curve="h", sampled_curve="m", p90_rank=2, p10_rank=1, from_year=1995,
+        inputs.outlook, {"m": inputs.outlook, "n": inputs.outlook}, inputs.outlook, inputs.product_instrument, names,
+        date(1995, 1, 1), date(2001, 12, 31), hindcast_curve="h", ranks={"p90": 2, "p10": 1},
+        csv=scratch_path(spark, "outlook-csv"),
     )
-    assert {r["Curve Name"] for r in got.select("Curve Name").distinct().collect()} == {"Hindcast", "Mean", "P90", "P10", "C"}
+    assert {r["Curve Name"] for r in got.select("Curve Name").distinct().collect()} == {"Hindcast", "Mean", "P90", "P10", "C", "N", "N90"}
+    ranks = report.sample_rank(inputs.outlook)
+    rows = report.with_year_quarter(report.product_instrument(inputs.outlook, inputs.product_instrument))
+    apart = report.outlook_at_rank(rows, ranks, 2, "a").unionByName(report.outlook_at_rank(rows, ranks, 1, "b"))
+    together = report.outlook_at_ranks(rows, ranks, {"a": 2, "b": 1})
+    columns = ["curve", "deal_id", "year", "quarter", "status", "group", "instrument", "strategy", "regionid"]
+    counted = [df.groupBy(*columns).agg(F.round(F.sum("total_cost"), 4).alias("c")) for df in (apart, together)]
+    assert counted[0].exceptAll(counted[1]).count() == counted[1].exceptAll(counted[0]).count() == 0
+
+
+def test_monthly_plan_writes_the_report(spark, inputs):
+    path = scratch_path(spark, "monthly-csv")
+    got = outlook.monthly_outlook(
+        inputs.outlook, inputs.product_instrument, date(1996, 1, 1), date(1998, 12, 31), statuses=["Approved"], csv=path
+    )
+    stored = spark.read.csv(path, header=True, schema=got.schema)
+    assert stored.count() == got.count() > 0
+    assert {r["Month"] for r in stored.select("Month").distinct().collect()} <= set(range(1, 13))
+
+
+def test_profile_refresh(spark, inputs):
+    i = inputs
+    tables = revaluation.Tables(spark, scratch_path(spark, "profiles"))
+    one_model = i.samples.where("model_id = 1").withColumn("gen_reference_year", F.lit(2024))
+    generation, load = revaluation.update_profiles(
+        tables, i.clock.withColumn("period_30min", F.col("period_id")), one_model, i.units.dropDuplicates(["product_id"]), q.scada(i), q.availability(i), i.capacity,
+        i.unit_detail, i.halfhour.limit(0), i.avg_loss, i.jurisdiction,
+    )
+    assert generation.count() > 0 and load.count() == 0
+    assert generation.dtypes == [(f.name, f.dataType.simpleString()) for f in TABLES["generation_profiles"].schema.fields]
+
+
+def test_a_broken_contract_stops_the_stage(spark):
+    tables = revaluation.Tables(spark, scratch_path(spark, "broken"))
+    rows = spark.createDataFrame([(1, None, date(2020, 1, 1), 1, 2.0)], "product_id int, jurisdiction_id int, interval_date date, period_id int, rate double")
+    with pytest.raises(ValueError, match="rate_calendar"):
+        tables.store("rate_calendar", rows)
+
+
+def test_scratch_folder_is_required_on_a_cluster(spark):
+    from types import SimpleNamespace
+
+    from wattledger.functions.plans import shared_dir
+
+    def session(master, folder=None):
+        conf = SimpleNamespace(get=lambda key, default: folder, set=lambda key, value: None)
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: None))
+
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError):
+            shared_dir(session(master))
+    assert shared_dir(session("yarn", "hdfs:///x")) == "hdfs:///x" and shared_dir(session("local[4]"))
 
 
 def test_filters_reach_the_scan(spark, inputs, capsys):

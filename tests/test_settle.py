@@ -129,3 +129,29 @@ def test_book_is_additive_over_dates(spark, inputs):
     parts = [settle.flat_energy_swap(inputs.terms, spot.where(c)) for c in (F.col("interval_date") < cut_day, F.col("interval_date") >= cut_day)]
     whole = settle.flat_energy_swap(inputs.terms, spot)
     assert whole.count() == sum(p.count() for p in parts)
+
+
+def test_both_plans_agree_on_missing_dates_and_empty_facts(spark):
+    terms = spark.createDataFrame(
+        [
+            (1, 1, 0, 1, None, date(2030, 1, 1), 1.0, 2.0), (2, 1, 0, 1, date(2020, 1, 1), None, 1.0, 2.0),
+            (3, 1, 0, 1, date(2020, 1, 2), date(9999, 12, 31), 1.0, 2.0), (4, 1, 0, 1, None, None, 1.0, 2.0),
+        ],
+        "deal_id int, product_id int, instrument_id int, region_number int, start_date date, end_date date, quantity double, price double",
+    )
+    prices = spark.createDataFrame(
+        [(date(2020, 1, d), 1, 1, 10.0) for d in (1, 2, 3)], "interval_date date, period_id int, region_number int, rrp double"
+    )
+    for facts, expected in ((prices, [(3, date(2020, 1, 2)), (3, date(2020, 1, 3))]), (prices.limit(0), [])):
+        for broadcast_rows in (200_000, 0):
+            got = settle.flat_energy_swap(terms, facts, broadcast_rows)
+            assert sorted((r.deal_id, r.interval_date) for r in got.collect()) == expected
+
+
+def test_turndown_reads_generation_once(spark, inputs, tmp_path):
+    path = str(tmp_path / "generation")
+    inputs.generation.write.parquet(path)
+    stored = spark.read.parquet(path)
+    turned = settle.apply_turndown(stored, inputs.terms, inputs.spot)
+    plan = turned._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [product_id") == 1

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -26,9 +27,18 @@ def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors reach: spark.checkpoint.dir, or a new one where that is unset."""
+    """The folder all executors reach: spark.checkpoint.dir.
+
+    Raises where it is unset; only a session whose tasks run in the driver's own process, as in
+    tests, gets a temporary folder.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return folder or tempfile.mkdtemp(prefix="wattledger-")
+    if not folder:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="wattledger-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -37,11 +47,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """`df` written to the checkpoint folder and read from there: nothing upstream runs twice."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint()
+    """`df` as a parquet table in the shared folder: nothing upstream runs twice, and readers
+    prune columns, push filters down and know its size."""
+    path = scratch_path(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def first_in_group(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:

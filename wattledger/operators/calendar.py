@@ -7,6 +7,7 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wattledger.functions.plans import sized
 from wattledger.functions.timegrid import period_of, trading_date_of
 
 OPEN_END = date(9999, 12, 31)
@@ -25,16 +26,13 @@ def day_type_calendar(
     """One row per interval and jurisdiction with its day type: W working day, 6 Saturday, S Sunday or holiday.
 
     The day type is decided once per date and jurisdiction and only then spread over the
-    periods of the date. The jurisdiction lookup travels as one array value (a scalar
-    subquery), so the spread is a narrow explode.
+    periods of the date. Every date has every jurisdiction, so all dates carry the key of the
+    whole lookup, whose size is checked before it is sent to them.
     """
-    lookup = jurisdictions.select(
-        F.collect_set(F.struct("jurisdiction_id", "jurisdiction")).alias("all")
-    ).scalar()
+    lookup = jurisdictions.select("jurisdiction_id", "jurisdiction").distinct().withColumn("_every", F.lit(1))
     days = (
-        datetimes.select("interval_date", "day_of_week").distinct()
-        .withColumn("j", F.explode(lookup))
-        .select("interval_date", "day_of_week", "j.jurisdiction_id", "j.jurisdiction")
+        datetimes.select("interval_date", "day_of_week").distinct().withColumn("_every", F.lit(1))
+        .join(sized(lookup), "_every").drop("_every")
     )
     closed = (
         holidays.where(F.col("holiday_name").isNotNull())
@@ -61,13 +59,15 @@ def effective_ranges(
 ) -> DataFrame:
     """Adds `to_date`: the day before the next row of the same key starts, or `end_default`.
 
-    A key has one row per start date, so the days of the calendar bound its rows.
+    A key has one row per start date, so the days of the calendar bound its rows; rows that
+    share a start date are ordered by all their other columns.
     """
     following = F.lead(F.date_sub(F.col(from_col), 1), 1)
+    ties = sorted(c for c in df.columns if c not in (*keys, from_col))
     return df.withColumn(
         "to_date",
         F.coalesce(
-            following.over(Window.partitionBy(*keys).orderBy(from_col)), F.lit(end_default)
+            following.over(Window.partitionBy(*keys).orderBy(from_col, *ties)), F.lit(end_default)
         ),
     )
 
@@ -93,7 +93,8 @@ def expand_to_dates(
     span = (
         ranges.withColumn("_from", F.greatest(F.col(start), first))
         .withColumn("_to", F.least(F.col(end), last))
-        .where(F.col(start).isNotNull() & F.col(end).isNotNull() & (F.col("_from") <= F.col("_to")))
+        # Without calendar dates there is nothing to cut a range to.
+        .where(first.isNotNull() & F.col(start).isNotNull() & F.col(end).isNotNull() & (F.col("_from") <= F.col("_to")))
     )
     return (
         span.withColumn("interval_date", F.explode(F.sequence("_from", "_to")))
@@ -109,21 +110,35 @@ def clip_to_dates(
 
     The same as expanding to dates and taking their bounds, without the dates: every day of
     the calendar's span knows the calendar date at or after it and at or before it, and a
-    range looks up its two ends. The lookup has one row per day of the span.
+    range looks up its two ends. The lookup has one row per day of the span, ordered within
+    each year; what lies beyond the year comes from a row per year.
     """
     days = calendar.select("interval_date").distinct()
     first = days.select(F.min("interval_date")).scalar()
     last = days.select(F.max("interval_date")).scalar()
-    onward = Window.orderBy("day").rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    so_far = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    span = days.agg(F.min("interval_date").alias("a"), F.max("interval_date").alias("b")).select(
-        F.explode(F.sequence("a", "b")).alias("day")
+    whole = days.agg(F.min("interval_date").alias("a"), F.max("interval_date").alias("b"))
+    span = whole.select(F.explode(F.sequence("a", "b")).alias("day")).withColumn("_year", F.year("day"))
+    years = whole.select(F.explode(F.sequence(F.year("a"), F.year("b"))).alias("_year")).join(
+        days.groupBy(F.year("interval_date").alias("_year")).agg(
+            F.min("interval_date").alias("_first"), F.max("interval_date").alias("_last")
+        ),
+        "_year",
+        "left",
     )
-    ends = span.join(days, F.col("day") == F.col("interval_date"), "left").select(
-        "day", F.min("interval_date").over(onward).alias("next"), F.max("interval_date").over(so_far).alias("previous")
+    later = Window.orderBy("_year").rowsBetween(1, Window.unboundedFollowing)
+    earlier = Window.orderBy("_year").rowsBetween(Window.unboundedPreceding, -1)
+    years = years.select("_year", F.min("_first").over(later).alias("_later"), F.max("_last").over(earlier).alias("_earlier"))
+    onward = Window.partitionBy("_year").orderBy("day").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    so_far = Window.partitionBy("_year").orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ends = (
+        span.join(days, F.col("day") == F.col("interval_date"), "left").join(years, "_year")
+        .select(
+            "day", F.coalesce(F.min("interval_date").over(onward), "_later").alias("next"),
+            F.coalesce(F.max("interval_date").over(so_far), "_earlier").alias("previous"),
+        )
     )
-    opening = F.broadcast(ends.select(F.col("day").alias("_from"), F.col("next").alias("_opens")))
-    closing = F.broadcast(ends.select(F.col("day").alias("_to"), F.col("previous").alias("_closes")))
+    opening = sized(ends.select(F.col("day").alias("_from"), F.col("next").alias("_opens")))
+    closing = sized(ends.select(F.col("day").alias("_to"), F.col("previous").alias("_closes")))
     return (
         ranges.withColumn("_from", F.greatest(F.col(start), first))
         .withColumn("_to", F.least(F.col(end), last))

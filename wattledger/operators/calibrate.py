@@ -48,11 +48,9 @@ def best_samples(
         F.explode(F.sequence(F.greatest("period_start", F.lit(as_of)), "period_end")).alias("interval_date"),
         F.col("price").alias("lgc_price"),
     )
-    bounded = (
-        F.when(F.col("rrp") < -F.col("lgc_price"), -F.col("lgc_price"))
-        .when(F.col("rrp") > strike, F.lit(strike))
-        .otherwise(F.col("rrp"))
-    )
+    # A missing certificate price is no floor.
+    floor = F.coalesce(-F.col("lgc_price"), F.lit(float("-inf")))
+    bounded = at_most(at_least(F.col("rrp"), floor), F.greatest(F.lit(strike), floor))
     modelled = (
         ahead.join(sized(certificate), "interval_date")
         .groupBy("sample_id", *[year_of("interval_date"), quarter_of("interval_date")], "region_number")
@@ -69,12 +67,12 @@ def best_samples(
 def select_best_path(sims: DataFrame, best: DataFrame, as_of: date) -> DataFrame:
     """The simulated prices of the chosen sample of each quarter, from `as_of` on.
 
-    `best` has one row per quarter, which bounds the broadcast.
+    `best` has one row per quarter; its size is checked.
     """
-    chosen = best.select("sample_id", "year", "quarter")
+    chosen = sized(best.select("sample_id", "year", "quarter"))
     return (
         _with_quarter(sims.where(F.col("interval_date") >= F.lit(as_of)))
-        .join(F.broadcast(chosen), ["sample_id", "year", "quarter"], "left_semi")
+        .join(chosen, ["sample_id", "year", "quarter"], "left_semi")
         .select(*PATH)
     )
 
@@ -119,7 +117,7 @@ def add_cap_spikes(
 
 def apply_certificate_floor(path: DataFrame, curve: DataFrame) -> DataFrame:
     """Prices not under minus the certificate price of their year; years without one are dropped."""
-    yearly = curve.select(year_of("period_start"), F.col("price").alias("lgc_price"))
+    yearly = sized(curve.select(year_of("period_start"), F.col("price").alias("lgc_price")))
     return (
         path.withColumn("year", F.year("interval_date"))
         .join(yearly, "year")

@@ -34,7 +34,7 @@ def simulations_for(
 ) -> DataFrame:
     """Simulated prices of one model; `validate` raises for an unknown model or one without rows."""
     wanted = _chosen(models, model)
-    rows = sims.join(wanted, "model_id", "left_semi").select(
+    rows = sims.join(sized(wanted.select("model_id")), "model_id", "left_semi").select(
         "model_id", "sample_id", "interval_date", "period_id", "region_number", "rrp"
     )
     if validate:
@@ -62,19 +62,15 @@ def _day_parts(day: str = "interval_date") -> list[Column]:
 
 def regional_capacity_long(capacity: DataFrame) -> DataFrame:
     """Solar and wind capacity factors of each region as one row per fuel."""
-    return (
-        capacity.select("region_number", *_day_parts(), "solar_avail_cf", "wind_avail_cf")
-        .unpivot(["region_number", *DAY_PARTS], ["solar_avail_cf", "wind_avail_cf"], "source", "regional_capacity_factor")
-        .select(
-            "region_number", *DAY_PARTS,
-            F.when(F.col("source") == "solar_avail_cf", "Solar").otherwise("Wind").alias("fuel"),
-            "regional_capacity_factor",
-        )
-    )
+    fuels = [
+        F.struct(F.lit(fuel).alias("fuel"), F.col(column).alias("regional_capacity_factor"))
+        for fuel, column in (("Solar", "solar_avail_cf"), ("Wind", "wind_avail_cf"))
+    ]
+    return capacity.select("region_number", *_day_parts(), F.inline(F.array(*fuels)))
 
 
 def _unit_readings(readings: DataFrame, units: DataFrame, value: str) -> DataFrame:
-    contracted = units.where(F.col("duid").isNotNull()).select("duid").distinct()
+    contracted = sized(units.where(F.col("duid").isNotNull()).select("duid").distinct())
     return to_trading_interval(
         readings.join(contracted, "duid", "left_semi"), "settlementdate"
     ).select("duid", *_day_parts(), value)
@@ -106,6 +102,17 @@ def average_loss_factors(published: DataFrame) -> DataFrame:
     ).select("product_id", "jurisdiction", "loss_factor")
 
 
+def _of_years(readings: DataFrame, years: DataFrame, ts_col: str) -> DataFrame:
+    """Readings from the first to the last reference year. The bounds are values that the scan can
+    prune by; a day is left on either side, since the last interval of a day ends on the next."""
+    first, last = years.agg(F.min("year"), F.max("year")).first()
+    if first is None:
+        return readings.where(F.lit(False))
+    opens, closes = F.make_date(F.lit(first), F.lit(1), F.lit(1)), F.make_date(F.lit(last + 1), F.lit(1), F.lit(2))
+    kind = readings.schema[ts_col].dataType.simpleString()
+    return readings.where((F.col(ts_col) >= opens.cast(kind)) & (F.col(ts_col) <= closes.cast(kind)))
+
+
 def generation_profiles(
     calendar: DataFrame,
     details: DataFrame,
@@ -122,18 +129,23 @@ def generation_profiles(
     stacked per plant (meter, region, fuel) and interval and folded in one aggregate, so a
     plant and an interval without any reading never meet. Contracts of the same plant share
     that work and are told apart in the last step. Telemetry is taken as one reading per unit
-    and interval, the highest where a source has several.
+    and interval, the highest where a source has several. Readings outside the reference years
+    are left out where they are read, by a range of timestamps and then by their year.
     """
     plant = ["duid", "region_number", "fuel"]
     reading = ["availability", "scadavalue", "regional_capacity_factor"]
     small = sized(units.select("product_id", *plant, "size_mw"))
     plants = small.select(*plant).distinct()
+    years = details.select("model_id", F.col("gen_reference_year").alias("year")).distinct()
+    named = sized(years.select("year").where(F.col("year").isNotNull()).distinct())
+    scada, dispatch = (_of_years(df, years, "settlementdate") for df in (scada, dispatch))
+    capacity = _of_years(capacity, years, "interval_date")
 
     def stack(df: DataFrame, present: str) -> DataFrame:
         return df.select(
             *plant, *DAY_PARTS,
             *[(F.col(c) if c == present else F.lit(None)).cast("double").alias(c) for c in reading],
-        )
+        ).join(named, "year", "left_semi")
 
     stacked = (
         stack(unit_availability(dispatch, units).join(plants, "duid"), "availability")
@@ -143,8 +155,7 @@ def generation_profiles(
         )
     )
     folded = stacked.groupBy(*plant, *DAY_PARTS).agg(*[F.max(c).alias(c) for c in reading])
-    years = details.select("model_id", F.col("gen_reference_year").alias("year")).distinct()
-    intervals = calendar.select(*DAY_PARTS).distinct().join(years, "year")
+    intervals = calendar.select(*DAY_PARTS).distinct().join(sized(years), "year")
     metered = folded.join(intervals, DAY_PARTS).join(
         sized(latest_loss_factors(unit_detail, units)), "duid", "left"
     )
@@ -183,7 +194,7 @@ def load_profiles(
     the average loss factor.
     """
     years = details.select("model_id", F.col("demand_reference_year").alias("year")).distinct()
-    intervals = calendar.join(years, "year").select(
+    intervals = calendar.join(sized(years), "year").select(
         "model_id", "interval_date", "year", "month_id", "day_id", "period_id", "period_30min"
     )
     quantities = halfhours.select(
@@ -193,7 +204,7 @@ def load_profiles(
     return (
         intervals.join(quantities, ["interval_date", "period_30min"])
         .join(sized(average_loss_factors(published_loss)), ["product_id", "jurisdiction"], "left")
-        .join(jurisdictions.select("jurisdiction", "jurisdiction_id"), "jurisdiction")
+        .join(sized(jurisdictions.select("jurisdiction", "jurisdiction_id")), "jurisdiction")
         .select(
             "model_id", "product_id", "jurisdiction_id", *DAY_PARTS,
             (F.col("load_mw") * F.coalesce("loss_factor", F.lit(1.0)) / INTERVALS_PER_HOUR).alias("load_mwh"),
@@ -209,7 +220,7 @@ def sample_index(prices: DataFrame, details: DataFrame, year_col: str) -> DataFr
             F.dayofmonth("interval_date").alias("day_id"), "period_id",
         )
         .distinct()
-        .join(details.select("model_id", "sample_id", year_col), ["model_id", "sample_id"])
+        .join(sized(details.select("model_id", "sample_id", year_col)), ["model_id", "sample_id"])
     )
 
 
@@ -235,7 +246,7 @@ def scenario_load(profiles: DataFrame, index: DataFrame, jurisdictions: DataFram
     """Reference-year load on the dates of the path, with the region of the jurisdiction."""
     return (
         _replay(profiles, index, "demand_reference_year")
-        .join(jurisdictions.select("jurisdiction_id", "region_number"), "jurisdiction_id")
+        .join(sized(jurisdictions.select("jurisdiction_id", "region_number")), "jurisdiction_id")
         .select("product_id", "jurisdiction_id", "region_number", "interval_date", "period_id", "load_mwh")
     )
 
@@ -244,8 +255,8 @@ def scenario_shapes(shapes: DataFrame, terms: DataFrame, prices: DataFrame) -> D
     """Shapes of profiled products on the dates of the path; the price factor is always one."""
     products = terms.where(F.col("instrument").isin(*PROFILED)).select("product_id").distinct()
     return (
-        shapes.join(products, "product_id", "left_semi")
-        .join(prices.select("interval_date").distinct(), "interval_date", "left_semi")
+        shapes.join(sized(products), "product_id", "left_semi")
+        .join(sized(prices.select("interval_date").distinct()), "interval_date", "left_semi")
         .select("product_id", "interval_date", "period_id", "volume_factor", F.lit(1.0).alias("price_factor"), "strike")
     )
 

@@ -10,18 +10,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattledger.functions.money import CAP_STRIKE
-from wattledger.functions.plans import cut, sized
+from wattledger.functions.plans import sized
 from wattledger.functions.timegrid import quarter_of, year_of
 
-# Fixed values of the outlook: statuses kept, statuses that count as contracted, statuses that
-# rank samples, deals left out, deals with their own earnings rule, the placeholder deal that
-# is always hypothetical, and the ranks that stand for P90 and P10.
+# Fixed values of the outlook: statuses kept, statuses that count as contracted, the placeholder
+# deal that is always hypothetical, and the ranks that stand for P90 and P10.
 KEPT_STATUSES = ("Approved", "Confirmed", "Pending", "Hypothetical")
 CONTRACTED_STATUSES = ("Approved", "Confirmed")
-EXCLUDED_DEALS = (785, 786, 787)
-COST_SHARE_DEALS = {2893: (90 - 26) / 90}
-CAP_FOLLOWING_DEALS = (495,)
-INCOME_ONLY_DEALS = ((1760, "ppa_lgc"),)
 PLACEHOLDER_DEAL = 888888
 P90_RANK = 54
 P10_RANK = 7
@@ -33,16 +28,16 @@ DEAL_KEYS = [
 
 @dataclass(frozen=True)
 class EarningsRules:
-    """Deals whose earnings are not taken as given.
+    """Deals whose earnings are not taken as given; none unless the caller names them.
 
     `cost_share`: deal -> share of its cost to subtract from its income. `cap_following`: deals
     that pay the spot price above the strike on their volume. `income_only`: (deal, group)
     pairs that earn their income.
     """
 
-    cost_share: tuple[tuple[int, float], ...] = tuple(COST_SHARE_DEALS.items())
-    cap_following: tuple[int, ...] = CAP_FOLLOWING_DEALS
-    income_only: tuple[tuple[int, str], ...] = INCOME_ONLY_DEALS
+    cost_share: tuple[tuple[int, float], ...] = ()
+    cap_following: tuple[int, ...] = ()
+    income_only: tuple[tuple[int, str], ...] = ()
     strike: float = CAP_STRIKE
 
 
@@ -61,9 +56,9 @@ def filter_status(df: DataFrame, statuses: Sequence[str] | None = None) -> DataF
     return df.where(F.col("status").isin(list(KEPT_STATUSES if statuses is None else statuses)))
 
 
-def exclude_deals(df: DataFrame, deal_ids: Sequence[int] = EXCLUDED_DEALS) -> DataFrame:
+def exclude_deals(df: DataFrame, deal_ids: Sequence[int]) -> DataFrame:
     """Rows of all other deals."""
-    return df.where(~F.col("deal_id").isin(list(deal_ids)))
+    return df.where(~F.col("deal_id").isin(list(deal_ids))) if deal_ids else df
 
 
 def exclude_group_quarter(df: DataFrame, group: str, quarter: int, year: int) -> DataFrame:
@@ -143,9 +138,18 @@ def sample_rank(df: DataFrame, statuses: Sequence[str] = CONTRACTED_STATUSES) ->
 
 
 def _at_rank(df: DataFrame, ranks: DataFrame, rank: int) -> DataFrame:
-    """Rows of the sample that holds `rank` in each quarter: one sample per quarter, so a small broadcast."""
+    """Rows of the sample that holds `rank` in each quarter: one sample per quarter, counted."""
     chosen = ranks.where(F.col("earnings_rank") == rank).select("sample_id", "year", "quarter")
-    return df.join(F.broadcast(chosen), ["sample_id", "year", "quarter"], "left_semi")
+    return df.join(sized(chosen), ["sample_id", "year", "quarter"], "left_semi")
+
+
+def _at_ranks(df: DataFrame, ranks: DataFrame, curves: dict[str, int]) -> DataFrame:
+    """Rows of the samples that hold one of the ranks in each quarter, with the rank's curve: a
+    row of several curves comes once for each."""
+    named = F.explode(F.array(*[F.struct(F.lit(c).alias("curve"), F.lit(r).alias("r")) for c, r in curves.items()]))
+    chosen = ranks.select("sample_id", "year", "quarter", "earnings_rank", named.alias("n"))
+    chosen = chosen.where("earnings_rank = n.r").select("sample_id", "year", "quarter", "n.curve")
+    return df.join(sized(chosen), ["sample_id", "year", "quarter"])
 
 
 def outlook_at_rank(df: DataFrame, ranks: DataFrame, rank: int, curve: str) -> DataFrame:
@@ -153,10 +157,15 @@ def outlook_at_rank(df: DataFrame, ranks: DataFrame, rank: int, curve: str) -> D
     return outlook_simple(_at_rank(df, ranks, rank), curve)
 
 
+def outlook_at_ranks(df: DataFrame, ranks: DataFrame, curves: dict[str, int]) -> DataFrame:
+    """`outlook_at_rank` of several curves (name: rank) in one pass over the rows."""
+    return _at_ranks(df, ranks, curves).groupBy("curve", *DEAL_KEYS, "year", "quarter").agg(*_totals())
+
+
 def product_instrument(df: DataFrame, deal_info: DataFrame) -> DataFrame:
     """Adds the instrument name of the product; a product without one keeps its rows."""
     names = deal_info.select("product_id", "instrument").distinct()
-    return df.join(sized(cut(names)), "product_id", "left")
+    return df.join(sized(names), "product_id", "left")
 
 
 def clean_and_aggregate(
@@ -169,16 +178,19 @@ def clean_and_aggregate(
     mode: str = "simple",
     ranks: DataFrame | None = None,
     rank: int = 30,
+    ranked_curves: dict[str, int] | None = None,
     statuses: Sequence[str] | None = KEPT_STATUSES,
-    rules: EarningsRules | None = EarningsRules(),
-    excluded_deals: Sequence[int] | None = EXCLUDED_DEALS,
-    excluded_group: tuple[str, int, int] | None = ("BESS", 2, 2025),
+    rules: EarningsRules | None = None,
+    excluded_deals: Sequence[int] | None = None,
+    excluded_group: tuple[str, int, int] | None = None,
     by_month: bool = False,
 ) -> DataFrame:
     """Filters, rules and one of the outlooks (`simple`, `sample_mean`, `scenario`) in one plan.
 
-    The date and status filters stand first, where the scan can use them. `statuses`, `rules`,
-    `excluded_deals` and `excluded_group` (group, quarter, year) are switched off by None.
+    The date and status filters stand first, where the scan can use them. `statuses` is switched
+    off by None; `rules`, `excluded_deals` and `excluded_group` (group, quarter, year) are the
+    caller's and none are built in. `ranks` with `rank` keeps the sample at one rank; with
+    `ranked_curves` (name: rank) mode `ranked` makes all those curves in one pass.
     """
     rows = df.where(F.col("interval_date").between(F.lit(start), F.lit(end)))
     if statuses is not None:
@@ -188,13 +200,15 @@ def clean_and_aggregate(
     rows = with_year_quarter(rows, by_month)
     if excluded_group is not None:
         rows = exclude_group_quarter(rows, *excluded_group)
-    if ranks is not None:
+    if ranks is not None and mode != "ranked":
         rows = _at_rank(rows, ranks, rank)
     if rules is not None:
         rows = override_earnings(rows, rules)
     rows = product_instrument(rows, deal_info)
     if mode == "sample_mean":
         return outlook_sample_mean(rows, curve)
+    if mode == "ranked":
+        return outlook_at_ranks(rows, ranks, ranked_curves)
     if mode == "scenario":
         return outlook_by_scenario(rows, "month" if by_month else "quarter")
     if mode == "simple":
@@ -241,11 +255,12 @@ def _report(rows: DataFrame, label: str, grain: str) -> DataFrame:
     )
 
 
-def _reportable(combined: DataFrame, from_year: int) -> DataFrame:
-    return combined.where(F.col("total_earnings").isNotNull() & (F.col("year") >= from_year))
+def _reportable(combined: DataFrame, from_year: int | None) -> DataFrame:
+    rows = combined.where(F.col("total_earnings").isNotNull())
+    return rows if from_year is None else rows.where(F.col("year") >= from_year)
 
 
-def outlook_report(combined: DataFrame, curve_names: DataFrame, from_year: int = 2025) -> DataFrame:
+def outlook_report(combined: DataFrame, curve_names: DataFrame, from_year: int | None = None) -> DataFrame:
     """The outlook by quarter, for curves with a name: fixed and floating legs and their rates per MWh."""
     named = _reportable(combined, from_year).join(
         curve_names.select("curve", F.col("curve_name").alias("label")), "curve"
@@ -253,7 +268,7 @@ def outlook_report(combined: DataFrame, curve_names: DataFrame, from_year: int =
     return _report(named, "label", "quarter")
 
 
-def monthly_report(combined: DataFrame, curve: str = "Central", from_year: int = 2025) -> DataFrame:
+def monthly_report(combined: DataFrame, curve: str = "Central", from_year: int | None = None) -> DataFrame:
     """The outlook of one curve by month, in the order year, month, group, region, deal."""
     rows = _reportable(combined, from_year).where(F.col("curve") == curve)
     return _report(rows, "curve", "month").orderBy("Year", "Month", "Group", "Region ID", "Deal ID")

@@ -23,7 +23,7 @@ def _under_contract(
 ) -> DataFrame:
     """Fact rows with each contract that covers them: equal `key`, date inside the contract.
 
-    A `small` contract list, counted by the caller, is broadcast and the facts are not shuffled. A larger one
+    A contract without a start or an end covers no date. A `small` list, counted by the caller, is broadcast and the facts are not shuffled. A larger one
     is spread over its dates (one row per contract and day, 1/288 of the rows it will match)
     and joined on key and date, so a product or region that owns much of the table is divided
     over its days; adaptive execution splits what is still skewed.
@@ -31,7 +31,7 @@ def _under_contract(
     carried = [c for c in dict.fromkeys([*SETTLED, "instrument", "buy", *values]) if c in terms.columns]
     contract = terms.select(*carried, "start_date", "end_date")
     shared = {c for c in contract.columns if c in facts.columns and c != key}
-    contract = contract.drop(*shared)
+    contract = contract.drop(*shared).where(F.col("start_date").isNotNull() & F.col("end_date").isNotNull())
     covered = F.col("interval_date").between(F.col("start_date"), F.col("end_date"))
     if small:
         return facts.join(F.broadcast(contract), key).where(covered).drop("start_date", "end_date")
@@ -40,7 +40,7 @@ def _under_contract(
     daily = (
         contract.withColumn("start_date", F.greatest("start_date", first))
         .withColumn("end_date", F.least("end_date", last))
-        .where(F.col("start_date") <= F.col("end_date"))
+        .where(first.isNotNull() & (F.col("start_date") <= F.col("end_date")))
         .withColumn("interval_date", F.explode(F.sequence("start_date", "end_date")))
         .drop("start_date", "end_date")
     )
@@ -193,6 +193,37 @@ def _generation_lgc(terms, generation, certificates, small) -> DataFrame:
     return _certificates(rows, certificates, volume)
 
 
+def _generation_book(terms, generation, prices, certificates, small) -> DataFrame:
+    """Energy, tolls and certificates of generation in one pass over it.
+
+    Energy rows need the price of their interval, certificate rows the market price of their
+    date; each kind looks up its own and is dropped where that is missing.
+    """
+    name = F.col("instrument")
+    green = name == "generation_lgc"
+    values = ["quantity", "price", "floor", "tolling_fee", "lgc_price", "lgc_percentage"]
+    rows = _under_contract(generation, terms, "product_id", values, small)
+    spot = prices.select(*[F.col(c).alias(f"_{c}") for c in INTERVAL], "rrp", F.lit(True).alias("_priced"))
+    same = [F.col(c) == F.col(f"_{c}") for c in INTERVAL]
+    market = certificates.select(
+        F.col("interval_date").alias("_date"), F.col("lgc_price").alias("market_price"), F.lit(True).alias("_marked")
+    )
+    rows = (
+        rows.join(spot, same[0] & same[1] & same[2] & ~green, "left")
+        .join(market, (F.col("interval_date") == F.col("_date")) & green, "left")
+        .where(F.when(green, F.col("_marked")).otherwise(F.col("_priced")))
+    )
+    share = F.col("generation_mwh") * F.col("quantity")
+    return _settled(
+        rows,
+        F.when(green, share * F.col("lgc_percentage")).otherwise(share),
+        F.when(green, F.col("volume_mwh") * F.col("market_price"))
+        .when(name == "ppa_energy", _floored_spot()).otherwise(_spot()),
+        F.when(green, F.col("volume_mwh") * F.col("lgc_price"))
+        .when(name == "ppa_energy", _contract_price()).otherwise(_daily_fee()),
+    )
+
+
 def retail_lgc(
     terms: DataFrame, load: DataFrame, certificates: DataFrame, broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
@@ -221,19 +252,17 @@ def _turned_down(generation, turndowns, prices, small) -> DataFrame:
         "product_id", "region_number", "start_date", "end_date", "turndown"
     )
     limits = F.broadcast(limits) if small else limits.hint("merge")
-    columns = ["product_id", "interval_date", "period_id", "generation_mwh"]
-    free = generation.join(limits.select("product_id").distinct(), "product_id", "left_anti").select(*columns)
-    limited = (
-        generation.join(limits, "product_id")
-        .where(F.col("interval_date").between(F.col("start_date"), F.col("end_date")))
+    inside = F.col("interval_date").between(F.col("start_date"), F.col("end_date"))
+    # Generation is read once: rows of products without a turndown find no limit and no price.
+    return (
+        generation.join(limits, "product_id", "left")
+        .where(F.col("turndown").isNull() | inside)
         .join(prices, INTERVAL, "left")
-        .withColumn(
-            "generation_mwh",
-            F.when(F.col("rrp") < F.col("turndown"), F.lit(0.0)).otherwise(F.col("generation_mwh")),
+        .select(
+            "product_id", "interval_date", "period_id",
+            F.when(F.col("rrp") < F.col("turndown"), F.lit(0.0)).otherwise(F.col("generation_mwh")).alias("generation_mwh"),
         )
-        .select(*columns)
     )
-    return free.unionByName(limited)
 
 
 def _sides(terms: DataFrame) -> DataFrame:
@@ -267,8 +296,8 @@ def settle_book(
 ) -> DataFrame:
     """Income and cost of the whole book per contract and interval.
 
-    Instruments that use the same inputs are settled in one pass over them (six passes for
-    nine instruments), and the side of each contract is attached to the terms, not to the
+    Instruments that use the same inputs are settled in one pass over them (five passes for
+    nine instruments, one of them over generation), and the side of each contract is attached to the terms, not to the
     interval rows. `terms` carries `instrument` and `instrument_id`.
     """
     # The book fits when all of it does: its parts are then small too.
@@ -283,13 +312,9 @@ def settle_book(
 
     name = F.col("instrument")
     passes = [
-        _generation_energy(
-            of("ppa_energy", "asset_toll_energy"), metered, prices,
-            F.when(name == "ppa_energy", _floored_spot()).otherwise(_spot()),
-            F.when(name == "ppa_energy", _contract_price()).otherwise(_daily_fee()),
-            small,
+        _generation_book(
+            of("ppa_energy", "asset_toll_energy", "generation_lgc"), metered, prices, certificates, small
         ),
-        _generation_lgc(of("generation_lgc"), metered, certificates, small),
         _retail_energy(of("retail_energy"), load, prices, rates, small),
         _retail_lgc(of("retail_lgc"), load, certificates, small),
         _flat(

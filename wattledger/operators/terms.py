@@ -1,25 +1,23 @@
 """Settlement terms: one typed row per contract, instrument and validity range.
 
-Where values change by date, contracts are spread over the dates of the horizon inside each
-task and grouped back right away, so the dates are folded up before the shuffle. Where they
-do not, only the ends of the range are looked up.
+Ranges of contracts, escalations and tolls are intersected as ranges; only their ends are looked
+up in the calendar. Certificate rates, which come by date, are folded to ranges per product
+before contracts are joined.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattledger.operators.calendar import clip_to_dates, compact_ranges, expand_to_dates
+from wattledger.functions.plans import sized
+from wattledger.operators.calendar import OPEN_END, clip_to_dates, compact_ranges
 from wattledger.operators.trades import with_region_number
 
 TERM_VALUES = (
     "quantity", "price", "strike", "tolling_fee", "floor", "turndown", "lgc_price", "lgc_percentage",
 )
 
-# Products whose certificates are settled at a price of zero.
-ZERO_CERTIFICATE_PRODUCTS = (1255,)
-
 
 def _terms(df: DataFrame, instrument: str | Column, **values: Column | str) -> DataFrame:
     """The settlement-terms columns; values not given are null."""
@@ -35,6 +33,40 @@ def _terms(df: DataFrame, instrument: str | Column, **values: Column | str) -> D
     )
 
 
+def _without_gaps(ranges: DataFrame, key: str, value: str) -> DataFrame:
+    """The ranges of each key, and the times between, before and after them with a null value.
+
+    A key has a range per factor change, so its window is small.
+    """
+    held = ranges.where(F.col("from_date") <= F.col("to_date"))
+    ordered = Window.partitionBy(key).orderBy("from_date", "to_date", value)
+    so_far = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    day_before, day_after = F.date_sub("from_date", 1), F.date_add("_reached", 1)
+    gaps = held.withColumn("_reached", F.max("to_date").over(so_far)).select(
+        key, F.coalesce(day_after, F.to_date(F.lit("0001-01-01"))).alias("from_date"), day_before.alias("to_date"),
+        F.lit(None).cast("double").alias(value),
+    )
+    after = held.groupBy(key).agg(F.max("to_date").alias("_reached")).where(F.col("_reached") < F.lit(OPEN_END)).select(
+        key, day_after.alias("from_date"), F.lit(OPEN_END).alias("to_date"), F.lit(None).cast("double").alias(value)
+    )
+    every = held.select(key, "from_date", "to_date", value).unionByName(gaps).unionByName(after)
+    return every.where(F.col("from_date") <= F.col("to_date"))
+
+
+def _cut_by(contracts: DataFrame, ranges: DataFrame, value: str) -> DataFrame:
+    """Contracts cut at the ranges of their deal; those of deals without ranges have a null value."""
+    opens, closes = F.greatest("start_date", "from_date"), F.least("end_date", "to_date")
+    # A missing date of the contract stays missing; `greatest` alone would replace it.
+    dated = F.col("start_date").isNotNull() & F.col("end_date").isNotNull()
+    return (
+        contracts.where(dated)
+        .join(_without_gaps(ranges, "_deal", value), F.col("deal_id") == F.col("_deal"), "left")
+        .withColumn("start_date", opens).withColumn("end_date", closes)
+        .where(F.col("start_date") <= F.col("end_date"))
+        .drop("_deal", "from_date", "to_date")
+    )
+
+
 def ppa_energy_terms(
     contracts: DataFrame, trades: DataFrame, factors: DataFrame, calendar: DataFrame
 ) -> DataFrame:
@@ -44,8 +76,6 @@ def ppa_energy_terms(
     ).join(
         trades.select("product_id", "deal_id", "buy_sell", "price").distinct(), ["product_id", "deal_id"]
     )
-    daily = expand_to_dates(priced, calendar)
-    held = F.col("interval_date").between(F.col("from_date"), F.col("to_date"))
     escalation = factors.where(F.col("type") == "R").select(
         F.col("deal_id").alias("_deal"), "from_date", "to_date", F.col("factor").alias("escalation")
     )
@@ -53,16 +83,12 @@ def ppa_energy_terms(
         F.col("deal_id").alias("_deal"), "from_date", "to_date",
         (F.col("factor") / (F.date_diff("to_date", "from_date") + 1)).alias("tolling_fee"),
     )
-    same_deal = F.col("deal_id") == F.col("_deal")
-    valued = (
-        daily.join(escalation, same_deal & held, "left").drop("_deal", "from_date", "to_date")
-        .join(toll, same_deal & held, "left").drop("_deal", "from_date", "to_date")
-        .withColumn("price", F.col("price") * F.coalesce("escalation", F.lit(1.0)))
-    )
-    ranges = compact_ranges(
-        valued,
-        ["deal_id", "product_id", "buy_sell", "region_number", "price", "quantity_factor", "floor", "turndown", "tolling_fee"],
+    valued = _cut_by(_cut_by(priced, escalation, "escalation"), toll, "tolling_fee").withColumn(
+        "price", F.col("price") * F.coalesce("escalation", F.lit(1.0))
     )
+    ranges = clip_to_dates(valued, calendar).groupBy(
+        "deal_id", "product_id", "buy_sell", "region_number", "price", "quantity_factor", "floor", "turndown", "tolling_fee"
+    ).agg(F.min("start_date").alias("start_date"), F.max("end_date").alias("end_date"))
     return _terms(
         ranges,
         F.when(F.col("tolling_fee").isNotNull(), "asset_toll_energy").otherwise("ppa_energy"),
@@ -75,27 +101,32 @@ def ppa_certificate_terms(
     trades: DataFrame,
     rates: DataFrame,
     calendar: DataFrame,
-    zero_price_products: tuple[int, ...] = ZERO_CERTIFICATE_PRODUCTS,
+    zero_price_products: tuple[int, ...] = (),
 ) -> DataFrame:
-    """Offtake certificates: contracts by the certificate rate of each of their dates."""
+    """Offtake certificates: contracts by the certificate rate of each of their dates.
+
+    Rates are folded up per product and contract dates before the contracts are joined. The
+    certificates of `zero_price_products` are settled at a price of zero.
+    """
     sides = trades.select("product_id", "deal_id", "buy_sell").distinct()
     parties = contracts.select(
         "deal_id", "product_id", "region_number", "start_date", "end_date", "quantity_factor"
     ).join(sides, ["product_id", "deal_id"])
     dates = calendar.select("interval_date").distinct()
     zero = F.col("product_id").isin(list(zero_price_products)) if zero_price_products else F.lit(False)
-    daily = (
-        rates.join(dates, "interval_date", "left_semi")
-        .join(parties, "product_id")
-        .where(F.col("interval_date").between(F.col("start_date"), F.col("end_date")))
-        .drop("start_date", "end_date")
+    parties = parties.withColumnsRenamed({"start_date": "_opens", "end_date": "_closes"})
+    held = ["product_id", "_opens", "_closes"]
+    rated = (
+        rates.join(sized(dates), "interval_date", "left_semi")
         .withColumn("lgc_price", F.when(zero, 0.0).otherwise(F.coalesce("lgc_price", F.lit(0.0))))
         .withColumn("lgc_percentage", F.coalesce("lgc_percentage", F.lit(0.0)))
+        .join(sized(parties.select(*held).distinct()), "product_id")
+        .where(F.col("interval_date").between(F.col("_opens"), F.col("_closes")))
     )
-    ranges = compact_ranges(
-        daily,
-        ["deal_id", "product_id", "buy_sell", "region_number", "quantity_factor", "lgc_price", "lgc_percentage"],
-    )
+    folded = compact_ranges(rated, [*held, "lgc_price", "lgc_percentage"])
+    ranges = parties.join(folded, held).groupBy(
+        "deal_id", "product_id", "buy_sell", "region_number", "quantity_factor", "lgc_price", "lgc_percentage"
+    ).agg(F.min("start_date").alias("start_date"), F.max("end_date").alias("end_date"))
     return _terms(
         ranges, "generation_lgc", quantity="quantity_factor", lgc_price="lgc_price", lgc_percentage="lgc_percentage"
     )

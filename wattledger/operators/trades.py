@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattledger.functions.plans import first_in_group, numbered_in_chunks
+from wattledger.functions.plans import first_in_group, numbered_in_chunks, sized
 from wattledger.operators.calendar import OPEN_END, effective_ranges
 
 
@@ -27,14 +27,19 @@ def trade_star(
     instruments: DataFrame,
     markets: DataFrame,
     nodes: DataFrame,
-    leg_order: tuple[str, ...] = (),
+    leg_order: tuple[str, ...] | None = None,
 ) -> DataFrame:
     """Every leg of every deal in an active book, with its deal, product and lookup names.
 
     The lookups are joined to deals and to products before the legs are, so the leg table
     is shuffled for two joins and the numbering only. `leg_number` counts a deal's legs by
-    transfer date, then by `leg_order`, numbered in per-date chunks.
+    transfer date, then by `leg_order` (all leg columns by name when not given), numbered in
+    per-date chunks. Lookups are sent to deals and products behind a check of their size.
     """
+    if leg_order is None:
+        leg_order = tuple(sorted(c for c in legs.columns if c not in ("dealid", "transferdate")))
+    books, strategies, companies, calendars = map(sized, (books, strategies, companies, calendars))
+    instruments, markets, nodes = map(sized, (instruments, markets, nodes))
     deal = (
         deals.join(
             books.where(F.col("active") == "Y").select(F.col("id").alias("bookid"), F.col("name").alias("book")),
@@ -134,18 +139,32 @@ def retail_rates(
 def rate_calendar(
     calendar: DataFrame,
     rates: DataFrame,
-    start: date = date(2000, 1, 1),
-    end: date = date(2050, 12, 31),
+    start: date | None = None,
+    end: date | None = None,
 ) -> DataFrame:
-    """Rate of every product, jurisdiction and interval between `start` and `end`.
+    """Rate of every product, jurisdiction and interval, from `start` and to `end` where given.
 
-    `calendar` is the output of `day_type_calendar`. Both sides are cut to the window before
-    they meet on jurisdiction, period and day type.
+    `calendar` is the output of `day_type_calendar`. Rates are cut to the calendar's dates and
+    split by month, so a day meets only the rates of its month, jurisdiction, period and day type.
     """
-    days = calendar.where(F.col("interval_date").between(F.lit(start), F.lit(end)))
-    live = rates.where((F.col("from_date") <= F.lit(end)) & (F.col("to_date") >= F.lit(start)))
+    days = calendar
+    if start is not None:
+        days = days.where(F.col("interval_date") >= F.lit(start))
+    if end is not None:
+        days = days.where(F.col("interval_date") <= F.lit(end))
+    span = days.select("interval_date")
+    first, last = span.select(F.min("interval_date")).scalar(), span.select(F.max("interval_date")).scalar()
+    opens, closes = F.greatest("from_date", first), F.least("to_date", last)
+    live = (
+        rates.where(first.isNotNull() & F.col("from_date").isNotNull() & F.col("to_date").isNotNull() & (opens <= closes))
+        .withColumn(
+            "_month",
+            F.explode(F.sequence(F.date_trunc("month", opens).cast("date"), closes, F.expr("interval 1 month"))),
+        )
+    )
     return (
-        days.join(live, ["jurisdiction_id", "period_id", "day_type"])
+        days.withColumn("_month", F.date_trunc("month", "interval_date").cast("date"))
+        .join(live, ["jurisdiction_id", "period_id", "day_type", "_month"])
         .where(F.col("interval_date").between(F.col("from_date"), F.col("to_date")))
         .select("product_id", "jurisdiction_id", "interval_date", "period_id", "rate")
     )
@@ -171,11 +190,11 @@ def certificate_rates(raw: DataFrame) -> DataFrame:
 
 def with_region_number(df: DataFrame, regions: DataFrame) -> DataFrame:
     """Adds `region_number` by `regionid`; rows of unknown regions are dropped."""
-    return df.join(regions.select("regionid", "region_number"), "regionid")
+    return df.join(sized(regions.select("regionid", "region_number")), "regionid")
 
 
 def with_jurisdiction(df: DataFrame, jurisdictions: DataFrame) -> DataFrame:
     """Adds `jurisdiction` and `region_number` by `jurisdiction_id`."""
     return df.join(
-        jurisdictions.select("jurisdiction_id", "jurisdiction", "region_number"), "jurisdiction_id"
+        sized(jurisdictions.select("jurisdiction_id", "jurisdiction", "region_number")), "jurisdiction_id"
     )

@@ -1,7 +1,8 @@
-"""Outlook report: one curve per earnings table, with mean, P90 and P10 curves of the sampled one."""
+"""Outlook reports: one curve per earnings table, with mean and ranked curves of sampled models."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -12,34 +13,57 @@ from wattledger.operators.report import (
     P90_RANK,
     clean_and_aggregate,
     combine_curves,
+    monthly_report,
     outlook_report,
     sample_rank,
 )
+from wattledger.sources.sinks import write_report_csv
 
 
 def outlook(
-    hindcast: DataFrame, sampled: DataFrame, scenarios: DataFrame, deal_info: DataFrame, curve_names: DataFrame,
-    start: date, end: date, *, hindcast_curve: str, sampled_curve: str, ranked_start: date | None = None,
-    p90_rank: int = P90_RANK, p10_rank: int = P10_RANK, from_year: int = 2025, **options,
+    hindcast: DataFrame, sampled: dict[str, DataFrame], scenarios: DataFrame, deal_info: DataFrame,
+    curve_names: DataFrame, start: date, end: date, *, hindcast_curve: str, ranked_start: date | None = None,
+    ranks: dict[str, int] | None = None, from_year: int | None = None, csv: str | None = None, **options,
 ) -> DataFrame:
-    """The combined report of a hindcast, a sampled model and named scenarios.
+    """The combined report of a hindcast, any number of sampled models and named scenarios.
 
-    The ranked curves start at `ranked_start`, or with the others when it is not given.
+    `sampled` has the earnings of each model by curve name; it gets a mean curve and one curve
+    per entry of `ranks` (suffix: rank; P90 and P10 when not given). The ranked curves start at
+    `ranked_start`, or with the others when it is not given. `csv` writes the report there.
     """
-    ranks = cut(sample_rank(sampled))
     names = cut(deal_info.select("product_id", "instrument").distinct())
+    ranks = {"p90": P90_RANK, "p10": P10_RANK} if ranks is None else ranks
 
     def curve(df: DataFrame, name: str, opening: date = start, **more) -> DataFrame:
         return clean_and_aggregate(df, names, name, opening, end, **{**options, **more})
 
-    ranked_start = ranked_start or start
-    combined = combine_curves(
-        [
-            curve(hindcast, hindcast_curve),
-            curve(sampled, sampled_curve, mode="sample_mean"),
-            curve(sampled, f"{sampled_curve}_p90", ranked_start, ranks=ranks, rank=p90_rank),
-            curve(sampled, f"{sampled_curve}_p10", ranked_start, ranks=ranks, rank=p10_rank),
-            curve(scenarios, "", mode="scenario"),
-        ]
+    curves = [curve(hindcast, hindcast_curve), curve(scenarios, "", mode="scenario")]
+    for name, earnings in sampled.items():
+        ranked = {f"{name}_{suffix}": rank for suffix, rank in ranks.items()}
+        curves.append(curve(earnings, name, mode="sample_mean"))
+        curves.append(
+            curve(
+                earnings, name, ranked_start or start, mode="ranked", ranks=cut(sample_rank(earnings)),
+                ranked_curves=ranked,
+            )
+        )
+    report = outlook_report(combine_curves(curves), curve_names, from_year)
+    if csv is not None:
+        write_report_csv(report, csv)
+    return report
+
+
+def monthly_outlook(
+    scenarios: DataFrame, deal_info: DataFrame, start: date, end: date, *, curve: str = "Central",
+    statuses: Sequence[str] | None = None, from_year: int | None = None, csv: str | None = None, **options,
+) -> DataFrame:
+    """The monthly report of one of the named scenarios, with a status list of its own."""
+    names = cut(deal_info.select("product_id", "instrument").distinct())
+    chosen = {} if statuses is None else {"statuses": statuses}
+    rows = clean_and_aggregate(
+        scenarios, names, "", start, end, mode="scenario", by_month=True, **{**options, **chosen}
     )
-    return outlook_report(combined, curve_names, from_year)
+    report = monthly_report(rows, curve, from_year)
+    if csv is not None:
+        write_report_csv(report, csv)
+    return report

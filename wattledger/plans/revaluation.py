@@ -14,16 +14,28 @@ from pyspark.sql import functions as F
 
 from wattledger.operators import calendar as cal
 from wattledger.operators import calibrate, market, profiles, report, settle, terms, trades
-from wattledger.sources.schemas import instrument_dim, with_instrument
+from wattledger.sources.checks import check_contract
+from wattledger.sources.schemas import TABLES, instrument_dim, with_instrument
 from wattledger.sources.sinks import replace_slice, write_snapshot
 
 
+STAR_COLUMNS = (
+    "deal_id", "product_id", "product_name", "buy_sell", "optionality", "quantity", "price", "strike_price", "regionid",
+    "product_start_date", "product_end_date", "instrument", "instrument_calculation",
+)
+
+
 @dataclass(frozen=True)
 class Tables:
-    """Where the stages write: a folder with one table per name."""
+    """Where the stages write: a folder with one table per name.
+
+    A stage fails when its table breaks a contract rule named in `enforced`. Keys that source
+    data may repeat, such as terms of overlapping contracts, are enforced on request.
+    """
 
     spark: SparkSession
     root: str
+    enforced: tuple[str, ...] = ("not_null",)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -32,16 +44,33 @@ class Tables:
         return self.spark.read.parquet(self.path(name))
 
     def store(self, name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
+        """Writes the table, in its declared columns and types where `TABLES` has it, and checks
+        it against its contract; raises when an enforced rule is broken."""
+        contract = TABLES.get(name)
+        if contract is not None:
+            declared = {f.name: F.col(f.name).cast(f.dataType) for f in contract.schema.fields}
+            extra = [F.col(c) for c in df.columns if c not in declared]
+            df = df.select(*[c.alias(n) for n, c in declared.items()], *extra)
         write_snapshot(df, self.path(name), partition_by)
-        return self.read(name)
+        stored = self.read(name)
+        if contract is not None:
+            rules = check_contract(stored, contract).where(F.col("rule").isin(*self.enforced))
+            broken = rules.where("violations > 0").collect()
+            if broken:
+                raise ValueError(f"{name} breaks its contract: {[tuple(r) for r in broken]}")
+        return stored
 
 
 def update_terms(
     tables: Tables, star: DataFrame, contracts: DataFrame, storage: DataFrame, certificate_rates: DataFrame,
     factors: DataFrame, shapes: DataFrame, regions: DataFrame, calendar: DataFrame, as_of: date,
 ) -> DataFrame:
-    """Stage 1: the settlement terms of the horizon that starts at `as_of`."""
+    """Stage 1: the settlement terms of the horizon that starts at `as_of`.
+
+    The star is stored in the columns that terms need, and read from there by each of them.
+    """
     horizon = cal.horizon_filter(calendar, as_of)
+    star = tables.store("trade_star", star.select(*STAR_COLUMNS))
     return tables.store(
         "settlement_terms",
         terms.settlement_terms(
@@ -100,5 +129,25 @@ def update_earnings(
 def update_quarters(tables: Tables, run_date: date) -> DataFrame:
     """Stage 5: quarterly earnings; a second run on the same date replaces the first."""
     quarters = report.quarterly_earnings(tables.read("scenario_earnings"), run_date)
-    replace_slice(quarters, tables.path("quarterly_earnings"), ["run_date"])
+    replace_slice(quarters, tables.path("quarterly_earnings"), ["run_date"], [(run_date,)])
     return tables.read("quarterly_earnings")
+
+
+def update_profiles(
+    tables: Tables, calendar: DataFrame, details: DataFrame, units: DataFrame, scada: DataFrame, dispatch: DataFrame,
+    capacity: DataFrame, unit_detail: DataFrame, halfhours: DataFrame, published_loss: DataFrame,
+    jurisdictions: DataFrame,
+) -> tuple[DataFrame, DataFrame]:
+    """The weekly refresh: generation and load profiles in the reference years of one model's samples."""
+    generation = profiles.generation_profiles(calendar, details, units, scada, dispatch, capacity, unit_detail)
+    load = profiles.load_profiles(calendar, details, halfhours, published_loss, jurisdictions)
+    return tables.store("generation_profiles", generation), tables.store("load_profiles", load)
+
+
+def revalue(tables: Tables, as_of: date, *, terms: dict, rates: dict, prices: dict, earnings: dict) -> DataFrame:
+    """The daily job: all five stages in order, each with the inputs of its function by name."""
+    update_terms(tables, as_of=as_of, **terms)
+    update_rate_calendar(tables, as_of=as_of, **rates)
+    update_prices(tables, as_of=as_of, **prices)
+    update_earnings(tables, as_of=as_of, **earnings)
+    return update_quarters(tables, as_of)

@@ -1,19 +1,21 @@
-"""Storage profiles: price traces, dispatch, loss factors, one table slice per product."""
+"""Storage profiles: dispatch at the reference node, one table slice per product."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 
-from wattledger.operators.dispatch import storage_dispatch
-from wattledger.operators.profiles import storage_price_traces, storage_profiles
+from wattledger.operators.profiles import storage_profiles
 from wattledger.sources.sinks import replace_slice
 
 
 def update_storage_profiles(
-    path: str, sims: DataFrame, curve: DataFrame, contracts: DataFrame, unit_detail: DataFrame, model_id: int,
-    hours: float = 1 / 12,
+    path: str, dispatch: DataFrame, contracts: DataFrame, unit_detail: DataFrame, model_id: int,
+    products: Sequence[int] = (),
 ) -> None:
-    """Replaces the profiles of every contract's product at `path`; `sims` are those of one model."""
-    traces = storage_price_traces(sims, curve, contracts)
-    dispatch = storage_dispatch(traces, contracts, hours)
-    replace_slice(storage_profiles(dispatch, contracts, unit_detail, model_id), path, ["product_id"])
+    """Replaces the profiles of the products in `dispatch` at `path`, and clears those of `products`
+    that have none. `dispatch` (product, sample, interval, metered_energy_mwh) comes from a solver
+    that runs on `storage_price_traces`."""
+    slices = [(product,) for product in products]
+    replace_slice(storage_profiles(dispatch, contracts, unit_detail, model_id), path, ["product_id"], slices)

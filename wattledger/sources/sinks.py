@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def write_snapshot(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -12,12 +15,22 @@ def write_snapshot(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(path)
 
 
-def replace_slice(df: DataFrame, path: str, keys: Sequence[str]) -> None:
+def replace_slice(
+    df: DataFrame, path: str, keys: Sequence[str], slices: Sequence[Sequence[object]] = ()
+) -> None:
     """Replaces the slices (values of `keys`, such as a run date or a product) that `df` holds.
 
     Other slices stay, so running it again changes nothing. Rows are written by the tasks that
-    have them: no slice is gathered in one task. A slice without rows in `df` stays as it was.
+    have them: no slice is gathered in one task. A slice named in `slices` that has no rows in
+    `df` is cleared: what an earlier run left there is not part of the new result.
     """
+    for values in slices:
+        own = [F.col(k).eqNullSafe(F.lit(v)) for k, v in zip(keys, values)]
+        if df.where(reduce(and_, own)).isEmpty():
+            folder = "/".join([path, *(f"{k}={v}" for k, v in zip(keys, values))])
+            jvm = df.sparkSession._jvm
+            place = jvm.org.apache.hadoop.fs.Path(folder)
+            place.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
 
 
