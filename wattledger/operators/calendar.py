@@ -7,7 +7,7 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattledger.functions.plans import sized
+from wattledger.functions.plans import BROADCAST_ROWS, sized
 from wattledger.functions.timegrid import period_of, trading_date_of
 
 OPEN_END = date(9999, 12, 31)
@@ -114,9 +114,14 @@ def clip_to_dates(
     each year; what lies beyond the year comes from a row per year.
     """
     days = calendar.select("interval_date").distinct()
-    first = days.select(F.min("interval_date")).scalar()
-    last = days.select(F.max("interval_date")).scalar()
-    whole = days.agg(F.min("interval_date").alias("a"), F.max("interval_date").alias("b"))
+    whole = calendar.agg(F.min("interval_date").alias("a"), F.max("interval_date").alias("b"))
+    bounds = whole.first()
+    if bounds.a is None:
+        return ranges.where(F.lit(False))
+    first, last = F.lit(bounds.a), F.lit(bounds.b)
+    whole = calendar.sparkSession.range(1).select(first.alias("a"), last.alias("b"))
+    # The lookup's size is known from the bounds.
+    small = (bounds.b - bounds.a).days < BROADCAST_ROWS
     span = whole.select(F.explode(F.sequence("a", "b")).alias("day")).withColumn("_year", F.year("day"))
     years = whole.select(F.explode(F.sequence(F.year("a"), F.year("b"))).alias("_year")).join(
         days.groupBy(F.year("interval_date").alias("_year")).agg(
@@ -137,8 +142,9 @@ def clip_to_dates(
             F.coalesce(F.max("interval_date").over(so_far), "_earlier").alias("previous"),
         )
     )
-    opening = sized(ends.select(F.col("day").alias("_from"), F.col("next").alias("_opens")))
-    closing = sized(ends.select(F.col("day").alias("_to"), F.col("previous").alias("_closes")))
+    opening = ends.select(F.col("day").alias("_from"), F.col("next").alias("_opens"))
+    closing = ends.select(F.col("day").alias("_to"), F.col("previous").alias("_closes"))
+    opening, closing = (F.broadcast(x) if small else x.hint("merge") for x in (opening, closing))
     return (
         ranges.withColumn("_from", F.greatest(F.col(start), first))
         .withColumn("_to", F.least(F.col(end), last))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattledger.functions.money import at_least
-from wattledger.functions.plans import first_in_group, sized
+from wattledger.functions.plans import first_in_group, sized, sized_all
 from wattledger.functions.timegrid import INTERVALS_PER_HOUR
 from wattledger.operators.calendar import to_trading_interval
 from wattledger.operators.market import latest_quotes
@@ -69,8 +69,11 @@ def regional_capacity_long(capacity: DataFrame) -> DataFrame:
     return capacity.select("region_number", *_day_parts(), F.inline(F.array(*fuels)))
 
 
-def _unit_readings(readings: DataFrame, units: DataFrame, value: str) -> DataFrame:
-    contracted = sized(units.where(F.col("duid").isNotNull()).select("duid").distinct())
+def _metered(units: DataFrame) -> DataFrame:
+    return units.where(F.col("duid").isNotNull()).select("duid").distinct()
+
+
+def _unit_readings(readings: DataFrame, contracted: DataFrame, value: str) -> DataFrame:
     return to_trading_interval(
         readings.join(contracted, "duid", "left_semi"), "settlementdate"
     ).select("duid", *_day_parts(), value)
@@ -78,12 +81,12 @@ def _unit_readings(readings: DataFrame, units: DataFrame, value: str) -> DataFra
 
 def unit_actuals(scada: DataFrame, units: DataFrame) -> DataFrame:
     """Metered output of contracted units per interval."""
-    return _unit_readings(scada, units, "scadavalue")
+    return _unit_readings(scada, sized(_metered(units)), "scadavalue")
 
 
 def unit_availability(dispatch: DataFrame, units: DataFrame) -> DataFrame:
     """Available output of contracted units per interval."""
-    return _unit_readings(dispatch, units, "availability")
+    return _unit_readings(dispatch, sized(_metered(units)), "availability")
 
 
 def latest_loss_factors(detail: DataFrame, units: DataFrame) -> DataFrame:
@@ -102,10 +105,9 @@ def average_loss_factors(published: DataFrame) -> DataFrame:
     ).select("product_id", "jurisdiction", "loss_factor")
 
 
-def _of_years(readings: DataFrame, years: DataFrame, ts_col: str) -> DataFrame:
+def _of_years(readings: DataFrame, first: int | None, last: int | None, ts_col: str) -> DataFrame:
     """Readings from the first to the last reference year. The bounds are values that the scan can
     prune by; a day is left on either side, since the last interval of a day ends on the next."""
-    first, last = years.agg(F.min("year"), F.max("year")).first()
     if first is None:
         return readings.where(F.lit(False))
     opens, closes = F.make_date(F.lit(first), F.lit(1), F.lit(1)), F.make_date(F.lit(last + 1), F.lit(1), F.lit(2))
@@ -134,12 +136,13 @@ def generation_profiles(
     """
     plant = ["duid", "region_number", "fuel"]
     reading = ["availability", "scadavalue", "regional_capacity_factor"]
-    small = sized(units.select("product_id", *plant, "size_mw"))
-    plants = small.select(*plant).distinct()
     years = details.select("model_id", F.col("gen_reference_year").alias("year")).distinct()
-    named = sized(years.select("year").where(F.col("year").isNotNull()).distinct())
-    scada, dispatch = (_of_years(df, years, "settlementdate") for df in (scada, dispatch))
-    capacity = _of_years(capacity, years, "interval_date")
+    small, years = sized_all(units.select("product_id", *plant, "size_mw"), years)
+    plants = small.select(*plant).distinct()
+    named = years.select("year").where(F.col("year").isNotNull()).distinct()
+    bounds = tuple(details.agg(F.min("gen_reference_year"), F.max("gen_reference_year")).first())
+    scada, dispatch = (_of_years(df, *bounds, "settlementdate") for df in (scada, dispatch))
+    capacity = _of_years(capacity, *bounds, "interval_date")
 
     def stack(df: DataFrame, present: str) -> DataFrame:
         return df.select(
@@ -148,14 +151,14 @@ def generation_profiles(
         ).join(named, "year", "left_semi")
 
     stacked = (
-        stack(unit_availability(dispatch, units).join(plants, "duid"), "availability")
-        .unionByName(stack(unit_actuals(scada, units).join(plants, "duid"), "scadavalue"))
+        stack(_unit_readings(dispatch, _metered(small), "availability").join(plants, "duid"), "availability")
+        .unionByName(stack(_unit_readings(scada, _metered(small), "scadavalue").join(plants, "duid"), "scadavalue"))
         .unionByName(
             stack(regional_capacity_long(capacity).join(plants, ["region_number", "fuel"]), "regional_capacity_factor")
         )
     )
     folded = stacked.groupBy(*plant, *DAY_PARTS).agg(*[F.max(c).alias(c) for c in reading])
-    intervals = calendar.select(*DAY_PARTS).distinct().join(sized(years), "year")
+    intervals = calendar.select(*DAY_PARTS).distinct().join(years, "year")
     metered = folded.join(intervals, DAY_PARTS).join(
         sized(latest_loss_factors(unit_detail, units)), "duid", "left"
     )

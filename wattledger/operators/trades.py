@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattledger.functions.plans import first_in_group, numbered_in_chunks, sized
+from wattledger.functions.plans import first_in_group, numbered_in_chunks, sized, sized_all
 from wattledger.operators.calendar import OPEN_END, effective_ranges
 
 
@@ -38,8 +38,9 @@ def trade_star(
     """
     if leg_order is None:
         leg_order = tuple(sorted(c for c in legs.columns if c not in ("dealid", "transferdate")))
-    books, strategies, companies, calendars = map(sized, (books, strategies, companies, calendars))
-    instruments, markets, nodes = map(sized, (instruments, markets, nodes))
+    books, strategies, companies, calendars, instruments, markets, nodes = sized_all(
+        books, strategies, companies, calendars, instruments, markets, nodes
+    )
     deal = (
         deals.join(
             books.where(F.col("active") == "Y").select(F.col("id").alias("bookid"), F.col("name").alias("book")),
