@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattledger.functions.plans import sized
-from wattledger.llm.common import staged, whole_text
+from wattledger.llm.common import join_groups, staged, whole_text
 
 PREFIX_CHARS = 256
 # Surviving (length, prefix) keys that may be sent to every executor: 16 bytes each.
@@ -60,7 +60,7 @@ def exact_dedup(
         .agg(F.max(id_col).alias("_keep"), F.count(F.lit(1)).alias("_size"))
         .where("_size > 1")
     )
-    marked = hashed.join(groups, "text_sha256", "left")
+    marked = join_groups(hashed, staged(groups, "exact-groups"), "text_sha256", "_size")
     keep = F.when(F.col("_size").isNull(), F.col(id_col)).otherwise(F.col("_keep"))
     return marked.select(
         F.col(id_col),
