@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattledger.llm.common import scratch_path, staged, whole_text
+from wattledger.llm.common import join_groups, scratch_path, staged, whole_text
 
 
 @dataclass(frozen=True)
@@ -119,8 +119,10 @@ def scan_history(
     known = ledger_of(spark, ledger).where(
         (F.col("rule_version") == rule_version) & (F.size("findings") > 0)
     )
+    held = paths.groupBy("blob_id").agg(F.count(F.lit(1)).alias("_paths"))
+    known = staged(known.select("blob_id", "findings").join(held, "blob_id"), "secret-findings")
     none = F.array().cast(f"array<{SPAN}>")
-    return paths.join(known.select("blob_id", "findings"), "blob_id", "left").select(
+    return join_groups(paths, known, "blob_id", "_paths").select(
         *path_cols, "blob_id", F.coalesce("findings", none).alias("findings")
     )
 
