@@ -103,3 +103,11 @@ def test_clipping_crosses_years_without_dates(spark):
     )
     got = {r.id: (r.start_date, r.end_date) for r in cal.clip_to_dates(ranges, days).collect()}
     assert got == {1: (date(2022, 5, 5), date(2022, 5, 5)), 2: (date(2019, 3, 1), date(2019, 3, 1))}
+
+
+def test_ranges_split_at_gaps_on_request(spark):
+    days = [(1, date(2020, 1, d)) for d in (1, 2, 3, 6, 7)] + [(2, date(2020, 1, 5))]
+    daily = spark.createDataFrame(days + days[:2], "k int, interval_date date")
+    got = sorted((r.k, r.start_date.day, r.end_date.day) for r in cal.compact_ranges(daily, ["k"], split_gaps=True).collect())
+    assert got == [(1, 1, 3), (1, 6, 7), (2, 5, 5)]
+    assert {(r.k, r.start_date.day, r.end_date.day) for r in cal.compact_ranges(daily, ["k"]).collect()} == {(1, 1, 7), (2, 5, 5)}

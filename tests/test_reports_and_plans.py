@@ -233,3 +233,36 @@ def test_filters_reach_the_scan(spark, inputs, capsys):
     calibrate.select_best_path(spark.read.parquet(path), best, q.TODAY).explain()
     plan = capsys.readouterr().out
     assert "GreaterThanOrEqual(interval_date,1998-05-20)" in plan and "Exchange hash" not in plan
+
+
+def test_wholesale_prices_escalate_on_request(spark):
+    trades_ = spark.createDataFrame(
+        [(1, 7, "P", "Buy", "Firm", 2.0, 100.0, 300.0, "R1", date(2020, 1, 1), date(2020, 1, 31), "Swap A", "Swap")],
+        "deal_id int, product_id int, product_name string, buy_sell string, optionality string, quantity double, price double,"
+        " strike_price double, regionid string, product_start_date date, product_end_date date, instrument string, instrument_calculation string",
+    )
+    regions = spark.createDataFrame([("R1", 1)], "regionid string, region_number int")
+    shapes = spark.createDataFrame([], "product_id int, volume_factor double")
+    days = spark.sql("select explode(sequence(date'2020-01-01', date'2020-01-31')) interval_date")
+    factors = spark.createDataFrame(
+        [(1, "R", date(2020, 1, 11), date(2020, 1, 20), 1.1)], "deal_id int, type string, from_date date, to_date date, factor double"
+    )
+    plain = terms.wholesale_terms(trades_, regions, shapes, days).collect()
+    assert [(r.price, r.start_date.day, r.end_date.day) for r in plain] == [(100.0, 1, 31)]
+    raised = terms.wholesale_terms(trades_, regions, shapes, days, escalation=factors).collect()
+    assert sorted((round(r.price, 2), r.start_date.day, r.end_date.day) for r in raised) == [(100.0, 1, 31), (110.0, 11, 20)]
+
+
+def test_an_open_toll_can_end_with_its_month(spark):
+    contracts = spark.createDataFrame(
+        [(1, 7, 1, date(2020, 1, 1), date(2020, 3, 31), 1.0, None, None)],
+        "deal_id int, product_id int, region_number int, start_date date, end_date date, quantity_factor double, floor double, turndown double",
+    )
+    sides = spark.createDataFrame([(7, 1, "Buy", 50.0)], "product_id int, deal_id int, buy_sell string, price double")
+    days = spark.sql("select explode(sequence(date'2020-01-01', date'2020-03-31')) interval_date")
+    factors = spark.createDataFrame(
+        [(1, "M", date(2020, 2, 1), date(9999, 12, 31), 2900.0)], "deal_id int, type string, from_date date, to_date date, factor double"
+    )
+    got = terms.ppa_energy_terms(contracts, sides, factors, days, open_toll_to_month_end=True).collect()
+    tolled = [(r.tolling_fee, r.start_date, r.end_date) for r in got if r.tolling_fee is not None]
+    assert tolled == [(100.0, date(2020, 2, 1), date(2020, 2, 29))]

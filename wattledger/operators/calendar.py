@@ -72,8 +72,20 @@ def effective_ranges(
     )
 
 
-def compact_ranges(daily: DataFrame, keys: list[str | Column]) -> DataFrame:
-    """First and last date of each attribute combination; gaps inside are bridged."""
+def compact_ranges(daily: DataFrame, keys: list[str | Column], split_gaps: bool = False) -> DataFrame:
+    """First and last date of each attribute combination.
+
+    Gaps inside are bridged, or with `split_gaps` a range ends where a day is missing; the dates
+    of one combination are numbered for that, at most one per day.
+    """
+    if split_gaps:
+        named = [k if isinstance(k, str) else k.alias(f"_key{i}") for i, k in enumerate(keys)]
+        days = daily.select(*named, "interval_date").distinct()
+        names = [c for c in days.columns if c != "interval_date"]
+        nth = F.row_number().over(Window.partitionBy(*names).orderBy("interval_date"))
+        return days.withColumn("_island", F.date_sub("interval_date", nth)).groupBy(*names, "_island").agg(
+            F.min("interval_date").alias("start_date"), F.max("interval_date").alias("end_date")
+        ).drop("_island")
     return daily.groupBy(*keys).agg(
         F.min("interval_date").alias("start_date"), F.max("interval_date").alias("end_date")
     )

@@ -68,9 +68,14 @@ def _cut_by(contracts: DataFrame, ranges: DataFrame, value: str) -> DataFrame:
 
 
 def ppa_energy_terms(
-    contracts: DataFrame, trades: DataFrame, factors: DataFrame, calendar: DataFrame
+    contracts: DataFrame, trades: DataFrame, factors: DataFrame, calendar: DataFrame,
+    open_toll_to_month_end: bool = False,
 ) -> DataFrame:
-    """Offtake energy: price times escalation, daily toll where a monthly one holds."""
+    """Offtake energy: price times escalation, daily toll where a monthly one holds.
+
+    A toll is spread evenly over the days it holds. One without an end holds for good, or with
+    `open_toll_to_month_end` to the end of its first month.
+    """
     priced = contracts.select(
         "deal_id", "product_id", "region_number", "start_date", "end_date", "quantity_factor", "floor", "turndown"
     ).join(
@@ -79,7 +84,11 @@ def ppa_energy_terms(
     escalation = factors.where(F.col("type") == "R").select(
         F.col("deal_id").alias("_deal"), "from_date", "to_date", F.col("factor").alias("escalation")
     )
-    toll = factors.where(F.col("type") == "M").select(
+    monthly = factors.where(F.col("type") == "M")
+    if open_toll_to_month_end:
+        open_end = F.col("to_date") == F.lit(OPEN_END)
+        monthly = monthly.withColumn("to_date", F.when(open_end, F.last_day("from_date")).otherwise(F.col("to_date")))
+    toll = monthly.select(
         F.col("deal_id").alias("_deal"), "from_date", "to_date",
         (F.col("factor") / (F.date_diff("to_date", "from_date") + 1)).alias("tolling_fee"),
     )
@@ -181,12 +190,14 @@ def retail_certificate_terms(
 
 
 def wholesale_terms(
-    trades: DataFrame, regions: DataFrame, shapes: DataFrame, calendar: DataFrame
+    trades: DataFrame, regions: DataFrame, shapes: DataFrame, calendar: DataFrame,
+    escalation: DataFrame | None = None,
 ) -> DataFrame:
     """Firm swaps and caps, flat or profiled.
 
-    Price escalation takes no part: the wholesale price is settled as traded. A product counts
-    as profiled when it has a profile row with a volume.
+    The wholesale price is settled as traded, or times the deal's factor of type R where
+    `escalation` (deal factors) is given. A product counts as profiled when it has a profile row
+    with a volume.
     """
     firm = (
         trades.where(
@@ -200,6 +211,13 @@ def wholesale_terms(
         )
         .distinct()
     )
+    if escalation is not None:
+        factors = escalation.where(F.col("type") == "R").select(
+            F.col("deal_id").alias("_deal"), "from_date", "to_date", F.col("factor").alias("_factor")
+        )
+        dates = {"product_start_date": "start_date", "product_end_date": "end_date"}
+        firm = _cut_by(firm.withColumnsRenamed(dates), factors, "_factor").withColumnsRenamed({v: k for k, v in dates.items()})
+        firm = firm.withColumn("price", F.col("price") * F.coalesce("_factor", F.lit(1.0))).drop("_factor")
     ranges = _widest(
         clip_to_dates(with_region_number(firm, regions), calendar, "product_start_date", "product_end_date"),
         ["product_id", "instrument_calculation", "deal_id", "buy_sell", "region_number", "quantity", "price", "strike_price"],
