@@ -25,14 +25,17 @@ from wattledger.llm.wordscan import BASE, byte_view, powers
 
 WINDOW = 400
 TRIGGER = 16
-# One position in SPACING is a trigger.
+# One position in SPACING is a trigger; in stretches without one, as text that repeats itself has
+# them, one in SPARE_SPACING of another kind.
 SPACING = 64
-# A window is filed under its first trigger if that starts within its first REACH bytes; the few
-# windows without one are compared by themselves. The rest of the window is behind any trigger.
+SPARE_SPACING = 4
+# A window is filed under its first trigger if that starts within its first REACH bytes, else under
+# its first spare trigger there; the few windows without either are compared by themselves. The
+# rest of the window is behind any trigger.
 REACH = 340
 # Offsets of windows that are settled together.
 BLOCK = 32
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 # Fingerprints of documents that may be sent to every executor.
 BROADCAST_DOCS = 500_000
 
@@ -54,10 +57,10 @@ class Parse:
             self.back.append(powers(pow(base, -1, 1 << 64), size + 1))
         at = np.arange(max(0, size - TRIGGER + 1))
         rolled = self.digest(at, at + TRIGGER)
-        at = at[(rolled >> np.uint64(40)) % np.uint64(SPACING) == 0]
         text = self.text_of(at)
         inside = at + TRIGGER <= self.offsets[text + 1]
-        self.triggers, self.text = at[inside], text[inside]
+        main = inside & ((rolled >> np.uint64(40)) % np.uint64(SPACING) == 0)
+        self.triggers, self.text = at[main], text[main]
         # The gap to the trigger before, or to the text's start.
         begin = self.offsets[self.text]
         before = np.concatenate([[-1], self.triggers[:-1]])[: len(self.triggers)]
@@ -65,6 +68,23 @@ class Parse:
         # Offsets of the windows that have this trigger as their first one.
         self.least = np.maximum(0, self.triggers + WINDOW - self.offsets[self.text + 1])
         self.most = np.minimum(gap, REACH) - 1
+        self.add_spares(at[inside & ((rolled >> np.uint64(20)) % np.uint64(SPARE_SPACING) == 0)])
+
+    def add_spares(self, spares: np.ndarray) -> None:
+        """Files windows without a trigger under their first spare one, where there is any."""
+        alone = self.bare()
+        if not len(alone) or not len(spares):
+            return
+        place = np.searchsorted(spares, alone)
+        spare = spares[np.minimum(place, len(spares) - 1)]
+        near = (place < len(spares)) & (spare - alone < REACH) & (self.text_of(spare) == self.text_of(alone))
+        alone, spare = alone[near], spare[near]
+        # The windows of a spare trigger are neighbours: those before it up to the one before that.
+        spare, first, count = np.unique(spare, return_index=True, return_counts=True)
+        self.triggers = np.append(self.triggers, spare)
+        self.text = np.append(self.text, self.text_of(spare))
+        self.most = np.append(self.most, spare - alone[first])
+        self.least = np.append(self.least, spare - alone[first + count - 1])
 
     def text_of(self, at: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.offsets, at, side="right") - 1
@@ -75,11 +95,11 @@ class Parse:
         return made ^ (made >> np.uint64(32))
 
     def bare(self) -> np.ndarray:
-        """Starts of windows without a trigger in their first REACH bytes."""
+        """Starts of windows that no trigger has."""
         covered = np.zeros(len(self.buffer) + 1, dtype=np.int64)
-        filed = self.most >= 0
-        np.add.at(covered, self.triggers[filed] - self.most[filed], 1)
-        np.add.at(covered, self.triggers[filed] + 1, -1)
+        filed = self.most >= self.least
+        np.add.at(covered, (self.triggers - self.most)[filed], 1)
+        np.add.at(covered, (self.triggers - self.least)[filed] + 1, -1)
         lengths = np.diff(self.offsets)
         room = np.maximum(lengths - WINDOW + 1, 0)
         valid = np.repeat(self.offsets[:-1] - (np.cumsum(room) - room), room) + np.arange(room.sum())
@@ -96,9 +116,22 @@ def longs(values: np.ndarray) -> pa.Array:
     return pa.array(values.astype(np.uint64).view(np.int64))
 
 
+def runs(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last of each run of consecutive numbers in a rising list."""
+    cut = np.flatnonzero(np.diff(at) != 1) + 1
+    return at[np.concatenate([[0], cut])] if len(at) else at, at[np.append(cut - 1, len(at) - 1)] if len(at) else at
+
+
 def parsed(docs: DataFrame) -> DataFrame:
-    """From (doc, text): a row (bare, h1, h2, doc, at) per trigger that windows are filed under,
-    h1 hashing the parse right behind it, and per window without a trigger, hashed whole."""
+    """From (doc, text), rows (kind, h1, h2, doc, at, last):
+
+    - trigger: windows are filed under the trigger at `at`; h1 hashes the parse right behind it;
+    - window: a window without a trigger starts at `at`, hashed whole, once for each text;
+    - settled: windows without a trigger start at `at` to `last` and occur in this text again.
+
+    The last kind keeps text that repeats itself closely, and so may have no trigger for long
+    stretches, from giving a row per byte.
+    """
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -109,19 +142,35 @@ def parsed(docs: DataFrame) -> DataFrame:
                 used = found.least <= found.most
                 trigger, alone = found.triggers[used], found.bare()
                 key = found.digest(trigger, trigger + WINDOW - REACH)
-                where = np.concatenate([trigger, alone])
+                h1, h2 = found.digest(alone, alone + WINDOW), found.digest(alone, alone + WINDOW, 1)
+                order = np.lexsort((h2, h1, found.text_of(alone)))
+                sorted_rows = np.stack([found.text_of(alone)[order].astype(np.uint64), h1[order], h2[order]])
+                new = np.append(True, (sorted_rows[:, 1:] != sorted_rows[:, :-1]).any(axis=0))[: len(order)]
+                group = np.cumsum(new) - 1
+                again = np.bincount(group)[group] > 1 if len(group) else new
+                one = order[new]
+                first, last = runs(np.sort(alone[order[again]]))
+                # Runs may touch across texts; they are cut at the bounds of the texts.
+                inner = found.offsets[1:-1]
+                cuts = np.searchsorted(first, inner, side="right") - 1
+                across = (cuts >= 0) & (first[cuts] < inner) & (last[cuts] >= inner) if len(first) else inner < 0
+                first, last = np.sort(np.append(first, inner[across])), np.sort(np.append(last, inner[across] - 1))
+                where = np.concatenate([trigger, alone[one], first])
+                kind = np.repeat(["trigger", "window", "settled"], [len(trigger), len(one), len(first)])
+                none = np.zeros(len(first), np.uint64)
                 text = found.text_of(where)
+                base = found.offsets[text]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.arange(len(where)) >= len(trigger)),
-                        longs(np.concatenate([key, found.digest(alone, alone + WINDOW)])),
-                        longs(np.concatenate([key * 0, found.digest(alone, alone + WINDOW, 1)])),
-                        pa.array(own[text]), pa.array(where - found.offsets[text]),
+                        pa.array(kind.tolist(), pa.string()), longs(np.concatenate([key, h1[one], none])),
+                        longs(np.concatenate([key * 0, h2[one], none])), pa.array(own[text]), pa.array(where - base),
+                        pa.array(np.concatenate([trigger, alone[one], last]) - base),
                     ],
-                    ["bare", "h1", "h2", "doc", "at"],
+                    ["kind", "h1", "h2", "doc", "at", "last"],
                 )
 
-    return docs.select("doc", "text").mapInArrow(parse, "bare boolean, h1 long, h2 long, doc long, at long")
+    made = "kind string, h1 long, h2 long, doc long, at long, last long"
+    return docs.select("doc", "text").mapInArrow(parse, made)
 
 
 def blocks_of(docs: DataFrame) -> DataFrame:
@@ -252,7 +301,7 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     texts = chosen.select("doc", "text")
 
     parse = staged(parsed(texts), "repeat-parse")
-    triggers = parse.where("not bare")
+    triggers = parse.where("kind = 'trigger'")
     often = triggers.groupBy("h1").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("h1")
     live = triggers.select("h1", "doc", "at").join(often, "h1", "left_semi")
 
@@ -268,11 +317,14 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     edges = kinds.join(shared.select("core"), "core", "left_semi")
 
     windows = windows_of(with_places(texts, edges, F.struct("first", "last")))
-    windows = windows.unionByName(parse.where("bare").select("h1", "h2", "doc", "at"))
+    windows = windows.unionByName(parse.where("kind = 'window'").select("h1", "h2", "doc", "at"))
     windows = staged(windows, "repeat-windows")
     twice = windows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
     twice = join_groups(windows, staged(twice, "repeat-twice"), ["h1", "h2"], "_n").where(F.col("_n") > 1)
 
+    settled = settled.select("doc", "first", "last").unionByName(
+        parse.where("kind = 'settled'").select("doc", F.col("at").alias("first"), "last")
+    )
     spans = settled.select("doc", F.col("first").alias("start"), (F.col("last") + WINDOW).alias("stop"))
     spans = spans.unionByName(twice.select("doc", F.col("at").alias("start"), (F.col("at") + WINDOW).alias("stop")))
     single = spans.join(sized(copies.select("doc"), BROADCAST_DOCS), "doc", "left_anti")

@@ -31,11 +31,15 @@ def lower_word_bytes() -> tuple[np.ndarray, np.ndarray]:
 LOWERED, WORD_PART = lower_word_bytes()
 
 
+_powers: dict[int, np.ndarray] = {}
+
+
 def powers(base: int, count: int) -> np.ndarray:
-    """base^0 to base^(count - 1) modulo 2^64, by doubling."""
-    made = np.ones(1, dtype=np.uint64)
+    """base^0 to base^(count - 1) modulo 2^64, by doubling; kept for the next slice of a task."""
+    made = _powers.get(base, np.ones(1, dtype=np.uint64))
     while len(made) < count:
         made = np.concatenate([made, made * np.uint64(pow(base, len(made), 1 << 64))])
+    _powers[base] = made
     return made[:count]
 
 
