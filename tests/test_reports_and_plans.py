@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 
 from checks import queries as q
 from conftest import rows
-from wattledger.functions.plans import scratch_path
-from wattledger.operators import market, profiles, report, settle, terms, trades
+from wattledger.functions.plans import cut, scratch_path
+from wattledger.operators import calibrate, market, profiles, report, settle, terms, trades
 from wattledger.plans import outlook, revaluation, storage
 from wattledger.sources.checks import check_contract
 from wattledger.sources.schemas import TABLES, instrument_dim
@@ -266,3 +266,39 @@ def test_an_open_toll_can_end_with_its_month(spark):
     got = terms.ppa_energy_terms(contracts, sides, factors, days, open_toll_to_month_end=True).collect()
     tolled = [(r.tolling_fee, r.start_date, r.end_date) for r in got if r.tolling_fee is not None]
     assert tolled == [(100.0, date(2020, 2, 1), date(2020, 2, 29))]
+
+
+def test_dimension_joins_leave_facts_where_they_are(spark, inputs):
+    """Without automatic broadcasts, no fact is shuffled on a key with few values."""
+    i = inputs
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        index = spark.createDataFrame([(1, 2020, 1, 1, 1, date(2020, 1, 1))], "model_id int, demand_reference_year int, month_id int, day_id int, period_id int, interval_date date")
+        curve = spark.createDataFrame([(date(1998, 1, 1), 20.0)], "period_start date, price double")
+        plans = {
+            "regionid": trades.with_region_number(cut(i.trading), i.region),
+            "jurisdiction_id": trades.with_jurisdiction(cut(i.load).drop("region_number"), i.jurisdiction),
+            "model_id": profiles.simulations_for(cut(i.sims), i.models, 1, validate=False),
+            "sample_id": profiles.sample_index(cut(i.path), i.samples, "gen_reference_year"),
+            "jurisdiction": profiles.load_profiles(i.datetimes, i.samples, cut(i.halfhour), cut(i.avg_loss), i.jurisdiction),
+            "duid": profiles.unit_actuals(cut(q.scada(i)), i.units),
+            "year": calibrate.apply_certificate_floor(cut(i.path), curve),
+            "jurisdiction_id, 1": profiles.scenario_load(cut(i.load_profile), index, i.jurisdiction),
+        }
+        for key, df in plans.items():
+            name = key.split(",")[0]
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            joins = [line for line in plan.splitlines() if "Join [" in line and f"{name}#" in line.split("]")[0]]
+            assert joins and all("BroadcastHashJoin" in line for line in joins), (key, joins)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_profiles_prune_readings_at_the_scan(spark, inputs, tmp_path):
+    i = inputs
+    path = str(tmp_path / "ticks")
+    q.scada(i).write.parquet(path)
+    details = i.samples.withColumn("gen_reference_year", F.lit(2024))
+    got = profiles.generation_profiles(i.clock, details, i.units, spark.read.parquet(path), q.availability(i), i.capacity, i.unit_detail)
+    assert "GreaterThanOrEqual(settlementdate,2024-01-01" in got._jdf.queryExecution().executedPlan().toString()
