@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from wattledger.functions.plans import scratch_path, sized
 
-# Rows that one window task orders; keys with more are spread over buckets of about this size.
-BUCKET_ROWS = 50_000
+# Rows that one window task orders, which may carry texts; keys with more are spread over buckets
+# of about this size.
+BUCKET_ROWS = 10_000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
