@@ -355,3 +355,11 @@ def test_pipeline_stages_keep_columns_and_decide(spark, docs, items):
 def test_pipeline_on_an_empty_table(spark, docs):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.limit(0), SMALL).count() == 0
+
+
+def test_fingerprints_of_texts_longer_than_a_block(monkeypatch):
+    monkeypatch.setattr(simhash, "BLOCK_SHINGLES", 7)
+    random.seed(9)
+    texts = [" ".join(random.choice("abcdefg") for _ in range(n)) for n in (0, 1, 2, 3, 5, 9, 10, 40, 3, 100)]
+    found = simhash.text_fingerprints(pa.array(texts), 3).view(np.uint64).tolist()
+    assert found == [brute.fingerprint(t) for t in texts]

@@ -20,6 +20,7 @@ DISTANCE = 3
 ENTRY_MEMBERS = 1000
 # Text that is hashed at a time.
 SLICE_BYTES = 1 << 20
+BLOCK_SHINGLES = 1 << 16
 
 
 def text_fingerprints(texts: pa.Array, shingle: int) -> np.ndarray:
@@ -46,14 +47,19 @@ def text_fingerprints(texts: pa.Array, shingle: int) -> np.ndarray:
     first = np.repeat(bounds[:-1] - (np.cumsum(n_shingles) - n_shingles), n_shingles) + np.arange(total)
     last = np.minimum(first + shingle, np.repeat(bounds[1:], n_shingles)) - 1
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter(
-        (digest(line[a:b], SEED) for a, b in zip(starts[first].tolist(), ends[last].tolist())),
-        dtype="<u8", count=total,
-    )
-    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
     some = np.flatnonzero(n_shingles)
     begin = (np.cumsum(n_shingles) - n_shingles)[some]
-    set_bits = np.add.reduceat(bits, begin, axis=0, dtype=np.int64)
+    set_bits = np.zeros((len(some), 64), dtype=np.int64)
+    # A block of shingles at a time, so that one very long text needs no more memory than others.
+    for at in range(0, total, BLOCK_SHINGLES):
+        block = slice(at, at + BLOCK_SHINGLES)
+        pairs = zip(starts[first[block]].tolist(), ends[last[block]].tolist())
+        hashes = np.array([digest(line[a:b], SEED) for a, b in pairs], dtype="<u8")
+        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        low = np.searchsorted(begin, at, side="right") - 1
+        high = np.searchsorted(begin, at + len(hashes))
+        here = np.maximum(begin[low:high], at) - at
+        set_bits[low:high] += np.add.reduceat(bits, here, axis=0, dtype=np.int64)
     above = 2 * set_bits > n_shingles[some][:, None]
     result[some] = np.packbits(above, axis=1, bitorder="little").view("<u8").ravel()
     return result.view(np.int64)
