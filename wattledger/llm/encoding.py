@@ -2,22 +2,25 @@
 
 from __future__ import annotations
 
+import functools
 import os
 from collections.abc import Iterator
+from itertools import compress, count
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-# Words a task remembers; beyond that it starts afresh, so memory stays bounded.
-REMEMBERED_WORDS = 300_000
+# Words a worker remembers; beyond that it starts afresh, so memory stays bounded.
+REMEMBERED_WORDS = 200_000
 # Text that is encoded at a time.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 # A Latin letter before ASCII punctuation always ends a word of these tokenizers
 # (the apostrophe and the signs of special tokens are left out), and runs of these letters are
 # always one word.
-LETTER_THEN_MARK = r"([a-zA-Z])([!-&(-/:;=-@\[-`{}~])"
+LETTER_THEN_MARK = r"([a-zA-ZÀ-ÖØ-öø-ÿ])([!-&(-/:;=-@\[-`{}~])"
+SPECIAL_MARK = "<|"
 LETTERS_ONLY = "^[a-zA-ZÀ-ÖØ-öø-ÿ]+$"
 
 
@@ -46,7 +49,7 @@ class WordEncoder:
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.whole = Tokenizer.from_file(path)
-        self.plain = Tokenizer.from_file(path)
+        self.plain = Tokenizer(self.whole.model)
         self.plain.normalizer = normalizers.Lowercase()
         self.plain.pre_tokenizer = pre_tokenizers.Sequence(
             [
@@ -67,10 +70,10 @@ class WordEncoder:
         self.ids = [np.zeros(0, dtype=np.int32)]
         self.lengths = [np.zeros(0, dtype=np.int64)]
 
-    def learn(self, words: pa.Array) -> None:
-        """Encodes words that are new to this task."""
-        simple = pc.match_substring_regex(words, LETTERS_ONLY)
-        plain, other = words.filter(simple).to_pylist(), words.filter(pc.invert(simple)).to_pylist()
+    def learn(self, words: list[str]) -> None:
+        """Encodes words that are new to this worker."""
+        simple = np.asarray(pc.match_substring_regex(pa.array(words), LETTERS_ONLY))
+        plain, other = list(compress(words, simple)), list(compress(words, ~simple))
         if plain:
             ids = np.array(
                 self.plain.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids,
@@ -85,24 +88,24 @@ class WordEncoder:
             coded = [e.ids for e in self.whole.encode_batch_fast(other, add_special_tokens=False)]
             self.ids.append(np.array([i for ids in coded for i in ids], dtype=np.int32))
             self.lengths.append(np.array([len(ids) for ids in coded], dtype=np.int64))
-        for word in plain + other:
-            self.place[word] = len(self.place)
+        self.place.update(zip(plain + other, count(len(self.place))))
         self.ids, self.lengths = [np.concatenate(self.ids)], [np.concatenate(self.lengths)]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts (null: none) one after another, and the number of each text."""
         texts = pc.fill_null(texts.cast(pa.string()), "")
+        # Case does not matter but for the names of special tokens.
+        texts = pc.if_else(pc.match_substring(texts, SPECIAL_MARK), texts, pc.ascii_lower(texts))
         spaced = pc.replace_substring_regex(texts, LETTER_THEN_MARK, r"\1 \2")
         words = pc.ascii_split_whitespace(spaced)
         coded = words.flatten().dictionary_encode()
         if len(self.place) > REMEMBERED_WORDS:
             self.forget()
-        if len(coded.dictionary):
-            known = [word in self.place for word in coded.dictionary.to_pylist()]
-            fresh = coded.dictionary.filter(pc.invert(pa.array(known)))
-            if len(fresh):
-                self.learn(fresh)
-        places = np.array([self.place[w] for w in coded.dictionary.to_pylist()], dtype=np.int64)
+        names, place = coded.dictionary.to_pylist(), self.place
+        fresh = [name for name in names if name not in place]
+        if fresh:
+            self.learn(fresh)
+        places = np.fromiter(map(place.__getitem__, names), dtype=np.int64, count=len(names))
         ids, lengths = self.ids[0], self.lengths[0]
         starts = np.cumsum(lengths) - lengths
         at = places[np.asarray(coded.indices)] if len(coded.indices) else np.zeros(0, np.int64)
@@ -114,3 +117,9 @@ class WordEncoder:
         bounds = bounds - bounds[0]
         per_text = np.diff(np.concatenate([[0], ends])[bounds])
         return gathered, per_text
+
+
+@functools.lru_cache(maxsize=1)
+def worker_encoder(path: str) -> WordEncoder:
+    """One encoder for all tasks of a Python worker."""
+    return WordEncoder(path)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattledger.llm.common import running_totals, staged
-from wattledger.llm.encoding import WordEncoder, slices
+from wattledger.llm.encoding import slices, worker_encoder
 
 # Lengths that share a bucket of the suffix sums.
 LENGTH_BUCKET = 4096
@@ -19,7 +19,7 @@ def token_lengths(docs: DataFrame, tokenizer: str, text_col: str = "text") -> Da
     """The encoded length of each row's whole text (column n_tokens); null and empty give 0."""
 
     def lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer)
+        encoder = worker_encoder(tokenizer)
         for batch in batches:
             for part in slices(batch.column(0)):
                 counts = encoder.encode(part)[1]

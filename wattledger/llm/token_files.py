@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wattledger.functions.plans import sized
-from wattledger.llm.encoding import WordEncoder, slices
+from wattledger.llm.encoding import slices, worker_encoder
 
 END_ID = 1
 # Rows between index entries, and the false-positive share of the Bloom filters.
@@ -48,7 +48,7 @@ def write_token_files(
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer)
+        encoder = worker_encoder(tokenizer)
         file_no, start = TaskContext.get().partitionId(), 0
         for batch in batches:
             at = 0
