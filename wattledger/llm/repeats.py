@@ -302,8 +302,9 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     parse = staged(parsed(texts), "repeat-parse")
     triggers = parse.where("kind = 'trigger'")
-    often = triggers.groupBy("h1").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("h1")
-    live = triggers.select("h1", "doc", "at").join(often, "h1", "left_semi")
+    often = triggers.groupBy("h1").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    live = join_groups(triggers.select("h1", "doc", "at"), staged(often, "repeat-often"), "h1", "_n")
+    live = live.where(F.col("_n") > 1)
 
     blocks = staged(blocks_of(with_places(texts, live, F.col("at"))), "repeat-blocks")
     span = F.struct("doc", "first", "last", "core")
