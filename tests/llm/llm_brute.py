@@ -84,6 +84,21 @@ def near_rows(docs):
     return [(d, f"{p:016x}", least.get(r)) for (d, _), p, r in zip(docs, prints, roots)]
 
 
+def similar(texts, shingle=5, least=0.8):
+    """The least index in each one's component, linked by exact Jaccard similarity of word shingles."""
+    sets = []
+    for text in texts:
+        w = re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode().translate(LOWER))
+        sets.append({tuple(w[i : i + shingle]) for i in range(max(1, len(w) - shingle + 1))} if w else set())
+    label = list(range(len(sets)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if label[i] != label[j] and (a == sets[j] or len(a & sets[j]) >= least * len(a | sets[j]) - 1e-9 > 0):
+                low, high = sorted((label[i], label[j]))
+                label = [low if x == high else x for x in label]
+    return label
+
+
 def secret_spans(text):
     text = text or ""
     found = []

@@ -16,7 +16,7 @@ import corpus_pipeline
 import llm_brute as brute
 from wattledger.functions.plans import scratch_path
 from wattledger.llm import (
-    decontaminate, exact_dedup, mixing, quality, repeats, secret_scan, sharding, simhash,
+    decontaminate, exact_dedup, mixing, quality, repeats, secret_scan, sharding, similar, simhash,
     token_counts, token_files,
 )
 from wattledger.llm.components import components
@@ -357,6 +357,44 @@ def test_pipeline_on_an_empty_table(spark, docs):
         assert stage(spark, docs.limit(0), SMALL).count() == 0
 
 
+def planted_copies():
+    """Texts with one to thirty words of 300 changed in place, on both sides of similarity 0.8, beside
+    a crowd that is linked in part, and short and empty texts."""
+    random.seed(11)
+    texts = [None, "", " \n", "one", "ONE", "one two", "one two three four five", "One two  three four five six"]
+    for _ in range(6):
+        base = [f"w{random.randrange(4000)}" for _ in range(300)]
+        texts.append(" ".join(base))
+        for changed in (1, 3, 5, 6, 7, 8, 9, 12, 30):
+            copy = list(base)
+            for at in random.sample(range(300), changed):
+                copy[at] = f"x{random.randrange(10**6)}"
+            texts.append(" ".join(copy))
+    base = [f"v{i}" for i in range(200)]
+    for _ in range(80):
+        copy = list(base)
+        for at in random.sample(range(200), random.randrange(2, 7)):
+            copy[at] = f"y{random.randrange(10**6)}"
+        texts.append(" ".join(copy))
+    return list(enumerate(texts))
+
+
+def test_near_duplicates_by_five_words(spark):
+    """All that exact similarities link, and nothing else; entries dealt over blocks give the same."""
+    given = planted_copies()
+    expected = brute.similar([t for _, t in given])
+    assert 20 < len(set(expected)) < len(given) - 20
+    docs = spark.createDataFrame(given, "doc_id long, text string")
+    for members in (1000, 10):
+        found = {r.doc_id: r.label for r in similar.similar_components(docs, ["doc_id"], entry_members=members).collect()}
+        first = {}
+        for i, _ in given:
+            first.setdefault(found[i], i)
+        assert [first[found[i]] for i, _ in given] == expected
+    kept = corpus_pipeline.near_duplicate_stage(spark, docs, SMALL)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(expected))
+
+
 def test_fingerprints_of_texts_longer_than_a_block(monkeypatch):
     monkeypatch.setattr(simhash, "BLOCK_SHINGLES", 7)
     random.seed(9)
