@@ -231,6 +231,32 @@ def test_mix(docs, rows, spark):
     assert sorted(map(repr, again)) == sorted(map(repr, mixed))
 
 
+def test_every_pass_follows_the_schedule(spark, docs):
+    """The words a source gave before each row, over all passes, are what its schedule asked for by then."""
+    mixed = mixing.mix(docs, ["doc_id", "source"])
+    ordered = mixing.training_order(mixed).collect()
+    assert len(ordered) == mixed.agg(F.sum("passes")).first()[0]
+    at = [r.position for r in ordered]
+    assert at == sorted(at) and 0 <= at[0] and at[-1] <= 1
+    sources = sorted({r.source for r in mixed.collect()}, key=lambda s: (s is None, (s or "").encode()))
+    given, repeated = Counter(), Counter()
+    for r in sorted(ordered, key=lambda r: (r.position, r.size > 0)):
+        start, end = mixing.SCHEDULES[sources.index(r.source) % len(mixing.SCHEDULES)]
+        asked = start * r.position + (end - start) * r.position**2 / 2
+        assert asked * r.target == pytest.approx(given[r.source], abs=1e-6 * r.target)
+        given[r.source] += r.size
+        repeated[r.source] += r.position != r.first_position
+    full = [r for r in ordered if r.target == 2 * r.source_size]
+    assert full and all(repeated[r.source] for r in full)
+    assert all(given[r.source] >= r.target - 1 for r in ordered)
+
+
+def test_pipeline_puts_the_second_pass_after_the_first(spark):
+    docs = spark.createDataFrame([(i, f"text number {i}", "a") for i in range(40)], "doc_id long, text string, source string")
+    order = [r.doc_id for r in corpus_pipeline.mixing_stage(spark, docs, SMALL).collect()]
+    assert sorted(order[:40]) == list(range(40)) and order[40:] == order[:20]
+
+
 def test_positions_invert_the_integrated_weight(spark):
     for start, end in mixing.SCHEDULES:
         asked = np.linspace(0, 1, 11)

@@ -80,12 +80,13 @@ def mix(
     most: float = MOST_REPEATS,
 ) -> DataFrame:
     """Every row with the words the mix takes of it: `carry`, size, source_size, target, taken,
-    passes (how often the mix enters the document), first_position.
+    passes (how often the mix enters the document), first_position, positions (one for each pass).
 
     Size is the number of words. A source's rows stand in the order of a digest of id and text;
     its target is spent along that order, going round again after the last row, and the row at
     which it runs out is taken in part. The position of a row is the moment of training, from 0
-    to 1, at which the source's integrated schedule has asked for all words before the row.
+    to 1, at which the source's integrated schedule has asked for all words before the row; on
+    the second pass those are a whole round more.
     Reruns agree: nothing depends on partitions.
 
     Cases: a null text has no words; a null source is a source of its own, after all others;
@@ -122,10 +123,13 @@ def mix(
     demand = F.floor(F.col("target") + 0.5)
     passes = F.lit(0)
     taken = F.lit(0)
+    entered = []
     for nth in range(int(-(-most // 1))):
         left = demand - F.col("source_size") * nth - F.col("_before")
         passes = passes + F.when(left > 0, 1).otherwise(0)
         taken = taken + F.greatest(F.lit(0), F.least(F.col("size"), left))
+        consumed = F.col("_before") + F.col("source_size") * nth
+        entered.append(F.when(left > 0, position(consumed, F.col("target"), F.col("_start"), F.col("_end"))))
     return summed.select(
         *carry,
         "size",
@@ -136,10 +140,13 @@ def mix(
         F.when(
             passes > 0, position(F.col("_before"), F.col("target"), F.col("_start"), F.col("_end"))
         ).alias("first_position"),
+        F.filter(F.array(*entered), lambda at: at.isNotNull()).alias("positions"),
     )
 
 
 def training_order(mixed: DataFrame) -> DataFrame:
-    """The rows the mix enters, range-sorted by position; ties by `doc_id` where there is one."""
-    ties = [c for c in ("first_position", "doc_id") if c in mixed.columns]
-    return mixed.where("passes > 0").repartitionByRange(*ties).sortWithinPartitions(*ties)
+    """A row for each time the mix enters a row, range-sorted by the `position` of that pass; ties
+    by `doc_id` where there is one."""
+    ties = ["position", *[c for c in ("doc_id",) if c in mixed.columns]]
+    entered = mixed.select("*", F.explode("positions").alias("position"))
+    return entered.repartitionByRange(*ties).sortWithinPartitions(*ties)
