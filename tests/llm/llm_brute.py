@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -148,3 +149,77 @@ def without_repeats(docs, window=400):
         runs = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()) if len(gone) else 0
         kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
         yield doc_id, len(text), int(gone.sum()), runs, sha(kept)
+
+
+def whole_vector(vector, scale):
+    """floor(scale * x) of each component, or None for a vector that takes no part."""
+    if vector is None or any(x is None or not math.isfinite(x) for x in vector):
+        return None
+    return [math.floor(scale * float(x)) for x in vector]
+
+
+def best_products(rows, count=10, scale=1024, every=100):
+    """Of rows that start with vec_id and vector: (query_id, rank, vec_id, score) of each query row."""
+    kept = [(r[0], v) for r, v in ((r, whole_vector(r[1], scale)) for r in rows) if v is not None]
+    for at, (query, asked) in enumerate(kept):
+        if query is None or query % every:
+            continue
+        scored = [
+            (-sum(a * b for a, b in zip(asked, v)), i is None, i or 0) for n, (i, v) in enumerate(kept) if n != at
+        ]
+        for rank, (score, none, i) in enumerate(sorted(scored)[:count], 1):
+            yield query, rank, None if none else i, -score
+
+
+def vector_codes(rows, scale=4096, parts=8, entries=16, rounds=6):
+    """Of (vec_id, vector, label) rows: (vec_id, code, error, label_error, sha256 of the codebooks)."""
+    kept = [(i, whole_vector(v, scale), label) for i, v, label in rows]
+    kept = [r for r in kept if r[1] is not None]
+    if not kept:
+        return []
+    width = -(-max(len(v) for _, v, _ in kept) // parts)
+    cut = [[(v + [0] * (width * parts - len(v)))[p * width : (p + 1) * width] for p in range(parts)] for _, v, _ in kept]
+    first = sorted(range(len(kept)), key=lambda n: (kept[n][0] is None, kept[n][0] or 0, kept[n][1]))[:entries]
+    books = [[cut[n][p] for n in first] for p in range(parts)]
+
+    def nearest(point, book):
+        return min((sum((a - b) ** 2 for a, b in zip(point, e)), k) for k, e in enumerate(book))
+
+    for _ in range(rounds):
+        for p in range(parts):
+            held = defaultdict(list)
+            for vector in cut:
+                held[nearest(vector[p], books[p])[1]].append(vector[p])
+            books[p] = [
+                [sum(c) // len(held[k]) for c in zip(*held[k])] if held[k] else e for k, e in enumerate(books[p])
+            ]
+    found = [[nearest(vector[p], books[p]) for p in range(parts)] for vector in cut]
+    errors = [sum(d for d, _ in f) for f in found]
+    by_label = Counter()
+    for (_, _, label), error in zip(kept, errors):
+        by_label[label] += error
+    digest = sha(",".join(str(x) for book in books for e in book for x in e))
+    return [
+        (i, "".join(f"{k:02x}" for _, k in f), error, by_label[label], digest)
+        for (i, _, label), f, error in zip(kept, found, errors)
+    ]
+
+
+def ranked(docs, items, count=50):
+    """Of (doc_id, text) and (item_id, text) rows: (item_id, rank, doc_id, score), item by item."""
+    terms = [Counter(words(t)) for _, t in docs]
+    lengths = [sum(c.values()) for c in terms]
+    n_docs, total = sum(n > 0 for n in lengths), sum(lengths)
+    held = Counter(t for c in terms for t in c)
+    for item, text in items:
+        scored = []
+        for (doc_id, _), c, n in zip(docs, terms, lengths):
+            m = 100 - 50 + 50 * n * n_docs // max(1, total)
+            score = 0
+            for t in set(words(text)) & set(c):
+                weight = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * held[t] + 1)))
+                score += weight * (1_000_000_000 * c[t] // (1000 * c[t] + 20 * m))
+            if score > 0:
+                scored.append((-score, doc_id is None, doc_id or 0))
+        for rank, (score, none, doc_id) in enumerate(sorted(scored)[:count], 1):
+            yield item, rank, None if none else doc_id, -score

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from wattledger.functions.plans import scratch_path, sized
 
@@ -23,9 +24,19 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def named(column: str) -> Column:
+    """The column of just this name, whatever characters it has."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
+def schema_of(df: DataFrame, carry: list[str], made: str) -> StructType:
+    """The columns `carry` as `df` has them, under any names, then those of the DDL string `made`."""
+    return StructType([*[df.schema[c] for c in carry], *StructType.fromDDL(made).fields])
+
+
 def whole_text(column: str = "text") -> Column:
     """The text; null reads as empty."""
-    return F.coalesce(F.col(column), F.lit(""))
+    return F.coalesce(named(column), F.lit(""))
 
 
 def unit_interval(hex_digest: Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattledger.functions.plans import scratch_path
-from wattledger.llm import decontaminate, mixing, quality, secret_scan, sharding, simhash
+from wattledger.llm import decontaminate, grid_codes, impact_search, lexical, mixing, quality, secret_scan, sharding, simhash
 from wattledger.llm import exact_dedup as exact
 from wattledger.llm import repeats, token_counts, token_files
 from wattledger.llm.common import table
@@ -80,6 +80,18 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(table(spark, folder, "documents"), tokenizer)
 
 
+def op11_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return impact_search.top_products(table(spark, folder, "embeddings"))
+
+
+def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return grid_codes.grid_codes(table(spark, folder, "embeddings"), ["vec_id"])
+
+
+def op13_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.ranked_documents(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_decontaminate": op2_decontaminate,
@@ -91,6 +103,9 @@ QUERIES = {
     "op8_repeats": op8_repeats,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_token_counts": op10_token_counts,
+    "op11_exact_top_k": op11_exact_top_k,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 _ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
@@ -114,6 +129,27 @@ def _kind_spans(name: str, nth: int, pattern: str, group: int, at_least: int) ->
       from {name}_each where judged[i] >= {at_least})"""
 
 
+def _code_round(nth: int) -> str:
+    """The nearest entries of round `nth`, and the codebooks that follow from them."""
+    return f"""
+    near{nth} as materialized (
+      select r, part, any_value(v) as v, arg_min(entry, distance * 16 + entry) as entry, min(distance) as distance
+      from (
+        select r, part, v, entry,
+          (list_dot_product(v, v) - 2 * list_dot_product(v, e) + list_dot_product(e, e))::bigint as distance
+        from parts join books{nth} using (part))
+      group by r, part),
+    moved{nth} as (
+      select part, entry, list(mean order by place) as e from (
+        select part, entry, place, floor(sum(x) / count(*)) as mean
+        from (select part, entry, unnest(v) as x, unnest(range(1, len(v) + 1)) as place from near{nth})
+        group by part, entry, place)
+      group by part, entry),
+    books{nth + 1} as materialized (
+      select part, entry, coalesce(moved{nth}.e, books{nth}.e) as e
+      from books{nth} left join moved{nth} using (part, entry))"""
+
+
 ORACLES = {
     "op2_decontaminate": r"""
     with
@@ -199,4 +235,58 @@ ORACLES = {
     select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
       doc_id is not distinct from max(doc_id) over same as kept, sha256(coalesce(text, '')) as text_sha256
     from documents window same as (partition by coalesce(text, ''))""",
+    "op11_exact_top_k": """
+    with v as (
+      select row_number() over () as r, vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)) as v
+      from embeddings
+      where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+    scored as (
+      select q.vec_id as query_id, q.r as query, c.vec_id, c.r, list_dot_product(q.v, c.v)::bigint as score
+      from v q join v c on q.r <> c.r where q.vec_id % 100 = 0)
+    select query_id, row_number() over (partition by query order by score desc, vec_id nulls last, r)::int as rank,
+      vec_id, score
+    from scored qualify rank <= 10""",
+    "op12_vector_codes": f"""
+    with kept as (
+      select row_number() over (order by vec_id) as r, vec_id, label,
+        list_transform(embedding, lambda x: floor(4096 * x::double)) as v
+      from embeddings
+      where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+    parts as materialized (
+      select r, part, v[part * (len(v) // 8) + 1:(part + 1) * (len(v) // 8)] as v
+      from (select r, v, unnest(range(8)) as part from kept)),
+    books0 as (select part, r - 1 as entry, v as e from parts where r <= 16),
+    {",".join(_code_round(i) for i in range(7))},
+    coded as (
+      select vec_id, label, string_agg(printf('%02x', entry), '' order by part) as code, sum(distance)::bigint as error
+      from near6 join kept using (r) group by r, vec_id, label)
+    select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error,
+      (select sha256(string_agg(x::bigint::varchar, ',' order by part, entry, place))
+        from (select part, entry, unnest(e) as x, unnest(range(len(e))) as place from books6)) as codebooks_sha256
+    from coded""",
+    "op13_lexical_search": r"""
+    with docs as (
+      select row_number() over () as r, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+      from documents),
+    items as (
+      select row_number() over () as i, item_id, unnest(list_distinct(regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'))) as term
+      from benchmark),
+    corpus as (select count(*) filter (len(w) > 0) as n_docs, sum(len(w))::bigint as n_terms from docs),
+    counts as (
+      select r, doc_id, n, term, count(*) as tf
+      from (select r, doc_id, len(w) as n, unnest(w) as term from docs) group by r, doc_id, n, term),
+    weights as (
+      select term, floor(1000 * ln((2 * n_docs + 2)::double / (2 * count(*) + 1)::double))::bigint as weight
+      from counts, corpus group by term, n_docs),
+    scored as (
+      select i, item_id, r, doc_id,
+        sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * n_docs) // n_terms))))::bigint as score
+      from items join counts using (term) join weights using (term), corpus
+      group by i, item_id, r, doc_id)
+    select item_id, row_number() over (partition by i order by score desc, doc_id nulls last)::int as rank, doc_id, score
+    from scored where score > 0 qualify rank <= 50""",
 }
