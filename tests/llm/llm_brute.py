@@ -85,21 +85,6 @@ def near_rows(docs):
     return [(d, f"{p:016x}", least.get(r)) for (d, _), p, r in zip(docs, prints, roots)]
 
 
-def similar(texts, shingle=5, least=0.8):
-    """The least index in each one's component, linked by exact Jaccard similarity of word shingles."""
-    sets = []
-    for text in texts:
-        w = re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode().translate(LOWER))
-        sets.append({tuple(w[i : i + shingle]) for i in range(max(1, len(w) - shingle + 1))} if w else set())
-    label = list(range(len(sets)))
-    for i, a in enumerate(sets):
-        for j in range(i):
-            if label[i] != label[j] and (a == sets[j] or len(a & sets[j]) >= least * len(a | sets[j]) - 1e-9 > 0):
-                low, high = sorted((label[i], label[j]))
-                label = [low if x == high else x for x in label]
-    return label
-
-
 def secret_spans(text):
     text = text or ""
     found = []
@@ -223,3 +208,101 @@ def ranked(docs, items, count=50):
                 scored.append((-score, doc_id is None, doc_id or 0))
         for rank, (score, none, doc_id) in enumerate(sorted(scored)[:count], 1):
             yield item, rank, None if none else doc_id, -score
+
+
+def text_statistics(text):
+    """The classifier's statistics of one text, by their names in the operator."""
+    raw = (text or "").encode()
+    w = words(text)
+    kinds = Counter()
+    for byte in raw:
+        c = chr(byte)
+        kinds[
+            "lower" if "a" <= c <= "z" else "upper" if "A" <= c <= "Z" else "digit" if "0" <= c <= "9" else
+            "beyond" if byte > 127 else "newline" if c == "\n" else "space" if c in "\t\x0b\x0c\r " else
+            "mark" if c in ".,;:!?'\"()-" else "symbol"
+        ] += 1
+    triples = {tuple(w[i : i + 3]) for i in range(len(w) - 2)}
+    lines = [tuple(sorted(words(line.decode("utf-8")))) for line in raw.split(b"\n")]
+    lines = [line for line in lines if line]
+
+    def share(part, whole):
+        return part / max(whole, 1)
+
+    n = len(w)
+    return [
+        math.log1p(len(raw)), math.log1p(n),
+        *[share(kinds[k], len(raw)) for k in ("upper", "digit", "space", "newline", "mark", "symbol", "beyond")],
+        share(sum(map(len, w)), n), share(sum(len(x) > 20 for x in w), n), share(sum(len(x) <= 3 for x in w), n),
+        share(len(set(w)), n), share(max(Counter(w).values(), default=0), n),
+        share(sum(a == b for a, b in zip(w, w[1:])), n), share(len(triples), n - 2), share(sum(raw.count(c) for c in b".!?"), n),
+        math.log1p(share(n, len(lines))), share(len(set(lines)), len(lines)),
+    ]
+
+
+def quality_scores(docs, labels, fourier=256, width=8.0, strength=1e-4, seed=7, folds=5, step=0.005):
+    """Scores of (doc_id, text) rows from (doc_id, 0 or 1) labels, with whole matrices."""
+    stats = np.array([text_statistics(t) for _, t in docs]).reshape(len(docs), 19)
+    train = [
+        (i, zlib.crc32(str(d).encode()) % folds, y)
+        for i, (d, _) in enumerate(docs) for k, y in labels if d is not None and d == k and y is not None
+    ]
+    train = [r for r in train if r[1] > 0]
+    if not train:
+        return [0.5] * len(docs)
+    at, fold, y = (np.array(c) for c in zip(*train))
+    mean, spread = stats[at].mean(axis=0), stats[at].std(axis=0)
+    spread[spread <= 1e-9] = 1.0
+    random = np.random.default_rng(seed)
+    frequency, phase = random.normal(size=(19, fourier)) / width, random.uniform(0, 2 * np.pi, fourier)
+
+    def features(x):
+        waves = np.cos(np.clip((x - mean) / spread, -6, 6) @ frequency + phase) * np.sqrt(2 / fourier)
+        return np.column_stack([waves, np.ones(len(x))])
+
+    def solved(z, t):
+        shrink = np.full(fourier + 1, strength * len(z))
+        shrink[-1] = 1e-9
+        return np.linalg.solve(z.T @ z + np.diag(shrink), z.T @ t)
+
+    z = features(stats[at])
+    raw = np.zeros(len(at))
+    for k in set(fold.tolist()):
+        raw[fold == k] = np.clip(z[fold == k] @ solved(z[fold != k], y[fold != k]), -1, 2)
+    bins = defaultdict(list)
+    for r, t in zip(raw, y):
+        bins[math.floor(r / step + 0.5)].append((r, t))
+    pools = []
+    for k in sorted(bins):
+        pools.append([*np.mean(bins[k], axis=0), len(bins[k])])
+        while len(pools) > 1 and pools[-2][1] >= pools[-1][1]:
+            (a, b, m), (c, d, n) = pools[-2:]
+            pools[-2:] = [[(a * m + c * n) / (m + n), (b * m + d * n) / (m + n), m + n]]
+    raw = features(stats) @ solved(z, y)
+    level = np.interp(raw, [p[0] for p in pools], [p[1] for p in pools])
+    return ((1 - 1e-3) * level + 1e-3 * np.clip(raw, 0, 1)).tolist()
+
+
+SCHEDULES = ((1.0, 1.0), (0.5, 1.5), (1.5, 0.5))
+
+
+def training_order(docs):
+    """Of (doc_id, text, source) rows: their indexes, one for each pass, in the order of training."""
+    size = [len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for _, t, _ in docs]
+    by_source = defaultdict(list)
+    for i, (doc_id, text, source) in enumerate(docs):
+        by_source[source].append((sha(f"{doc_id if doc_id is not None else ''}|{text or ''}"), size[i], i))
+    totals = {s: sum(r[1] for r in held) for s, held in by_source.items()}
+    wanted = targets(totals)
+    entered = []
+    for nth, source in enumerate(sorted(totals, key=lambda s: (s is None, (s or "").encode()))):
+        start, end = SCHEDULES[nth % 3]
+        given, demand = 0, math.floor(wanted[source] + 0.5)
+        for again in range(2):
+            for _, words_, i in sorted(by_source[source]):
+                if given < demand:
+                    asked = given / wanted[source]
+                    at = asked * 2 / (start + math.sqrt(start * start + (end - start) * 2 * asked))
+                    entered.append((at, docs[i][0] is not None, docs[i][0] or 0, i))
+                given += words_
+    return [e[-1] for e in sorted(entered)]

@@ -15,8 +15,9 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 import llm_brute as brute
 from wattledger.functions.plans import scratch_path
+from wattledger.llm.common import staged
 from wattledger.llm import (
-    decontaminate, exact_dedup, mixing, quality, repeats, secret_scan, sharding, similar, simhash,
+    decontaminate, exact_dedup, mixing, quality, repeats, secret_scan, sharding, simhash,
     token_counts, token_files,
 )
 from wattledger.llm.components import components
@@ -128,10 +129,30 @@ def test_decontamination(docs, benchmark, pairs, items):
     for blocks in (decontaminate.BLOCK_WINDOWS, 400):
         marked = decontaminate.contaminated_words(docs, benchmark, ["doc_id"], block_windows=blocks)
         assert listed(marked, "doc_id", "n_words", "n_hit", "items") == expected
+    # Packed rows may have fields of any name.
+    odd = docs.select("text", F.struct("doc_id", F.lit(1).alias("extra col"), F.lit(2).alias("a:b`.c")).alias("_row"))
+    marked = decontaminate.contaminated_words(odd, benchmark, ["_row"]).select("_row.doc_id", "n_words", "n_hit", "items")
+    assert listed(marked, "doc_id", "n_words", "n_hit", "items") == expected
+    clean = listed(decontaminate.clean_documents(docs, benchmark, block_windows=700), "doc_id", "text")
+    assert clean == sorted(((d, t) for d, t in pairs if not next(brute.hits([(d, t)], items))[2]), key=repr)
     none = decontaminate.contaminated_words(docs, benchmark.limit(0), ["doc_id"])
     assert none.agg(F.sum("n_hit")).first()[0] == 0
 
 
+def test_a_window_that_many_items_hold(spark):
+    """The index has the window once, whatever the number of items; Spark joins their ids."""
+    passage = "one two three four five six seven eight nine ten eleven"
+    docs = spark.createDataFrame([(i, f"a {passage} z" if i % 3 else "clean") for i in range(60)], "doc_id long, text string")
+    items = spark.range(5000).select(F.col("id").alias("item_id"), F.lit(passage).alias("text"))
+    windows, holders = decontaminate.item_windows(items, "item_id", "text", 10, 3)
+    assert (windows.count(), holders.count()) == (2, 10_000)
+    assert "item" not in windows.columns
+    for blocks in (decontaminate.BLOCK_WINDOWS, 1):
+        marked = decontaminate.contaminated_words(docs, items, ["doc_id"], block_windows=blocks).collect()
+        names = sorted(map(str, range(5000)))
+        assert all((r.n_hit, r["items"]) == ((11, names) if r.doc_id % 3 else (0, [])) for r in marked)
+
+
 def test_simhash(docs, pairs):
     near = simhash.near_components(docs)
     found = listed(near.select("doc_id", simhash.hex_print(F.col("fp")).alias("f"), "component_id"), "doc_id", "f", "component_id")
@@ -177,6 +198,23 @@ def test_quality_holds_out_and_ranks(spark, docs):
         assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3)
 
 
+def test_quality_equals_brute_force(spark, docs, pairs):
+    """Statistics, features, ridge and calibration recomputed over all rows at once."""
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+    expected = brute.quality_scores(pairs, [tuple(r) for r in labels.select("doc_id", "quality").collect()])
+    by_row = {}
+    for (doc_id, text), score in zip(pairs, expected):
+        by_row.setdefault(repr((doc_id, text)), score)
+    tagged = docs.select("doc_id", "text", F.struct("text", F.lit(0).alias("extra col")).alias("_row"))
+    found = quality.quality_scores(tagged, labels, ["doc_id", "_row"]).collect()
+    assert len(found) == len(pairs)
+    for r in found:
+        assert r.score == pytest.approx(by_row[repr((r.doc_id, r._row.text))], abs=1e-6)
+    kept = quality.good_documents(docs, labels)
+    good = [p for p, score in zip(pairs, expected) if score >= 0.3]
+    assert listed(kept, "doc_id", "text") == sorted(good, key=repr) and kept.columns == docs.columns
+
+
 def test_quality_on_held_out_labels(spark):
     folder = "/root/testdata/sf0.1"
     docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
@@ -213,6 +251,40 @@ def test_ledger_scans_only_unseen_blobs(spark):
     assert again.count() == 3 and spark.read.parquet(f"{ledger}/run-3").count() == 3
 
 
+def test_a_repeated_run_keeps_its_findings(spark):
+    """A run may be repeated, or a second batch written under its name: nothing found before is lost."""
+    ledger = scratch_path(spark, "test-ledger")
+    first = spark.createDataFrame([("a", "token=abcdefghijkl"), ("b", "clean")], "path string, text string")
+    second = spark.createDataFrame([("c", "passwd: 0123456789ab"), ("d", "token=abcdefghijkl")], first.schema)
+
+    def found(versions, **how):
+        scanned = secret_scan.scan_history(versions, ["path"], ledger=ledger, run="1", **how)
+        return {(r.path, len(r.findings)) for r in scanned.collect()}
+
+    assert found(first) == found(first, earlier=True) == found(first) == {("a", 1), ("b", 0)}
+    assert found(second, earlier=True) == {("c", 1), ("d", 1)}
+    assert found(first.unionByName(second), earlier=True) == {("a", 1), ("b", 0), ("c", 1), ("d", 1)}
+    # Three attempts with rows: the first, its copy without looking, and the one new blob.
+    rows = spark.read.option("recursiveFileLookup", True).parquet(ledger)
+    assert rows.count() == 5 and secret_scan.ledger_of(spark, ledger).count() == 3
+
+
+def test_sources_in_many_buckets(spark, docs, monkeypatch):
+    """As many sources as rows: ranks and the level come from range partitions, the same as in one."""
+    own = docs.withColumn("source", F.concat(F.lit("s"), F.monotonically_increasing_id()))
+    own = own.withColumn("source", F.when(F.col("doc_id") == 7, F.lit(None)).otherwise(F.col("source")))
+    table = staged(own.select("doc_id", "text", "source"), "test-many")
+    once = sorted(map(repr, mixing.mix(table, ["doc_id", "source"]).collect()))
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 40)
+    split = mixing.mix(table, ["doc_id", "source"]).collect()
+    assert sorted(map(repr, split)) == once
+    sizes = Counter()
+    for r in split:
+        sizes[r.source] += r.size
+    wanted = brute.targets(sizes)
+    assert all(r.target == pytest.approx(wanted[r.source]) for r in split)
+
+
 def test_mix(docs, rows, spark):
     mixed = mixing.mix(docs, ["doc_id", "source"]).collect()
     sizes = Counter()
@@ -224,6 +296,8 @@ def test_mix(docs, rows, spark):
         assert r.source_size == sizes[r.source] and 0 <= r.taken <= 2 * r.size
         assert r.target == pytest.approx(wanted[r.source])
         assert (r.first_position is not None) == (r.passes > 0)
+        assert (r.second_position is not None) == (r.passes > 1)
+        assert r.positions == [p for p in (r.first_position, r.second_position) if p is not None]
         taken[r.source] += r.taken
     assert all(abs(taken[s] - wanted[s]) <= 1 for s in sizes)
     assert sum(wanted.values()) == pytest.approx(1.5 * sum(sizes.values()))
@@ -353,29 +427,46 @@ def test_empty_tables(spark, docs, benchmark):
     assert [df.count() for df in made] == [0] * len(made)
 
 
-def test_pipeline_stages_keep_columns_and_decide(spark, docs, items):
-    from wattledger.llm.common import staged
-
-    table = docs.drop("_row")
-    prints, n = {}, table.count()
-    for name, stage in corpus_pipeline.STAGES[:-1]:
+def test_pipeline_stages_decide_as_brute_force(spark, docs, items, rows):
+    """Each stage on all its predecessor kept: which rows stay, how often, and with all their columns."""
+    odd = {c: F.lit(1) for c in ("extra col", "a:b", "back`tick", "dot.ted", "_digest")}
+    table = docs.withColumns(odd)
+    given = [i for i in items if i[0] is not None and i[0] < 900]
+    labels = [tuple(r) for r in spark.read.parquet(f"{SMALL}/labels.parquet").select("doc_id", "quality").collect()]
+    for name, stage in corpus_pipeline.STAGES:
+        before = [tuple(r) for r in table.select("doc_id", "text", "source").collect()]
         made = staged(stage(spark, table, SMALL), "test-stage")
+        if name == "sharding":
+            break
         assert made.columns == table.columns
-        before = Counter((r.doc_id, r.text) for r in table.select("doc_id", "text").collect())
-        after = Counter((r.doc_id, r.text) for r in made.select("doc_id", "text").collect())
-        assert set(after) <= set(before)
+        after = Counter(tuple(r) for r in made.select("doc_id", "text", "source").collect())
+        if name == "quality":
+            assert Counter(before) == Counter(r[:2] + (r[3],) for r in rows)
+            scores = brute.quality_scores([r[:2] for r in before], labels)
+            assert after == Counter(r for r, score in zip(before, scores) if score >= 0.3)
         if name == "near_duplicates":
-            prints = brute.linked([brute.fingerprint(t) for _, t in before])
-            assert made.count() == len(set(prints))
+            roots = brute.linked([brute.fingerprint(t) for _, t, _ in before])
+            least = {}
+            for (doc_id, text, _), root in zip(before, roots):
+                least.setdefault(root, []).append((doc_id is None, doc_id or 0))
+            assert Counter((r[0] is None, r[0] or 0) for r in after.elements()) == Counter(map(min, least.values()))
+            assert set(after) <= set(before)
         if name == "decontamination":
-            given = [i for i in items if i[0] is not None and i[0] < 900]
-            clean = {(d, t) for d, t in before if not next(brute.hits([(d, t)], given))[2]}
-            assert set(after) == clean
+            assert after == Counter(r for r in before if not next(brute.hits([r[:2]], given))[2])
         if name == "mixing":
-            assert all(after[k] <= 2 * before[k] for k in after)
+            # Files of a stored table are read in any order, so the order is that of the stage itself.
+            order = [tuple(r) for r in stage(spark, table, SMALL).select("doc_id", "text", "source").collect()]
+            assert order == [before[i] for i in brute.training_order(before)]
         table = made
-    last = corpus_pipeline.STAGES[-1][1](spark, table, SMALL)
-    assert last.count() == table.count() <= 2 * n
+    sizes = Counter()
+    for _, text, _ in before:
+        sizes[brute.sha(text or "")] += len((text or "").encode()) + 16
+    loads = Counter()
+    for group, shard in brute.lpt(sizes, sharding.SHARDS).items():
+        loads[shard] += sizes[group]
+    assert min(sizes.values()) > sum(sizes.values()) // (sharding.SHARDS * sharding.HEAVY)
+    assert Counter({r.shard: r.b for r in made.groupBy("shard").agg(F.sum("size").alias("b")).collect()}) == loads
+    assert made.count() == len(before)
 
 
 def test_pipeline_on_an_empty_table(spark, docs):
@@ -383,44 +474,6 @@ def test_pipeline_on_an_empty_table(spark, docs):
         assert stage(spark, docs.limit(0), SMALL).count() == 0
 
 
-def planted_copies():
-    """Texts with one to thirty words of 300 changed in place, on both sides of similarity 0.8, beside
-    a crowd that is linked in part, and short and empty texts."""
-    random.seed(11)
-    texts = [None, "", " \n", "one", "ONE", "one two", "one two three four five", "One two  three four five six"]
-    for _ in range(6):
-        base = [f"w{random.randrange(4000)}" for _ in range(300)]
-        texts.append(" ".join(base))
-        for changed in (1, 3, 5, 6, 7, 8, 9, 12, 30):
-            copy = list(base)
-            for at in random.sample(range(300), changed):
-                copy[at] = f"x{random.randrange(10**6)}"
-            texts.append(" ".join(copy))
-    base = [f"v{i}" for i in range(200)]
-    for _ in range(80):
-        copy = list(base)
-        for at in random.sample(range(200), random.randrange(2, 7)):
-            copy[at] = f"y{random.randrange(10**6)}"
-        texts.append(" ".join(copy))
-    return list(enumerate(texts))
-
-
-def test_near_duplicates_by_five_words(spark):
-    """All that exact similarities link, and nothing else; entries dealt over blocks give the same."""
-    given = planted_copies()
-    expected = brute.similar([t for _, t in given])
-    assert 20 < len(set(expected)) < len(given) - 20
-    docs = spark.createDataFrame(given, "doc_id long, text string")
-    for members in (1000, 10):
-        found = {r.doc_id: r.label for r in similar.similar_components(docs, ["doc_id"], entry_members=members).collect()}
-        first = {}
-        for i, _ in given:
-            first.setdefault(found[i], i)
-        assert [first[found[i]] for i, _ in given] == expected
-    kept = corpus_pipeline.near_duplicate_stage(spark, docs, SMALL)
-    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(expected))
-
-
 def test_fingerprints_of_texts_longer_than_a_block(monkeypatch):
     monkeypatch.setattr(simhash, "BLOCK_SHINGLES", 7)
     random.seed(9)

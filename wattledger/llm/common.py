@@ -45,7 +45,7 @@ def unit_interval(hex_digest: Column) -> Column:
 
 
 def running_totals(
-    df: DataFrame, keys: list[str], bucket: str, order: list[str], totals: dict[str, Column]
+    df: DataFrame, keys: list[str], bucket: str, order: list[str] | list[Column], totals: dict[str, Column]
 ) -> DataFrame:
     """Adds, per `keys`, the total of each column over the rows before this one (0 for the first).
 
@@ -72,7 +72,7 @@ def running_totals(
     for i, k in enumerate(keys):
         same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
     return inside.join(offsets, same).select(
-        *df.columns,
+        *[named(c) for c in df.columns],
         *[(F.col(f"_in_{n}") + F.col(s)).alias(n) for n, s in names.items()],
     )
 

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattledger.functions.plans import sized
-from wattledger.llm.common import BUCKET_ROWS, running_totals, staged, unit_interval, whole_text
+from wattledger.llm.common import BUCKET_ROWS, named, running_totals, staged, unit_interval, whole_text
 
 # Weights and schedules go round over the sources in code point order, null last.
 WEIGHTS = (5, 2, 1)
@@ -23,6 +23,14 @@ def cycle(values: tuple, rank: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (rank % len(values) + 1).cast("int"))
 
 
+def in_order(rows: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """`rows` as a stage table with _bucket: range partitions of at most about BUCKET_ROWS rows,
+    numbered in the given order."""
+    buckets = rows.count() // BUCKET_ROWS + 1
+    dealt = rows.repartitionByRange(buckets, *order)
+    return staged(dealt.withColumn("_bucket", F.spark_partition_id()), name)
+
+
 def source_targets(
     sizes: DataFrame,
     weights: tuple[int, ...] = WEIGHTS,
@@ -35,29 +43,31 @@ def source_targets(
     stops at `most` times its source's size and the excess is shared again by weight until none
     is above. That ends at one level per unit of weight: with the sources in the order of
     stop / weight, the first whose level fits under its stop fixes the level of the rest (later levels are lower).
+
+    Sources are ranked and summed up in range partitions, whose totals are carried over, so no
+    task sees all of them where nearly every row has a source of its own. The driver gets four
+    numbers.
     """
     per_source = sizes.groupBy("source").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum("size").alias("source_size")
     )
-    # One row per source from here on.
-    rank = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    ranked = per_source.withColumn("rank", rank).withColumns(
-        {
-            "_weight": cycle(weights, F.col("rank")).cast("double"),
-            "_stop": F.col("source_size") * F.lit(most),
-            "_total": F.sum("source_size").over(Window.partitionBy()) * F.lit(share),
-        }
+    last = F.col("source").isNull()  # null comes after all code points
+    ordered = in_order(staged(per_source, "mix-sources").withColumn("_all", F.lit(0)), [last, F.col("source")], "mix-ordered")
+    ranked = running_totals(ordered, ["_all"], "_bucket", [last, F.col("source")], {"rank": F.lit(1)})
+    weighed = ranked.drop("_bucket").withColumns(
+        {"_weight": cycle(weights, F.col("rank")).cast("double"), "_stop": F.col("source_size") * F.lit(most)}
     )
-    filling = Window.orderBy(F.col("_stop") / F.col("_weight"), "rank")
-    stopped = F.coalesce(
-        F.sum("_stop").over(filling.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)
+    filling = [F.col("_stop") / F.col("_weight"), F.col("rank")]
+    filled = in_order(staged(weighed, "mix-weighed"), filling, "mix-filling")
+    total, all_weights = filled.agg(F.sum("source_size"), F.sum("_weight")).first()
+    summed = running_totals(
+        filled, ["_all"], "_bucket", filling, {"_stopped": F.col("_stop"), "_closed": F.col("_weight")}
     )
-    open_weight = F.sum("_weight").over(filling.rowsBetween(0, Window.unboundedFollowing))
-    levelled = ranked.withColumn("_level", (F.col("_total") - stopped) / open_weight)
-    fits = F.col("_level") * F.col("_weight") <= F.col("_stop")
-    level = F.max(F.when(fits, F.col("_level"))).over(Window.partitionBy())
-    target = F.least("_stop", F.coalesce(level, F.lit(float("inf"))) * F.col("_weight"))
-    return levelled.select("source", "n_rows", "source_size", target.alias("target"), "rank")
+    level = (F.lit(float(total or 0)) * F.lit(share) - F.col("_stopped")) / (F.lit(all_weights or 0.0) - F.col("_closed"))
+    fits = level * F.col("_weight") <= F.col("_stop")
+    reached = summed.agg(F.max(F.when(fits, level))).first()[0]
+    target = F.least("_stop", F.lit(float("inf") if reached is None else reached) * F.col("_weight"))
+    return filled.select("source", "n_rows", "source_size", target.alias("target"), "rank")
 
 
 def position(consumed: Column, target: Column, start: Column, end: Column) -> Column:
@@ -80,7 +90,7 @@ def mix(
     most: float = MOST_REPEATS,
 ) -> DataFrame:
     """Every row with the words the mix takes of it: `carry`, size, source_size, target, taken,
-    passes (how often the mix enters the document), first_position, positions (one for each pass).
+    passes (how often the mix enters the document), first_position, second_position, positions (one for each pass).
 
     Size is the number of words. A source's rows stand in the order of a digest of id and text;
     its target is spent along that order, going round again after the last row, and the row at
@@ -89,16 +99,17 @@ def mix(
     the second pass those are a whole round more.
     Reruns agree: nothing depends on partitions.
 
-    Cases: a null text has no words; a null source is a source of its own, after all others;
-    null or repeated ids are ordered by their texts; rows without words are entered when their
-    turn comes but give none; an empty table gives an empty result. `carry` may name any columns
+    Cases: a null text has no words; a very long text is one row, taken in part only where its
+    source runs out; a null source is a source of its own, after all others; null or repeated ids
+    are ordered by their texts, equal rows are interchangeable; rows without words are entered when
+    their turn comes but give none; an empty table gives an empty result. `carry` may name any columns
     except those made here.
     """
     text = whole_text(text_col)
     ident = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     rows = staged(
         docs.select(
-            *[F.col(c) for c in dict.fromkeys([*carry, "source"])],
+            *[named(c) for c in dict.fromkeys([*carry, "source"])],
             F.regexp_count(text, F.lit(WORDS)).cast("long").alias("size"),
             F.sha2(F.concat(ident, F.lit("|"), text), 256).alias("_order"),
         ),
@@ -131,7 +142,7 @@ def mix(
         consumed = F.col("_before") + F.col("source_size") * nth
         entered.append(F.when(left > 0, position(consumed, F.col("target"), F.col("_start"), F.col("_end"))))
     return summed.select(
-        *carry,
+        *[named(c) for c in carry],
         "size",
         "source_size",
         "target",
@@ -140,6 +151,7 @@ def mix(
         F.when(
             passes > 0, position(F.col("_before"), F.col("target"), F.col("_start"), F.col("_end"))
         ).alias("first_position"),
+        F.get(F.filter(F.array(*entered), lambda at: at.isNotNull()), F.lit(1)).alias("second_position"),
         F.filter(F.array(*entered), lambda at: at.isNotNull()).alias("positions"),
     )
 

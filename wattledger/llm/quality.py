@@ -10,7 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattledger.llm.common import staged
+from wattledger.functions.plans import sized
+from wattledger.llm.common import named, schema_of, staged
 from wattledger.llm.encoding import slices
 from wattledger.llm.wordscan import SLICE_BYTES, Words, byte_view, run_hashes
 
@@ -122,8 +123,8 @@ def document_statistics(docs: DataFrame, carry: list[str], text_col: str = "text
             made = pa.ListArray.from_arrays(bounds, pa.array(rows.ravel()))
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], made], [*batch.schema.names[1:], "_stats"])
 
-    kinds = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in carry)
-    return docs.select(F.col(text_col).alias("_text"), *carry).mapInArrow(measure, f"{kinds}_stats array<double>")
+    given = docs.select(named(text_col).alias("_text"), *[named(c) for c in carry])
+    return given.mapInArrow(measure, schema_of(docs, carry, "_stats array<double>"))
 
 
 @dataclass
@@ -213,7 +214,7 @@ def rising(raw: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tuple[np.n
 
 def fold_of(id_col: str) -> Column:
     """crc32 of the id as text, modulo 5; fold 0 is held out. A null id reads as empty."""
-    return (F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % FOLDS).cast("int")
+    return (F.crc32(F.coalesce(named(id_col).cast("string"), F.lit(""))) % FOLDS).cast("int")
 
 
 def fit(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality") -> Model:
@@ -266,8 +267,37 @@ def score(stats: DataFrame, model: Model, carry: list[str]) -> DataFrame:
             made = pa.array(model.scores(raw))
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], made], [*batch.schema.names[1:], "score"])
 
-    kinds = "".join(f"`{c}` {stats.schema[c].dataType.simpleString()}, " for c in carry)
-    return stats.select("_stats", *carry).mapInArrow(scored, f"{kinds}score double")
+    given = stats.select("_stats", *[named(c) for c in carry])
+    return given.mapInArrow(scored, schema_of(stats, carry, "score double"))
+
+
+def text_scores(model: Model):
+    """A function of a text column: the score of each whole text."""
+
+    @F.arrow_udf("double")
+    def scored(texts: pa.Array) -> pa.Array:
+        parts = [model.scores(model.features(statistics(p)) @ model.weights) for p in slices(texts, SLICE_BYTES)]
+        return pa.array(np.concatenate([np.zeros(0), *parts]))
+
+    return scored
+
+
+def fit_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
+    """`fit` on documents: only the labelled ones are measured."""
+    wanted = labels.where(fold_of(id_col) > 0).select(named(id_col)).distinct()
+    labelled = docs.select(named(id_col), named(text_col)).join(sized(wanted), id_col, "left_semi")
+    return fit(staged(document_statistics(labelled, [id_col], text_col), "quality-labelled"), labels, id_col)
+
+
+def good_documents(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD
+) -> DataFrame:
+    """The rows of `docs` that score `threshold` or more, as they are; cases as in `quality_scores`.
+
+    Only the text goes through Python, once; the rows stay where they are and nothing is shuffled.
+    """
+    scored = text_scores(fit_documents(docs, labels, id_col, text_col))
+    return docs.where(scored(named(text_col)) >= threshold)
 
 
 def quality_scores(
@@ -277,8 +307,8 @@ def quality_scores(
 
     Only statistics of the whole text enter the score. Labels come from rows outside fold 0.
 
-    Cases: null and empty texts are scored like any other; a null id is held out and has no
-    label; an id with several labels counts each; labels of one kind only give scores near that
+    Cases: null and empty texts are scored like any other; a very long text is measured whole, in
+    one task; repeated rows and ties are scored alike; a null id is held out and has no label; an id with several labels counts each; labels of one kind only give scores near that
     kind, no labels give 0.5; an empty table gives an empty result; `carry` may name any columns
     except those made here.
     """
@@ -286,6 +316,6 @@ def quality_scores(
     stats = staged(stats, "quality-statistics")
     scored = score(stats, fit(stats, labels, id_col), list(dict.fromkeys([*carry, id_col])))
     return scored.select(
-        *carry, (fold_of(id_col) == 0).alias("held_out"), "score",
+        *[named(c) for c in carry], (fold_of(id_col) == 0).alias("held_out"), "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
     )

@@ -55,7 +55,9 @@ def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 def op6_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(table(spark, folder, "documents"), ["doc_id"])
     ordered = mixed.repartitionByRange("first_position", "doc_id").sortWithinPartitions("first_position", "doc_id")
-    return ordered.select("doc_id", "size", "source_size", "target", "taken", "passes", "first_position")
+    return ordered.select(
+        "doc_id", "size", "source_size", "target", "taken", "passes", "first_position", "second_position"
+    )
 
 
 def op7_shard_lpt(spark: SparkSession, folder: str) -> DataFrame:
@@ -229,7 +231,9 @@ ORACLES = {
       (greatest(0, least(size, demand - before)) + greatest(0, least(size, demand - source_size - before)))::bigint as taken,
       ((demand - before > 0)::int + (demand - source_size - before > 0)::int)::int as passes,
       case when demand - before > 0 then (before / target * 2.0::double)
-        / (w0 + sqrt(w0 * w0 + (w1 - w0) * 2.0::double * (before / target))) end as first_position
+        / (w0 + sqrt(w0 * w0 + (w1 - w0) * 2.0::double * (before / target))) end as first_position,
+      case when demand - source_size - before > 0 then ((before + source_size) / target * 2.0::double)
+        / (w0 + sqrt(w0 * w0 + (w1 - w0) * 2.0::double * ((before + source_size) / target))) end as second_position
     from placed""",
     "op9_exact_dedup": """
     select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattledger.llm.common import join_groups, scratch_path, staged, whole_text
+from wattledger.functions.plans import scratch_path, sized
+from wattledger.llm.common import join_groups, named, staged, whole_text
 
 
 @dataclass(frozen=True)
@@ -75,10 +77,10 @@ def spans_of(text: Column, rule: Rule, nth: int) -> Column:
 
 
 def ledger_of(spark: SparkSession, path: str) -> DataFrame:
-    """The ledger's rows, one per blob and rule version, also when a repeated run wrote twice."""
-    return spark.read.schema(FINDINGS).parquet(f"{path}/run-*").dropDuplicates(
-        ["blob_id", "rule_version"]
-    )
+    """The ledger's rows of all runs and attempts, one per blob and rule version, also when two
+    runs scanned a blob at the same time."""
+    rows = spark.read.schema(FINDINGS).option("recursiveFileLookup", True).parquet(path)
+    return rows.dropDuplicates(["blob_id", "rule_version"])
 
 
 def scan_history(
@@ -95,27 +97,30 @@ def scan_history(
 
     A version's content is addressed by its SHA-256. Of the blobs in `versions`, those that the
     ledger folder has under this rule version are not scanned again (`earlier` says that the
-    folder has runs); each other blob is scanned once, however many paths hold it, and written
-    to the ledger as run `run`. Findings are joined back to all paths. Repeating a run replaces
-    its own part of the ledger.
-
-    Cases: null content is the empty blob; null or repeated paths give a row each; other columns
-    are not looked at; an empty table adds nothing to the ledger and gives an empty result.
+    folder has runs); each other blob is scanned once, however many paths hold it. Findings are
+    joined back to all paths. The ledger only grows: every call adds a part of its own below
+    run `run`, with the blobs that no part had. So a run may be repeated, or several batches
+    written under one name, and what was found before is found again without a new scan; a
+    part that was not finished is not seen by readers.
+
+    Cases: null content is the empty blob; null or repeated paths give a row each; a very long
+    text is one blob, scanned whole; other columns are not looked at; an empty table adds no rows
+    to the ledger and gives an empty result.
     """
     spark = versions.sparkSession
     ledger = ledger or scratch_path(spark, "secret-ledger")
     text = whole_text(text_col)
-    blobs = versions.select(*path_cols, F.sha2(text, 256).alias("blob_id"), text.alias("_text"))
-    paths = staged(blobs.select(*path_cols, "blob_id"), "secret-paths")
+    blobs = versions.select(*[named(c) for c in path_cols], F.sha2(text, 256).alias("blob_id"), text.alias("_text"))
+    paths = staged(blobs.select(*[named(c) for c in path_cols], "blob_id"), "secret-paths")
     if earlier:
         done = ledger_of(spark, ledger).where(F.col("rule_version") == rule_version)
-        blobs = blobs.join(done.select("blob_id"), "blob_id", "left_anti")
+        blobs = blobs.join(sized(done.select("blob_id")), "blob_id", "left_anti")
     # The first copy in each task is all that is shuffled, so a hot blob is no hot key.
     unseen = blobs.groupBy("blob_id").agg(F.first("_text").alias("_text"))
     found = F.concat(*[spans_of(F.col("_text"), rule, i) for i, rule in enumerate(rules)])
     unseen.select(
         "blob_id", F.lit(rule_version).alias("rule_version"), F.array_sort(found).alias("findings")
-    ).write.mode("overwrite").parquet(f"{ledger}/run-{run}")
+    ).write.parquet(f"{ledger}/run-{run}/attempt={uuid.uuid4().hex}")
     known = ledger_of(spark, ledger).where(
         (F.col("rule_version") == rule_version) & (F.size("findings") > 0)
     )
@@ -123,7 +128,7 @@ def scan_history(
     known = staged(known.select("blob_id", "findings").join(held, "blob_id"), "secret-findings")
     none = F.array().cast(f"array<{SPAN}>")
     return join_groups(paths, known, "blob_id", "_paths").select(
-        *path_cols, "blob_id", F.coalesce("findings", none).alias("findings")
+        *[named(c) for c in path_cols], "blob_id", F.coalesce("findings", none).alias("findings")
     )
 
 

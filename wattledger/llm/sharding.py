@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattledger.llm.common import BUCKET_ROWS, running_totals, staged, unit_interval, whole_text
+from wattledger.llm.common import BUCKET_ROWS, named, running_totals, staged, unit_interval, whole_text
 
 SHARDS = 40
 ROW_BYTES = 16
@@ -46,8 +46,9 @@ def shard_groups(docs: DataFrame, carry: list[str], text_col: str = "text", shar
     input size. Both kinds go by falling size to the least-loaded shard. Slots number the rows
     of a shard without gaps, in the order of a digest of id and text.
 
-    Cases: a null text is the empty text without bytes; null or repeated ids are ordered by
-    their texts; a group beyond a shard's even share fills a shard of its own; an empty table
+    Cases: a null text is the empty text without bytes; a very long text is a group like any other,
+    in one shard; null or repeated ids are ordered by their texts, equal rows are
+    interchangeable; a group beyond a shard's even share fills a shard of its own; an empty table
     gives an empty result; `carry` may name any columns except those made here.
     """
     text = whole_text(text_col)
@@ -55,7 +56,7 @@ def shard_groups(docs: DataFrame, carry: list[str], text_col: str = "text", shar
     group = F.sha2(text, 256)
     rows = staged(
         docs.select(
-            *carry,
+            *[named(c) for c in carry],
             (F.octet_length(text) + ROW_BYTES).cast("long").alias("size"),
             F.crc32(text).alias("text_crc32"),
             group.alias("_group"),
@@ -90,4 +91,4 @@ def shard_groups(docs: DataFrame, carry: list[str], text_col: str = "text", shar
     buckets = rows.count() // (shards * BUCKET_ROWS) + 1
     placed = placed.withColumn("_bucket", F.floor(unit_interval(F.col("_order")) * buckets))
     numbered = running_totals(placed, ["shard"], "_bucket", ["_order"], {"slot": F.lit(1)})
-    return numbered.select(*carry, "size", "text_crc32", "shard", F.col("slot").cast("long").alias("slot"))
+    return numbered.select(*[named(c) for c in carry], "size", "text_crc32", "shard", F.col("slot").cast("long").alias("slot"))

@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattledger.llm.common import join_groups, staged
+from wattledger.llm.common import join_groups, named, schema_of, staged
 from wattledger.llm.components import components
 from wattledger.llm.encoding import slices
 
@@ -74,8 +74,8 @@ def fingerprints(docs: DataFrame, carry: list[str], text_col: str = "text", shin
             made = pa.array(np.concatenate([np.zeros(0, np.int64), *parts]))
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], made], [*batch.schema.names[1:], "fp"])
 
-    kinds = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in carry)
-    return docs.select(F.col(text_col).alias("_text"), *carry).mapInArrow(hashed, f"{kinds}fp long")
+    given = docs.select(named(text_col).alias("_text"), *[named(c) for c in carry])
+    return given.mapInArrow(hashed, schema_of(docs, carry, "fp long"))
 
 
 def ball(value: Column, bits: int) -> Column:
@@ -164,28 +164,32 @@ def near_components(
     text_col: str = "text",
     shingle: int = 3,
     carry: tuple[str, ...] = (),
+    distance: int = DISTANCE,
 ) -> DataFrame:
-    """One row per input row: id, `carry`, fp, component_id (the least id reachable over links).
+    """One row per input row: id, `carry`, fp, label (the component's least fingerprint) and
+    component_id (the least id reachable over links).
 
-    Fingerprints are linked when they differ in three bits or fewer; rows with one fingerprint
-    are one node, so copies are never paired.
+    Fingerprints are linked when they differ in `distance` (three at most) bits or fewer; rows with
+    one fingerprint are one node, so copies are never paired.
 
     Cases: null and empty texts have fingerprint zero, which is linked like any other; fewer
-    words than a shingle give one shingle of all words; a component without any id has a null
-    component_id; repeated rows get the same result; an empty table gives an empty result; other
-    columns are not looked at.
+    words than a shingle give one shingle of all words; a very long text is hashed whole, a block
+    of shingles at a time; a component without any id has a null component_id; repeated rows and
+    equal texts get the same result; an empty table gives an empty result; `carry` may name any
+    columns except those made here.
     """
     marked = staged(fingerprints(docs, [id_col, *carry], text_col, shingle), "simhash-docs")
-    prints = marked.groupBy("fp").agg(F.min(id_col).alias("_least"), F.count(F.lit(1)).alias("_rows"))
+    prints = marked.groupBy("fp").agg(F.min(named(id_col)).alias("_least"), F.count(F.lit(1)).alias("_rows"))
     prints = staged(prints, "simhash-prints")
-    labels = components(near_links(prints.select("fp")))
+    labels = components(near_links(prints.select("fp"), distance))
     nodes = prints.join(labels, prints["fp"] == labels["node"], "left").select(
         "fp", "_least", "_rows", F.coalesce("label", "fp").alias("label")
     )
     nodes = staged(nodes, "simhash-nodes")
     least = nodes.groupBy("label").agg(F.min("_least").alias("component_id"))
-    placed = staged(nodes.join(least, "label").select("fp", "_rows", "component_id"), "simhash-placed")
-    return join_groups(marked, placed, "fp", "_rows").select(id_col, *carry, "fp", "component_id")
+    placed = staged(nodes.join(least, "label").select("fp", "_rows", "label", "component_id"), "simhash-placed")
+    found = join_groups(marked, placed, "fp", "_rows")
+    return found.select(*[named(c) for c in (id_col, *carry)], "fp", "label", "component_id")
 
 
 def hex_print(fp: Column) -> Column:
