@@ -1,68 +1,71 @@
 """The corpus pipeline: stages over `documents`, each written as Parquet and read by the next.
 
 Every stage takes all rows its predecessor kept. All but the last return the columns of their
-input; rows travel as one struct, so extra columns may have any name. The columns doc_id, text
-and source are needed. Null texts are empty texts, repeated rows are copies, and an empty table
-stays empty.
+input. Rows are kept or dropped where they stand: only texts go through Python, never whole rows,
+so extra columns may have any name and type. The columns doc_id, text and source are needed.
+In every stage null texts are empty texts, very long texts are read whole, and an empty table stays
+empty; what becomes of null ids, ties and repeated rows is said at each stage.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattledger.functions.plans import first_in_group, scratch_path
-from wattledger.llm import decontaminate, mixing, quality, sharding, similar
-from wattledger.llm.common import staged, table
+from wattledger.llm import decontaminate, mixing, quality, sharding, simhash
+from wattledger.llm.common import named, table, whole_text
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def packed(docs: DataFrame, *needed: str) -> DataFrame:
+def row_digest() -> Column:
+    """A digest of id and text: equal for copies of a row, never null."""
+    ident = F.coalesce(F.concat(F.lit("="), F.col("doc_id").cast("string")), F.lit(""))
+    return F.sha2(F.concat_ws("|", ident, whole_text()), 256)
+
+
+def packed(docs: DataFrame, *needed: str | Column) -> DataFrame:
     """The needed columns, and the whole row as a struct."""
-    return docs.select(*needed, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    return docs.select(*needed, F.struct(*[named(c) for c in docs.columns]).alias("_row"))
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose quality score is below the threshold go."""
-    labels = table(spark, sf_dir, "labels")
-    stats = staged(quality.document_statistics(docs, ["doc_id"]), "stage-statistics")
-    model = quality.fit(stats, labels)
-    scored = quality.score(quality.document_statistics(packed(docs, "text"), ["_row"]), model, ["_row"])
-    return scored.where(F.col("score") >= quality.THRESHOLD).select("_row.*")
+    """Documents whose quality score is below the threshold go. A row is judged by its text alone:
+    null ids and repeated rows are like any others."""
+    return quality.good_documents(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of rows linked by five-word shingles of similarity 0.8 or more the row with
-    the least id stays; of several under one id (or none), the one with the least text hash, once."""
-    tied = F.xxhash64(F.coalesce("text", F.lit(""))).alias("_tie")
-    groups = similar.similar_components(docs.select("doc_id", "text", tied), ["doc_id", "_tie"])
-    kept = first_in_group(groups, ["label"], [F.asc_nulls_last("doc_id"), F.asc("_tie")])
-    kept = kept.select(F.col("doc_id").alias("_id"), F.col("_tie").alias("_kept_tie"))
-    rows = packed(docs, "doc_id", "text").select("doc_id", "_row", tied)
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_tie") == F.col("_kept_tie"))
-    rows = rows.join(kept, same, "left_semi")
-    return first_in_group(rows, ["doc_id", "_tie"], [F.lit(0)]).select("_row.*")
+    """Of each group of rows linked by SimHash the one with the least id stays (null ids last, ties
+    by a digest of id and text); of repeated rows one stays."""
+    digest = row_digest().alias("_digest")
+    near = simhash.near_components(docs.select("doc_id", "text", digest), carry=("_digest",))
+    kept = first_in_group(near.select("label", "doc_id", "_digest"), ["label"], [F.asc_nulls_last("doc_id"), F.asc("_digest")])
+    # One row per digest and task is all that is shuffled; the join finds its rows in place.
+    rows = first_in_group(packed(docs, digest), ["_digest"], [F.lit(0)])
+    return rows.join(kept.select("_digest"), "_digest", "left_semi").select("_row.*")
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a window of a benchmark item go."""
-    items = table(spark, sf_dir, "benchmark")
-    marked = decontaminate.contaminated_words(packed(docs, "text"), items, ["_row"])
-    return marked.where("n_hit = 0").select("_row.*")
+    """Documents that hold a window of a benchmark item go. A row is judged by its text alone: null
+    ids and repeated rows are like any others."""
+    return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for each time the mix enters a document, each at its own place in training order; the
-    row at which a source runs out stays whole."""
-    mixed = mixing.mix(packed(docs, "doc_id", "text", "source"), ["_row"])
+    row at which a source runs out stays whole. A null source is one source; null or repeated ids
+    are ordered by their texts, equal rows are interchangeable."""
+    mixed = mixing.mix(packed(docs, "doc_id", "text", "source"), ["doc_id", "_row"])
     return mixing.training_order(mixed).select("_row.*")
 
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every row with its shard and its place there."""
+    """Every row with its shard and its place there; equal texts share a shard, and null or repeated
+    ids are ordered by their texts."""
     return sharding.shard_groups(docs, ["doc_id"])
 
 
