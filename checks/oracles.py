@@ -192,7 +192,7 @@ def reported(source: str, label: str, grain: str, from_year: int) -> str:
     return f"""
         select {label} "Curve Name", year "Year", {grain} "{grain.capitalize()}", deal_id "Deal ID",
             deal_name "Deal Name", product_name "Product Name", instrument "Instrument",
-            case when status in ('Approved', 'Confirmed') and deal_id <> 888888 then 'Contracted' else 'Hypothetical' end "Status",
+            case when status in ('Approved', 'Confirmed') and deal_id <> 7 then 'Contracted' else 'Hypothetical' end "Status",
             buy_sell "Buy/Sell", strategy "Strategy", regionid "Region ID", "group" "Group", volume_mwh "Volume (MWh)",
             fixed "Fixed Earnings", fixed / nullif(volume_mwh, 0) "VW Fixed Rate", floating "Floating Earnings",
             floating / nullif(volume_mwh, 0) "VW Floating Rate", twp "TW Floating Price", total_earnings "Total Earnings"
@@ -501,6 +501,19 @@ STATEMENTS: dict[str, str] = {
         select product_id, deal_id, instrument_id, region_number, buy, calendar_year, calendar_quarter,
             {cents('volume_mwh', 'income', 'cost')}, run_date
         from q_flat_quarters cross join (values ({TODAY}), (date '1998-05-21')) r(run_date)""",
+    "k6_replace_named_slices": """
+        select * from (
+            with r as (
+                select case when product_id % 5 = 0 then null else concat('a:b/c=', cast(product_id as string), ' %') end product_name,
+                    buy, deal_id, quantity from v_terms),
+            late as (select * from r where deal_id % 3 = 0 and product_name <> 'a:b/c=4 %'),
+            gone as (
+                select distinct product_name, buy from late
+                union all select * from (values (cast(null as string), true), ('a:b/c=4 %', true)) g(product_name, buy))
+            select * from late
+            union all
+            select * from r where not exists (
+                select 1 from gone g where g.product_name is not distinct from r.product_name and g.buy = r.buy))""",
     "k7_write_report_csv": final_report(
         reported("q_combined join q_names using (curve)", "curve_name", "quarter", 1995), "Quarter"
     ),

@@ -64,15 +64,15 @@ def test_report_rates_and_status(spark):
     ddl = "deal_id int, deal_name string, product_name string, instrument string, status string, buy_sell string, strategy string, regionid string, `group` string, year int, quarter int, volume_mwh double, total_cost double, total_income double, total_earnings double, twp double, curve string"
     row = lambda deal, side, volume, curve="c", earned=1.0: (deal, "d", "p", "i", "Approved", side, "s", "r", "g", 2025, 1, volume, 10.0, 30.0, earned, 5.0, curve)
     df = spark.createDataFrame(
-        [row(1, "Buy", 10.0), row(2, "Sell", 0.0), row(888888, "Buy", 1.0), row(4, "Buy", 1.0, "unnamed"), row(5, "Buy", 1.0, earned=None)], ddl
+        [row(1, "Buy", 10.0), row(2, "Sell", 0.0), row(77, "Buy", 1.0), row(4, "Buy", 1.0, "unnamed"), row(5, "Buy", 1.0, earned=None)], ddl
     )
     assert df.columns == columns
     names = spark.createDataFrame([("c", "Curve")], "curve string, curve_name string")
-    got = {r["Deal ID"]: r for r in report.outlook_report(df, names).collect()}
-    assert set(got) == {1, 2, 888888}
+    got = {r["Deal ID"]: r for r in report.outlook_report(df, names, placeholders=(77,)).collect()}
+    assert set(got) == {1, 2, 77}
     assert got[1]["Floating Earnings"] == 30 and got[1]["Fixed Earnings"] == -10 and got[1]["VW Floating Rate"] == 3
     assert got[2]["Floating Earnings"] == -10 and got[2]["Fixed Earnings"] == 30 and got[2]["VW Fixed Rate"] is None
-    assert got[1]["Status"] == "Contracted" and got[888888]["Status"] == "Hypothetical"
+    assert got[1]["Status"] == "Contracted" and got[77]["Status"] == "Hypothetical"
 
 
 def test_mean_outlook_is_the_total_over_samples_when_all_hold_the_deal(spark, inputs):

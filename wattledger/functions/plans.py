@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -29,6 +30,8 @@ def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 
 def sized_all(*dfs: DataFrame, rows: int = BROADCAST_ROWS) -> list[DataFrame]:
     """`sized` for several tables, which are counted in one job."""
+    if not dfs:
+        return []
     counts = [
         df.limit(rows + 1).agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("i"), "n") for i, df in enumerate(dfs)
     ]
@@ -56,11 +59,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/wattledger/{name}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, parts: Sequence[str] = ()) -> DataFrame:
     """`df` as a parquet table in the shared folder: nothing upstream runs twice, and readers
-    prune columns, push filters down and know its size."""
+    prune columns, push filters down and know its size. By the columns `parts`, which have few
+    values, it is stored apart."""
     path = scratch_path(df.sparkSession, "stage")
-    df.write.parquet(path)
+    df.write.partitionBy(*parts).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -20,20 +20,29 @@ def to_trading_interval(df: DataFrame, ts_col: str) -> DataFrame:
     return df.withColumn("interval_date", trading_date_of(ts)).withColumn("period_id", period_of(ts))
 
 
+def _with_every(days: DataFrame, lookup: DataFrame, broadcast_rows: int) -> DataFrame:
+    """Every day with every row of the lookup."""
+    rows = lookup.count()
+    splits = -(-rows // broadcast_rows) if broadcast_rows else rows
+    if splits <= 1:
+        return days.withColumn("_split", F.lit(0)).join(F.broadcast(lookup.withColumn("_split", F.lit(0))), "_split").drop("_split")
+    dealt = lookup.withColumn("_split", F.pmod(F.xxhash64(*lookup.columns), F.lit(splits)))
+    spread = days.withColumn("_split", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(splits - 1).cast("long"))))
+    return spread.join(dealt.hint("merge"), "_split").drop("_split")
+
+
 def day_type_calendar(
-    datetimes: DataFrame, jurisdictions: DataFrame, holidays: DataFrame
+    datetimes: DataFrame, jurisdictions: DataFrame, holidays: DataFrame, broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
     """One row per interval and jurisdiction with its day type: W working day, 6 Saturday, S Sunday or holiday.
 
     The day type is decided once per date and jurisdiction and only then spread over the
-    periods of the date. Every date has every jurisdiction, so all dates carry the key of the
-    whole lookup, whose size is checked before it is sent to them.
+    periods of the date. Every date has every jurisdiction: the lookup goes to the dates when its
+    counted size allows, else it is dealt into splits of that size, and each split meets the
+    dates in a task of its own.
     """
-    lookup = jurisdictions.select("jurisdiction_id", "jurisdiction").distinct().withColumn("_every", F.lit(1))
-    days = (
-        datetimes.select("interval_date", "day_of_week").distinct().withColumn("_every", F.lit(1))
-        .join(sized(lookup), "_every").drop("_every")
-    )
+    lookup = jurisdictions.select("jurisdiction_id", "jurisdiction").distinct()
+    days = _with_every(datetimes.select("interval_date", "day_of_week").distinct(), lookup, broadcast_rows)
     closed = (
         holidays.where(F.col("holiday_name").isNotNull())
         .select("interval_date", "jurisdiction").distinct().withColumn("public_holiday", F.lit(True))

@@ -8,11 +8,14 @@ from __future__ import annotations
 
 from datetime import date
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wattledger.functions.money import CAP_STRIKE, MARKET_PRICE_CAP, at_least, at_most
-from wattledger.functions.plans import BROADCAST_ROWS, cut, first_in_group, sized
+from wattledger.functions.plans import cut, first_in_group, sized
 from wattledger.functions.timegrid import quarter_of, year_of
 
 PATH = ["model_id", "sample_id", "interval_date", "period_id", "region_number", "rrp"]
@@ -137,6 +140,47 @@ def _replayed(rrp: Column, factors: Column, strike: float) -> Column:
     )
 
 
+def _rounds(rounds: int, strike: float):
+    """Of one quarter and region: the error ahead of each round and the factor of each round.
+
+    Prices from 0 to the strike that have been scaled so far are min(price * scale, ceiling), so
+    with prices sorted once and summed from the least up, a round's mean is one lookup: of the
+    prices under ceiling / scale the sum counts, of the others the number.
+    """
+
+    def adjust(group: pa.Table) -> pa.Table:
+        rrp = np.sort(np.asarray(group["rrp"].drop_null()))
+        target = group["target"][0].as_py()
+        scaled = rrp[(rrp >= 0) & (rrp <= strike)]
+        sums = np.concatenate([[0.0], np.cumsum(scaled)])
+        below, above = float(rrp[rrp < 0].sum()), int((rrp > strike).sum())
+        scale, ceiling, sunk = 1.0, strike, None
+        errors, factors = [], []
+        for _ in range(rounds):
+            error = factor = None
+            if len(rrp):
+                under = int(np.searchsorted(scaled, ceiling / scale, side="right")) if scale > 0 else len(scaled)
+                inside = scale * float(sums[under]) + ceiling * (len(scaled) - under)
+                # After a factor below zero these prices are negative, and stay as they are.
+                middle = ((inside if sunk is None else 0.0) + strike * above) / len(rrp)
+                negative = (below + (sunk or 0.0)) / len(rrp)
+                if target is not None:
+                    gap = target - negative
+                    error, factor = abs(gap - middle), gap / middle if middle else None
+            errors.append(error)
+            factors.append(factor)
+            if factor is not None and sunk is None:
+                if factor < 0:
+                    sunk = inside * factor
+                else:
+                    scale, ceiling = scale * factor, min(ceiling * factor, strike)
+        doubles = pa.list_(pa.float64())
+        keys = [group[c].slice(0, 1) for c in GROUP]
+        return pa.table([*keys, pa.array([errors], doubles), pa.array([factors], doubles)], [*GROUP, "errors", "factors"])
+
+    return adjust
+
+
 def apply_energy_adjustment(
     path: DataFrame,
     futures: DataFrame,
@@ -147,41 +191,29 @@ def apply_energy_adjustment(
 ) -> DataFrame:
     """The path with prices between 0 and the strike scaled until its mean meets energy futures.
 
-    The path is written once and never rewritten: a round reads it, replays the factors found
-    so far and makes one aggregate of a row per quarter and region. The driver reads one
-    number per round, the mean absolute error. Groups without futures leave with the first
-    round; a path that already agrees is returned as it is.
+    The path is read once for the factors of all rounds, whatever their number: a quarter of one
+    region holds a bounded number of prices, which are sorted and summed up once. The driver reads
+    the mean error of each round and keeps the factors up to the first round that needs none;
+    they are replayed on the path. Groups without futures leave with the first round; a path that
+    already agrees is returned as it is.
     """
     target = _target(futures, regions, "energy_boq").withColumn("listed", F.lit(True))
     base = cut(_with_quarter(path.select(*PATH)).join(target, GROUP, "left"))
-    current = base.withColumn("factors", F.array().cast("array<double>")).withColumn("price", F.col("rrp"))
-    for _ in range(max_iterations):
-        gap = F.col("target") - F.col("negative")
-        measured = cut(
-            current.where("listed")
-            .groupBy(*GROUP)
-            .agg(
-                F.avg(at_most(at_least(F.col("price"), F.lit(0.0)), F.lit(strike))).alias("middle"),
-                F.avg(at_most(F.col("price"), F.lit(0.0))).alias("negative"),
-                F.any_value("target").alias("target"),
-                F.any_value("factors").alias("factors"),
-            )
-            .select(
-                *GROUP,
-                F.abs(gap - F.col("middle")).alias("error"),
-                F.concat("factors", F.array(F.try_divide(gap, F.col("middle")))).alias("factors"),
-            )
-        )
-        error, groups = measured.agg(F.avg("error"), F.count(F.lit(1))).first()
-        if error is None or error < tolerance:
-            break
-        # One row per quarter and region, just counted.
-        factors = measured.select(*GROUP, "factors")
-        factors = F.broadcast(factors) if groups <= BROADCAST_ROWS else factors.hint("merge")
-        current = base.join(factors, GROUP).withColumn(
-            "price", _replayed(F.col("rrp"), F.col("factors"), strike)
+    listed, doubles = base.where("listed"), T.ArrayType(T.DoubleType())
+    measured = cut(
+        listed.select(*GROUP, "rrp", "target").groupBy(*GROUP).applyInArrow(
+            _rounds(max_iterations, strike),
+            T.StructType([listed.schema[c] for c in GROUP]).add("errors", doubles).add("factors", doubles),
         )
-    return current.select(*PATH[:-1], F.col("price").alias("rrp"))
+    )
+    means = measured.select(F.posexplode("errors").alias("nth", "error")).groupBy("nth").agg(F.avg("error").alias("error"))
+    error = {r.nth: r.error for r in means.collect()}  # one row per round
+    needed = (n for n in range(max_iterations) if error.get(n) is None or error[n] < tolerance)
+    rounds = next(needed, max_iterations)
+    if not rounds:
+        return base.select(*PATH)
+    factors = sized(measured.select(*GROUP, F.slice("factors", 1, rounds).alias("factors")))
+    return base.join(factors, GROUP).withColumn("rrp", _replayed(F.col("rrp"), F.col("factors"), strike)).select(*PATH)
 
 
 def scenario_prices(

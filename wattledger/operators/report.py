@@ -13,11 +13,10 @@ from wattledger.functions.money import CAP_STRIKE
 from wattledger.functions.plans import sized
 from wattledger.functions.timegrid import quarter_of, year_of
 
-# Fixed values of the outlook: statuses kept, statuses that count as contracted, the placeholder
-# deal that is always hypothetical, and the ranks that stand for P90 and P10.
+# Fixed values of the outlook: statuses kept, statuses that count as contracted, and the ranks that
+# stand for P90 and P10.
 KEPT_STATUSES = ("Approved", "Confirmed", "Pending", "Hypothetical")
 CONTRACTED_STATUSES = ("Approved", "Confirmed")
-PLACEHOLDER_DEAL = 888888
 P90_RANK = 54
 P10_RANK = 7
 
@@ -224,9 +223,11 @@ def combine_curves(curves: Sequence[DataFrame]) -> DataFrame:
     return combined
 
 
-def _report(rows: DataFrame, label: str, grain: str) -> DataFrame:
+def _report(rows: DataFrame, label: str, grain: str, placeholders: Sequence[int]) -> DataFrame:
     bought = F.col("buy_sell") == "Buy"
-    contracted = F.col("status").isin(list(CONTRACTED_STATUSES)) & (F.col("deal_id") != PLACEHOLDER_DEAL)
+    # A deal without an id counts as hypothetical, too.
+    known = F.col("deal_id").isNotNull() & ~F.col("deal_id").isin(list(placeholders))
+    contracted = F.col("status").isin(list(CONTRACTED_STATUSES)) & known
     volume = F.col("volume_mwh")
     return (
         rows.withColumn("floating", F.when(bought, F.col("total_income")).otherwise(-F.col("total_cost")))
@@ -260,15 +261,22 @@ def _reportable(combined: DataFrame, from_year: int | None) -> DataFrame:
     return rows if from_year is None else rows.where(F.col("year") >= from_year)
 
 
-def outlook_report(combined: DataFrame, curve_names: DataFrame, from_year: int | None = None) -> DataFrame:
-    """The outlook by quarter, for curves with a name: fixed and floating legs and their rates per MWh."""
+def outlook_report(
+    combined: DataFrame, curve_names: DataFrame, from_year: int | None = None, placeholders: Sequence[int] = ()
+) -> DataFrame:
+    """The outlook by quarter, for curves with a name: fixed and floating legs and their rates per MWh.
+
+    `placeholders` are deals that count as hypothetical whatever their status.
+    """
     named = _reportable(combined, from_year).join(
         curve_names.select("curve", F.col("curve_name").alias("label")), "curve"
     )
-    return _report(named, "label", "quarter")
+    return _report(named, "label", "quarter", placeholders)
 
 
-def monthly_report(combined: DataFrame, curve: str = "Central", from_year: int | None = None) -> DataFrame:
+def monthly_report(
+    combined: DataFrame, curve: str = "Central", from_year: int | None = None, placeholders: Sequence[int] = ()
+) -> DataFrame:
     """The outlook of one curve by month, in the order year, month, group, region, deal."""
     rows = _reportable(combined, from_year).where(F.col("curve") == curve)
-    return _report(rows, "curve", "month").orderBy("Year", "Month", "Group", "Region ID", "Deal ID")
+    return _report(rows, "curve", "month", placeholders).orderBy("Year", "Month", "Group", "Region ID", "Deal ID")

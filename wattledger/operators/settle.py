@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattledger.functions.money import at_least, excess_over
-from wattledger.functions.plans import BROADCAST_ROWS, fits, sized
+from wattledger.functions.plans import BROADCAST_ROWS, cut, fits, sized
+from wattledger.functions.sweep import sweep_join
 from wattledger.functions.timegrid import INTERVALS_PER_DAY, INTERVALS_PER_HOUR
 
 INTERVAL = ["interval_date", "period_id", "region_number"]
@@ -23,10 +24,9 @@ def _under_contract(
 ) -> DataFrame:
     """Fact rows with each contract that covers them: equal `key`, date inside the contract.
 
-    A contract without a start or an end covers no date. A `small` list, counted by the caller, is broadcast and the facts are not shuffled. A larger one
-    is spread over its dates (one row per contract and day, 1/288 of the rows it will match)
-    and joined on key and date, so a product or region that owns much of the table is divided
-    over its days; adaptive execution splits what is still skewed.
+    A contract without a start or an end covers no date. A `small` list, counted by the caller, is
+    broadcast and the facts are not shuffled. A larger one meets the facts in a sweep over both in
+    the order of key and date, see `wattledger.functions.sweep`.
     """
     carried = [c for c in dict.fromkeys([*SETTLED, "instrument", "buy", *values]) if c in terms.columns]
     contract = terms.select(*carried, "start_date", "end_date")
@@ -35,16 +35,7 @@ def _under_contract(
     covered = F.col("interval_date").between(F.col("start_date"), F.col("end_date"))
     if small:
         return facts.join(F.broadcast(contract), key).where(covered).drop("start_date", "end_date")
-    dates = facts.select(F.min("interval_date").alias("first"), F.max("interval_date").alias("last"))
-    first, last = dates.select("first").scalar(), dates.select("last").scalar()
-    daily = (
-        contract.withColumn("start_date", F.greatest("start_date", first))
-        .withColumn("end_date", F.least("end_date", last))
-        .where(first.isNotNull() & (F.col("start_date") <= F.col("end_date")))
-        .withColumn("interval_date", F.explode(F.sequence("start_date", "end_date")))
-        .drop("start_date", "end_date")
-    )
-    return facts.join(daily.hint("merge"), [key, "interval_date"])
+    return sweep_join(facts, contract, key, "interval_date", "start_date", "end_date")
 
 
 def _settled(rows: DataFrame, volume: Column, buy: Column, sell: Column) -> DataFrame:
@@ -242,27 +233,38 @@ def apply_turndown(
     """Generation with the intervals set to zero in which the price is under the turndown price.
 
     `turndowns` are the terms that have one. A product with a turndown keeps only the rows
-    inside its dates; only such products are joined to prices.
+    inside its dates; only rows of such products meet prices. `prices` has one per interval and
+    region.
     """
-    return _turned_down(generation, turndowns, prices, fits(turndowns, broadcast_rows))
+    return _turned_down(generation, turndowns, prices, broadcast_rows)
 
 
-def _turned_down(generation, turndowns, prices, small) -> DataFrame:
+def _turned_down(generation, turndowns, prices, broadcast_rows) -> DataFrame:
     limits = turndowns.where(F.col("turndown").isNotNull()).select(
         "product_id", "region_number", "start_date", "end_date", "turndown"
     )
-    limits = F.broadcast(limits) if small else limits.hint("merge")
     inside = F.col("interval_date").between(F.col("start_date"), F.col("end_date"))
-    # Generation is read once: rows of products without a turndown find no limit and no price.
-    return (
-        generation.join(limits, "product_id", "left")
-        .where(F.col("turndown").isNull() | inside)
-        .join(prices, INTERVAL, "left")
-        .select(
-            "product_id", "interval_date", "period_id",
-            F.when(F.col("rrp") < F.col("turndown"), F.lit(0.0)).otherwise(F.col("generation_mwh")).alias("generation_mwh"),
-        )
+    limited = F.col("turndown").isNotNull()
+    # Generation is read once: rows of products without a turndown find no limit.
+    rows = generation.join(sized(limits, broadcast_rows), "product_id", "left").where(~limited | inside)
+    # Only prices under some turndown of their region and time can turn anything down.
+    reach = limits.groupBy("region_number").agg(
+        F.max("turndown").alias("_most"), F.min("start_date").alias("_first"), F.max("end_date").alias("_last")
+    )
+    low = (
+        prices.select(*INTERVAL, "rrp").join(sized(reach, broadcast_rows), "region_number")
+        .where((F.col("rrp") < F.col("_most")) & F.col("interval_date").between(F.col("_first"), F.col("_last")))
+        .select(*INTERVAL, "rrp")
     )
+    columns = ["product_id", "interval_date", "period_id"]
+    turned = F.when(F.col("rrp") < F.col("turndown"), F.lit(0.0)).otherwise(F.col("generation_mwh")).alias("generation_mwh")
+    if fits(low, broadcast_rows):
+        return rows.join(F.broadcast(low), INTERVAL, "left").select(*columns, turned)
+    # Many low prices: the rows are parted in the one pass that reads them, and only those with a
+    # turndown are shuffled to prices.
+    parted = cut(rows.select(*columns, "region_number", "turndown", "generation_mwh", limited.alias("_limited")), ["_limited"])
+    cut_back = parted.where("_limited").join(low.hint("merge"), INTERVAL, "left").select(*columns, turned)
+    return parted.where("not _limited").select(*columns, "generation_mwh").unionByName(cut_back)
 
 
 def _sides(terms: DataFrame) -> DataFrame:
@@ -305,7 +307,7 @@ def settle_book(
     certificates = sized(certificates)
     sided = terms.drop("buy").join(_sides(terms), ["deal_id", "product_id"])
     # Turndown applies to generation before any contract sees it.
-    metered = _turned_down(generation, terms, prices, small)
+    metered = _turned_down(generation, terms, prices, broadcast_rows)
 
     def of(*instruments: str) -> DataFrame:
         return sided.where(F.col("instrument").isin(*instruments))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattledger.functions.plans import sized
+from wattledger.functions.plans import sized, sized_all
 from wattledger.operators.calendar import OPEN_END, clip_to_dates, compact_ranges
 from wattledger.operators.trades import with_region_number
 
@@ -174,9 +174,10 @@ def retail_certificate_terms(
     """
     customers = _retail(trades, regions)
     product = ["product_id", "product_start_date", "product_end_date"]
+    days, products = sized_all(calendar.select("interval_date").distinct(), customers.select(*product).distinct())
     rated = (
-        rates.join(calendar.select("interval_date").distinct(), "interval_date", "left_semi")
-        .join(customers.select(*product).distinct(), "product_id")
+        rates.join(days, "interval_date", "left_semi")
+        .join(products, "product_id")
         .where(F.col("interval_date").between(F.col("product_start_date"), F.col("product_end_date")))
         .withColumn("lgc_price", F.coalesce("lgc_price", F.lit(0.0)))
         .withColumn("lgc_percentage", F.coalesce("lgc_percentage", F.lit(0.0)))

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattledger.functions.plans import first_in_group, numbered_in_chunks, sized, sized_all
 from wattledger.operators.calendar import OPEN_END, effective_ranges
 
+# Date buckets under which rates are filed.
+DATE_BUCKETS = 512
+
 
 def _named(lookup: DataFrame, key: str, name: str, *extra: str) -> DataFrame:
     """A lookup table reduced to its key, its name under `name`, and `extra` columns."""
@@ -142,35 +145,52 @@ def rate_calendar(
     rates: DataFrame,
     start: date | None = None,
     end: date | None = None,
+    buckets: int = DATE_BUCKETS,
 ) -> DataFrame:
     """Rate of every product, jurisdiction and interval, from `start` and to `end` where given.
 
     `calendar` is the output of `day_type_calendar`. Rates are cut to the calendar's dates and
-    split by month, so a day meets only the rates of its month, jurisdiction, period and day type.
+    filed under date buckets that begin where rates begin or end, in equal shares, `buckets` at
+    most. So a day meets the rates of its bucket, jurisdiction, period and day type, and a rate
+    meets days outside its dates only in its first and last bucket, and none where the rates
+    have no more different ends than there are buckets.
     """
     days = calendar
     if start is not None:
         days = days.where(F.col("interval_date") >= F.lit(start))
     if end is not None:
         days = days.where(F.col("interval_date") <= F.lit(end))
-    span = days.select("interval_date")
-    first, last = span.select(F.min("interval_date")).scalar(), span.select(F.max("interval_date")).scalar()
-    opens, closes = F.greatest("from_date", first), F.least("to_date", last)
-    live = (
-        rates.where(first.isNotNull() & F.col("from_date").isNotNull() & F.col("to_date").isNotNull() & (opens <= closes))
-        .withColumn(
-            "_month",
-            F.explode(F.sequence(F.date_trunc("month", opens).cast("date"), closes, F.expr("interval 1 month"))),
-        )
-    )
+    days, live = _bucketed(days, rates, buckets)
     return (
-        days.withColumn("_month", F.date_trunc("month", "interval_date").cast("date"))
-        .join(live, ["jurisdiction_id", "period_id", "day_type", "_month"])
+        days.join(live, ["jurisdiction_id", "period_id", "day_type", "_bucket"])
         .where(F.col("interval_date").between(F.col("from_date"), F.col("to_date")))
         .select("product_id", "jurisdiction_id", "interval_date", "period_id", "rate")
     )
 
 
+def _bucketed(days: DataFrame, rates: DataFrame, buckets: int) -> tuple[DataFrame, DataFrame]:
+    """Days with their date bucket, and rates in each bucket that they reach into."""
+    dates = days.select("interval_date").distinct()
+    span = dates.agg(F.min("interval_date").alias("a"), F.max("interval_date").alias("b")).first()
+    if span.a is None:
+        return days.withColumn("_bucket", F.lit(0)), rates.where(F.lit(False)).withColumn("_bucket", F.lit(0))
+    opens, closes = F.greatest("from_date", F.lit(span.a)), F.least("to_date", F.lit(span.b))
+    live = rates.where(F.col("from_date").isNotNull() & F.col("to_date").isNotNull() & (opens <= closes))
+    edges = live.select(F.explode(F.array(F.unix_date(opens), F.unix_date(closes) + 1)).alias("edge"))
+    shares = [i / buckets for i in range(1, buckets)]
+    # Different edges: one for each day of the calendar at most.
+    found = edges.agg(F.collect_set("edge").alias("each"), F.percentile_approx("edge", shares, 10 * buckets).alias("even")).first()
+    edge = sorted(set(found.each if len(found.each) <= buckets else found.even or ()))
+    ends = F.array(*[F.lit(e) for e in edge]).cast("array<int>")
+
+    def bucket(date: Column) -> Column:
+        return F.size(F.filter(ends, lambda e: e <= F.unix_date(date)))
+
+    # Decided once per date of the calendar, which is one row there.
+    days = days.join(sized(dates.withColumn("_bucket", bucket(F.col("interval_date")))), "interval_date")
+    return days, live.withColumn("_bucket", F.explode(F.sequence(bucket(opens), bucket(closes))))
+
+
 def shaped_product_profiles(profiles: DataFrame, products: DataFrame) -> DataFrame:
     """Interval profiles of products that are not on a flat schedule."""
     flat = (

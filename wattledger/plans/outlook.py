@@ -23,7 +23,8 @@ from wattledger.sources.sinks import write_report_csv
 def outlook(
     hindcast: DataFrame, sampled: dict[str, DataFrame], scenarios: DataFrame, deal_info: DataFrame,
     curve_names: DataFrame, start: date, end: date, *, hindcast_curve: str, ranked_start: date | None = None,
-    ranks: dict[str, int] | None = None, from_year: int | None = None, csv: str | None = None, **options,
+    ranks: dict[str, int] | None = None, from_year: int | None = None, placeholders: Sequence[int] = (),
+    csv: str | None = None, **options,
 ) -> DataFrame:
     """The combined report of a hindcast, any number of sampled models and named scenarios.
 
@@ -47,7 +48,7 @@ def outlook(
                 ranked_curves=ranked,
             )
         )
-    report = outlook_report(combine_curves(curves), curve_names, from_year)
+    report = outlook_report(combine_curves(curves), curve_names, from_year, placeholders)
     if csv is not None:
         write_report_csv(report, csv)
     return report
@@ -55,7 +56,8 @@ def outlook(
 
 def monthly_outlook(
     scenarios: DataFrame, deal_info: DataFrame, start: date, end: date, *, curve: str = "Central",
-    statuses: Sequence[str] | None = None, from_year: int | None = None, csv: str | None = None, **options,
+    statuses: Sequence[str] | None = None, from_year: int | None = None, placeholders: Sequence[int] = (),
+    csv: str | None = None, **options,
 ) -> DataFrame:
     """The monthly report of one of the named scenarios, with a status list of its own."""
     names = cut(deal_info.select("product_id", "instrument").distinct())
@@ -63,7 +65,7 @@ def monthly_outlook(
     rows = clean_and_aggregate(
         scenarios, names, "", start, end, mode="scenario", by_month=True, **{**options, **chosen}
     )
-    report = monthly_report(rows, curve, from_year)
+    report = monthly_report(rows, curve, from_year, placeholders)
     if csv is not None:
         write_report_csv(report, csv)
     return report

@@ -16,7 +16,7 @@ from wattledger.operators import calendar as cal
 from wattledger.operators import calibrate, market, profiles, report, settle, terms, trades
 from wattledger.sources.checks import check_contract
 from wattledger.sources.schemas import TABLES, instrument_dim, with_instrument
-from wattledger.sources.sinks import replace_slice, write_snapshot
+from wattledger.sources.sinks import read_slices, replace_slice, write_snapshot
 
 
 STAR_COLUMNS = (
@@ -127,10 +127,10 @@ def update_earnings(
 
 
 def update_quarters(tables: Tables, run_date: date) -> DataFrame:
-    """Stage 5: quarterly earnings; a second run on the same date replaces the first."""
+    """Stage 5: quarterly earnings; a second run on the same date replaces the first, whole or not at all."""
     quarters = report.quarterly_earnings(tables.read("scenario_earnings"), run_date)
     replace_slice(quarters, tables.path("quarterly_earnings"), ["run_date"], [(run_date,)])
-    return tables.read("quarterly_earnings")
+    return read_slices(tables.spark, tables.path("quarterly_earnings"))
 
 
 def update_profiles(

@@ -1,13 +1,17 @@
-"""Sinks: whole snapshots, idempotent slices and the report file."""
+"""Sinks: whole snapshots, slices that are replaced as a whole, and the report file."""
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+# Hidden folders of a sliced table; readers of the table pass over names that start like this.
+ATTEMPT, COMMIT = "_attempt-", "_commit"
 
 
 def write_snapshot(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -15,6 +19,89 @@ def write_snapshot(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(path)
 
 
+class Folder:
+    """The files of one table, in whatever file system it lies."""
+
+    def __init__(self, spark: SparkSession, root: str) -> None:
+        self.root = root
+        self._path = spark._jvm.org.apache.hadoop.fs.Path
+        self._files = self._path(root).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+        self._utils = spark._jvm.org.apache.commons.io.IOUtils
+
+    def at(self, name: str):
+        # By parent and child: names of slices may hold characters that a joined path would parse.
+        where = self._path(self.root)
+        for part in name.split("/"):
+            where = self._path(where, self._path(None, None, part))
+        return where
+
+    def exists(self, name: str) -> bool:
+        return self._files.exists(self.at(name))
+
+    def names(self, name: str = "") -> list[str]:
+        """What lies in a folder; nothing if there is none."""
+        where = self.at(name) if name else self._path(self.root)
+        return sorted(s.getPath().getName() for s in self._files.listStatus(where)) if self._files.exists(where) else []
+
+    def slices(self, name: str, depth: int) -> list[str]:
+        """The slices below a folder, relative to it: `depth` levels of key=value."""
+        found = [""]
+        for _ in range(depth):
+            found = [
+                f"{above}/{own}" if above else own
+                for above in found for own in self.names("/".join(x for x in (name, above) if x))
+                if "=" in own and not own.startswith(("_", "."))
+            ]
+        return found
+
+    def files(self, name: str) -> list[str]:
+        return [f for f in self.names(name) if not f.startswith(("_", "."))]
+
+    def move(self, name: str, to: str) -> None:
+        self._files.mkdirs(self.at(to).getParent())
+        if not self._files.rename(self.at(name), self.at(to)):
+            raise OSError(f"cannot move {name} to {to} in {self.root}")
+
+    def delete(self, name: str) -> None:
+        self._files.delete(self.at(name), True)
+
+    def write(self, name: str, text: str) -> None:
+        """The file appears whole or not at all."""
+        draft = f"{ATTEMPT}draft-{uuid.uuid4().hex}"
+        out = self._files.create(self.at(draft))
+        out.write(bytearray(text.encode()))
+        out.close()
+        self.move(draft, name)
+
+    def read(self, name: str) -> str:
+        opened = self._files.open(self.at(name))
+        try:
+            return bytes(self._utils.toByteArray(opened)).decode()
+        finally:
+            opened.close()
+
+
+def _pending(folder: Folder) -> dict | None:
+    """The replacement that is decided but may not be carried out yet."""
+    return json.loads(folder.read(COMMIT)) if folder.exists(COMMIT) else None
+
+
+def _carry_out(folder: Folder, commit: dict) -> None:
+    """Brings the new files into their slices and takes the old ones out. May be broken off anywhere
+    and started again: each step looks at what is there."""
+    for part, new in commit["slices"].items():
+        for file in new:
+            if folder.exists(f"{commit['attempt']}/{part}/{file}"):
+                folder.move(f"{commit['attempt']}/{part}/{file}", f"{part}/{file}")
+        for file in folder.files(part):
+            if file not in new:
+                folder.delete(f"{part}/{file}")
+        if not new and folder.exists(part):
+            folder.delete(part)
+    folder.delete(COMMIT)
+    folder.delete(commit["attempt"])
+
+
 def replace_slice(
     df: DataFrame, path: str, keys: Sequence[str], slices: Sequence[Sequence[object]] = ()
 ) -> None:
@@ -22,16 +109,64 @@ def replace_slice(
 
     Other slices stay, so running it again changes nothing. Rows are written by the tasks that
     have them: no slice is gathered in one task. A slice named in `slices` that has no rows in
-    `df` is cleared: what an earlier run left there is not part of the new result.
+    `df` is cleared: what an earlier run left there is not part of the new result. Values may be
+    null or hold any characters; Spark names their folders.
+
+    The new rows are first written beside the table, where no reader sees them. One small file
+    then decides the replacement of all slices at once, after which files are moved. Whoever loses
+    its driver before that file leaves the old rows, after it the new ones: `read_slices` gives
+    them either way, and the next replacement finishes the move first. A table has one writer at a
+    time.
     """
-    for values in slices:
-        own = [F.col(k).eqNullSafe(F.lit(v)) for k, v in zip(keys, values)]
-        if df.where(reduce(and_, own)).isEmpty():
-            folder = "/".join([path, *(f"{k}={v}" for k, v in zip(keys, values))])
-            jvm = df.sparkSession._jvm
-            place = jvm.org.apache.hadoop.fs.Path(folder)
-            place.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+    spark = df.sparkSession
+    folder = Folder(spark, path)
+    unfinished = _pending(folder)
+    if unfinished:
+        _carry_out(folder, unfinished)
+    attempt = f"{ATTEMPT}{uuid.uuid4().hex}"
+    df.write.partitionBy(*keys).parquet(f"{path}/{attempt}")
+    named = set(folder.slices(attempt, len(keys)))
+    if slices:
+        # One row per slice to clear, written the same way: its folders have the names that count.
+        key_schema = StructType([df.schema[k] for k in keys])
+        cleared = spark.createDataFrame([tuple(s) for s in slices], key_schema).withColumn("_none", F.lit(1))
+        cleared.coalesce(1).write.partitionBy(*keys).parquet(f"{path}/{attempt}/{COMMIT}")
+        named |= set(folder.slices(f"{attempt}/{COMMIT}", len(keys)))
+    new = {part: folder.files(f"{attempt}/{part}") for part in sorted(named)}
+    commit = {"attempt": attempt, "slices": new, "depth": len(keys), "schema": df.schema.json()}
+    folder.write(COMMIT, json.dumps(commit))
+    _carry_out(folder, commit)
+
+
+def read_slices(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """The rows of a table that `replace_slice` writes, also after a replacement broke off: all its
+    slices are old before it was decided, and all are new after. Without a `schema` the types of
+    the keys are those that Spark reads off the folders' names."""
+    folder = Folder(spark, path)
+    commit = _pending(folder)
+    if commit is None:
+        return (spark.read.schema(schema) if schema else spark.read).parquet(path)
+    own, coming = [], []
+    for part in folder.slices("", commit["depth"]):
+        if part not in commit["slices"]:
+            own += [f"{part}/{f}" for f in folder.files(part)]
+    for part, new in commit["slices"].items():
+        for file in new:
+            moved = folder.exists(f"{part}/{file}")
+            (own if moved else coming).append(f"{part}/{file}")
+    schema = schema or StructType.fromJson(json.loads(commit["schema"]))
+    rows = spark.createDataFrame([], schema)
+    for base, files in ((path, own), (f"{path}/{commit['attempt']}", coming)):
+        if files:
+            given = [folder.at(f if base == path else f"{commit['attempt']}/{f}").toString() for f in files]
+            stored = spark.read.schema(schema).option("basePath", base).parquet(*[_escaped(g) for g in given])
+            rows = rows.unionByName(stored)
+    return rows
+
+
+def _escaped(path: str) -> str:
+    """`path` without a meaning as a pattern."""
+    return "".join(f"\\{c}" if c in "\\*?[]{}" else c for c in path)
 
 
 def write_report_csv(df: DataFrame, path: str) -> None:
