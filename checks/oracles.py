@@ -660,6 +660,14 @@ STATEMENTS: dict[str, str] = {
                 cast(quarter(interval_date) as int) calendar_quarter, sum(volume_mwh) volume_mwh, sum(income) income,
                 sum(cost) as cost
             from q_oriented group by all)""",
+    "r1_changed_contracts": f"""
+        select *, deal_id % 10 = 0 or deal_id % 7 = 0 settled_again from (
+        select {TODAY} run_date, product_id, deal_id, instrument_id, region_number, buy, calendar_year, calendar_quarter,
+            {cents('volume_mwh', 'income', 'cost')}
+        from (select product_id, deal_id, instrument_id, region_number, buy, cast(year(interval_date) as int) calendar_year,
+                cast(quarter(interval_date) as int) calendar_quarter, sum(volume_mwh) volume_mwh, sum(income) income,
+                sum(cost) as cost
+            from q_oriented group by all))""",
     "r2_filter_status": "select * from v_outlook where status in ('Approved', 'Confirmed', 'Pending', 'Hypothetical')",
     "r3_exclude_deals": "select * from v_outlook where deal_id not in (2, 9)",
     "r4_exclude_group_quarter": f"""

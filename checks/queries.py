@@ -16,6 +16,7 @@ from checks.views import AS_OF, Inputs
 from wattledger.functions.plans import cut, scratch_path
 from wattledger.operators import calendar as cal
 from wattledger.operators import calibrate, market, profiles, report, settle, terms, trades
+from wattledger.plans import incremental, revaluation
 from wattledger.sources import captures, sinks
 from wattledger.sources.checks import check_contract
 from wattledger.sources.schemas import TABLES, TableContract, instrument_dim, with_instrument
@@ -619,6 +620,22 @@ def _(i):
     return cents(report.quarterly_earnings(whole_book(i), TODAY), "volume_mwh", "income", "cost")
 
 
+@query("r1_changed_contracts")
+def _(i):
+    """Earnings kept up to date: the book without some contracts, then all of it with other terms for some."""
+    tables = revaluation.Tables(i.spark, scratch_path(i.spark, "incremental"))
+    inputs = (i.generation, i.load, i.shapes, i.spot, i.cert_daily, i.rates)
+    early = i.terms.where(F.col("deal_id") % 10 != 0).withColumn(
+        "price", F.when(F.col("deal_id") % 7 == 0, F.col("price") + 1).otherwise(F.col("price"))
+    )
+    incremental.update_changed_earnings(tables, early, *inputs)
+    again = incremental.update_changed_earnings(tables, i.terms, *inputs)
+    rows = sinks.read_slices(i.spark, tables.path(incremental.EARNINGS))
+    quarters = cents(report.quarterly_earnings(rows, TODAY), "volume_mwh", "income", "cost")
+    settled = again.select("deal_id", "product_id", F.lit(True).alias("settled_again"))
+    return quarters.join(settled, ["deal_id", "product_id"], "left").fillna({"settled_again": False})
+
+
 @query("r2_filter_status")
 def _(i):
     return report.filter_status(i.outlook)

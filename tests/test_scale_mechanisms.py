@@ -289,3 +289,66 @@ def test_certificate_rates_stay_where_they_are(spark, inputs):
         assert early and all("BroadcastHashJoin" in j for j in early), joins
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+# Settling again only what changed
+
+
+def test_one_changed_term_settles_one_contract(spark, inputs, monkeypatch):
+    from wattledger.plans import incremental
+    from wattledger.plans.revaluation import Tables
+
+    i = inputs
+    facts = [cut(x) for x in (i.generation, i.load, i.shapes, i.spot, i.cert_daily, i.rates)]
+    book = cut(i.terms)
+    tables = Tables(spark, scratch_path(spark, "incremental"))
+    money = ("deal_id", "product_id", "instrument_id", "interval_date", "period_id", "region_number", "volume_mwh", "income", "cost")
+
+    def held():
+        return rows(sinks.read_slices(spark, tables.path(incremental.EARNINGS)).select(*money))
+
+    def whole(terms):
+        return rows(settle.settle_book(terms, *facts).select(*money))
+
+    assert incremental.update_changed_earnings(tables, book, *facts).count() == book.count()
+    assert held() == whole(book)
+    assert incremental.update_changed_earnings(tables, book, *facts).count() == 0
+    dearer = book.withColumn("price", F.when(F.col("deal_id") == 4, F.col("price") + 1).otherwise(F.col("price")))
+    again = incremental.update_changed_earnings(tables, dearer, *facts)
+    assert rows(again) == rows(dearer.where("deal_id = 4").select("deal_id", "product_id"))
+    assert held() == whole(dearer)
+    # A contract that leaves takes its rows with it; one that comes back is settled.
+    fewer = dearer.where("deal_id <> 3")
+    assert incremental.update_changed_earnings(tables, fewer, *facts).count() == 0
+    assert held() == whole(fewer)
+    assert rows(incremental.update_changed_earnings(tables, dearer, *facts), "deal_id") == [(3,)]
+    # Other generation of one product settles the contracts of that product; a run that lost its
+    # driver before the digests were replaced settles them once more, to the same rows.
+    facts[0] = cut(facts[0].withColumn("generation_mwh", F.col("generation_mwh") + F.when(F.col("product_id") == 4, 1.0).otherwise(0.0)))
+    plain = incremental.replace_slice
+
+    def lost(df, path, *args):
+        if path.endswith(incremental.DIGESTS):
+            raise Lost
+        plain(df, path, *args)
+
+    monkeypatch.setattr(incremental, "replace_slice", lost)
+    with pytest.raises(Lost):
+        incremental.update_changed_earnings(tables, dearer, *facts)
+    monkeypatch.undo()
+    again = incremental.update_changed_earnings(tables, dearer, *facts)
+    assert rows(again) == rows(dearer.where("product_id = 4").select("deal_id", "product_id").distinct())
+    assert held() == whole(dearer)
+
+
+def test_a_turndown_of_another_contract_counts(spark, inputs):
+    """Turndowns hold for all contracts of a product, so one that changes settles them all."""
+    from wattledger.plans.incremental import contract_digests
+
+    i = inputs
+    facts = (i.generation.limit(50), i.load.limit(50), i.shapes.limit(50), i.spot.limit(50), i.cert_daily.limit(50), i.rates.limit(50))
+    facts = [cut(f) for f in facts]
+    two = cut(i.terms.where("deal_id in (4, 5, 6)").withColumn("product_id", F.when(F.col("deal_id") == 6, 9).otherwise(4)))
+    limited = two.withColumn("turndown", F.when(F.col("deal_id") == 4, F.lit(7.0)).otherwise(F.col("turndown")))
+    before, after = ({r.deal_id: r.digest for r in contract_digests(t, *facts).collect()} for t in (two, limited))
+    assert before[4] != after[4] and before[5] != after[5] and before[6] == after[6]

@@ -295,19 +295,22 @@ def settle_book(
     certificates: DataFrame,
     rates: DataFrame,
     broadcast_rows: int = BROADCAST_ROWS,
+    turndowns: DataFrame | None = None,
 ) -> DataFrame:
     """Income and cost of the whole book per contract and interval.
 
     Instruments that use the same inputs are settled in one pass over them (five passes for
     nine instruments, one of them over generation), and the side of each contract is attached to the terms, not to the
-    interval rows. `terms` carries `instrument` and `instrument_id`.
+    interval rows. `terms` carries `instrument` and `instrument_id`. A turndown holds for all
+    contracts of its product; where `terms` are a part of the book, `turndowns` are those of the
+    whole book.
     """
     # The book fits when all of it does: its parts are then small too.
     small = fits(terms, broadcast_rows)
     certificates = sized(certificates)
     sided = terms.drop("buy").join(_sides(terms), ["deal_id", "product_id"])
     # Turndown applies to generation before any contract sees it.
-    metered = _turned_down(generation, terms, prices, broadcast_rows)
+    metered = _turned_down(generation, terms if turndowns is None else turndowns, prices, broadcast_rows)
 
     def of(*instruments: str) -> DataFrame:
         return sided.where(F.col("instrument").isin(*instruments))
