@@ -352,3 +352,38 @@ def test_a_turndown_of_another_contract_counts(spark, inputs):
     limited = two.withColumn("turndown", F.when(F.col("deal_id") == 4, F.lit(7.0)).otherwise(F.col("turndown")))
     before, after = ({r.deal_id: r.digest for r in contract_digests(t, *facts).collect()} for t in (two, limited))
     assert before[4] != after[4] and before[5] != after[5] and before[6] == after[6]
+
+
+# Stored profiles
+
+
+def test_stored_profiles_are_replayed_where_they_lie(spark, inputs):
+    from wattledger.operators import profiles
+    from wattledger.plans.revaluation import Tables
+
+    i = inputs
+    tables = Tables(spark, scratch_path(spark, "bucketed"), buckets=5)
+    generation = tables.store("generation_profiles", i.gen_profile, bucket_by=profiles.REPLAY_KEY)
+    load = tables.store("load_profiles", i.load_profile, bucket_by=profiles.REPLAY_KEY)
+    index = cut(profiles.sample_index(i.path, i.samples, "gen_reference_year"))
+    demand = cut(profiles.sample_index(i.path, i.samples, "demand_reference_year"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        none = q.storage_rows(i).limit(0)
+        made = profiles.scenario_generation(generation, none, index, validate=False)
+        loads = profiles.scenario_load(load, demand, i.jurisdiction)
+        for df, year in ((made, "gen_reference_year"), (loads, "demand_reference_year")):
+            plan = executed(df)
+            replayed = [x for x in plan.splitlines() if "Exchange hashpartitioning(model_id" in x and year in x]
+            # Only the index is shuffled, to the buckets of the profiles.
+            assert len(replayed) == 1 and ", 5)" in replayed[0] and "Bucketed: true" in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    plain = profiles.scenario_generation(i.gen_profile, none, index, validate=False)
+    assert rows(made.withColumn("generation_mwh", F.round("generation_mwh", 6))) == rows(plain.withColumn("generation_mwh", F.round("generation_mwh", 6)))
+    # Stored again, and read by a session that does not know the buckets.
+    again = tables.store("generation_profiles", i.gen_profile.where("product_id = 3"), bucket_by=profiles.REPLAY_KEY)
+    assert again.count() == i.gen_profile.where("product_id = 3").count() == spark.read.parquet(tables.path("generation_profiles")).count()
+    spark.sql(f"drop table {tables.bucketed('load_profiles')}")
+    assert tables.read("load_profiles").count() == i.load_profile.count()

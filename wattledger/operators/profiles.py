@@ -227,6 +227,11 @@ def sample_index(prices: DataFrame, details: DataFrame, year_col: str) -> DataFr
     )
 
 
+# What a profile row is found by on the dates of a path; profiles stored in buckets of these columns
+# are not shuffled for that.
+REPLAY_KEY = ("model_id", "year", "month_id", "day_id", "period_id")
+
+
 def _replay(profiles: DataFrame, index: DataFrame, year_col: str) -> DataFrame:
     return profiles.withColumnRenamed("year", year_col).join(
         index, ["model_id", year_col, "month_id", "day_id", "period_id"]

@@ -6,6 +6,7 @@ stage, and no stage is planned on guesses about another one's size.
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 from datetime import date
 
@@ -30,28 +31,45 @@ class Tables:
     """Where the stages write: a folder with one table per name.
 
     A stage fails when its table breaks a contract rule named in `enforced`. Keys that source
-    data may repeat, such as terms of overlapping contracts, are enforced on request.
+    data may repeat, such as terms of overlapping contracts, are enforced on request. Tables that
+    are stored by a key are cut into `buckets`.
     """
 
     spark: SparkSession
     root: str
     enforced: tuple[str, ...] = ("not_null",)
+    buckets: int = 200
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def bucketed(self, name: str) -> str:
+        """The catalog's name of a table that is stored by a key."""
+        return f"{name}_{hashlib.sha256(self.path(name).encode()).hexdigest()[:12]}"
+
     def read(self, name: str) -> DataFrame:
+        """The table; with its buckets where this session's catalog knows them, else the same rows
+        from its folder."""
+        if self.spark.catalog.tableExists(self.bucketed(name)):
+            return self.spark.table(self.bucketed(name))
         return self.spark.read.parquet(self.path(name))
 
-    def store(self, name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
+    def store(
+        self, name: str, df: DataFrame, partition_by: tuple[str, ...] = (), bucket_by: tuple[str, ...] = ()
+    ) -> DataFrame:
         """Writes the table, in its declared columns and types where `TABLES` has it, and checks
-        it against its contract; raises when an enforced rule is broken."""
+        it against its contract; raises when an enforced rule is broken. With `bucket_by` its rows
+        are shuffled once here, into sorted buckets, and not again by joins on those columns."""
         contract = TABLES.get(name)
         if contract is not None:
             declared = {f.name: F.col(f.name).cast(f.dataType) for f in contract.schema.fields}
             extra = [F.col(c) for c in df.columns if c not in declared]
             df = df.select(*[c.alias(n) for n, c in declared.items()], *extra)
-        write_snapshot(df, self.path(name), partition_by)
+        if bucket_by:
+            dealt = df.repartition(self.buckets, *bucket_by).write.mode("overwrite").option("path", self.path(name))
+            dealt.bucketBy(self.buckets, *bucket_by).sortBy(*bucket_by).saveAsTable(self.bucketed(name))
+        else:
+            write_snapshot(df, self.path(name), partition_by)
         stored = self.read(name)
         if contract is not None:
             rules = check_contract(stored, contract).where(F.col("rule").isin(*self.enforced))
@@ -138,10 +156,17 @@ def update_profiles(
     capacity: DataFrame, unit_detail: DataFrame, halfhours: DataFrame, published_loss: DataFrame,
     jurisdictions: DataFrame,
 ) -> tuple[DataFrame, DataFrame]:
-    """The weekly refresh: generation and load profiles in the reference years of one model's samples."""
+    """The weekly refresh: generation and load profiles in the reference years of one model's samples.
+
+    Both are stored by the columns on which they are replayed, so the daily stages that follow join
+    them with the path where they lie.
+    """
     generation = profiles.generation_profiles(calendar, details, units, scada, dispatch, capacity, unit_detail)
     load = profiles.load_profiles(calendar, details, halfhours, published_loss, jurisdictions)
-    return tables.store("generation_profiles", generation), tables.store("load_profiles", load)
+    return (
+        tables.store("generation_profiles", generation, bucket_by=profiles.REPLAY_KEY),
+        tables.store("load_profiles", load, bucket_by=profiles.REPLAY_KEY),
+    )
 
 
 def revalue(tables: Tables, as_of: date, *, terms: dict, rates: dict, prices: dict, earnings: dict) -> DataFrame:
