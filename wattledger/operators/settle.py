@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattledger.functions.money import at_least, excess_over
-from wattledger.functions.plans import BROADCAST_ROWS, cut, fits, sized
+from wattledger.functions.plans import BROADCAST_ROWS, cut, fits, sized, sized_all
 from wattledger.functions.sweep import sweep_join
 from wattledger.functions.timegrid import INTERVALS_PER_DAY, INTERVALS_PER_HOUR
 
@@ -243,19 +243,20 @@ def _turned_down(generation, turndowns, prices, broadcast_rows) -> DataFrame:
     limits = turndowns.where(F.col("turndown").isNotNull()).select(
         "product_id", "region_number", "start_date", "end_date", "turndown"
     )
-    inside = F.col("interval_date").between(F.col("start_date"), F.col("end_date"))
-    limited = F.col("turndown").isNotNull()
-    # Generation is read once: rows of products without a turndown find no limit.
-    rows = generation.join(sized(limits, broadcast_rows), "product_id", "left").where(~limited | inside)
     # Only prices under some turndown of their region and time can turn anything down.
     reach = limits.groupBy("region_number").agg(
         F.max("turndown").alias("_most"), F.min("start_date").alias("_first"), F.max("end_date").alias("_last")
     )
-    low = (
-        prices.select(*INTERVAL, "rrp").join(sized(reach, broadcast_rows), "region_number")
+    limits, reach = sized_all(limits, reach, rows=broadcast_rows)
+    low = cut(
+        prices.select(*INTERVAL, "rrp").join(reach, "region_number")
         .where((F.col("rrp") < F.col("_most")) & F.col("interval_date").between(F.col("_first"), F.col("_last")))
         .select(*INTERVAL, "rrp")
     )
+    inside = F.col("interval_date").between(F.col("start_date"), F.col("end_date"))
+    limited = F.col("turndown").isNotNull()
+    # Generation is read once: rows of products without a turndown find no limit.
+    rows = generation.join(limits, "product_id", "left").where(~limited | inside)
     columns = ["product_id", "interval_date", "period_id"]
     turned = F.when(F.col("rrp") < F.col("turndown"), F.lit(0.0)).otherwise(F.col("generation_mwh")).alias("generation_mwh")
     if fits(low, broadcast_rows):
