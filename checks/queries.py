@@ -624,12 +624,12 @@ def _(i):
 def _(i):
     """Earnings kept up to date: the book without some contracts, then all of it with other terms for some."""
     tables = revaluation.Tables(i.spark, scratch_path(i.spark, "incremental"))
-    inputs = (i.generation, i.load, i.shapes, i.spot, i.cert_daily, i.rates)
+    inputs = [cut(x) for x in (i.generation, i.load, i.shapes, i.spot, i.cert_daily, i.rates)]
     early = i.terms.where(F.col("deal_id") % 10 != 0).withColumn(
         "price", F.when(F.col("deal_id") % 7 == 0, F.col("price") + 1).otherwise(F.col("price"))
     )
-    incremental.update_changed_earnings(tables, early, *inputs)
-    again = incremental.update_changed_earnings(tables, i.terms, *inputs)
+    incremental.update_changed_earnings(tables, early, *inputs, slices=16)
+    again = incremental.update_changed_earnings(tables, i.terms, *inputs, slices=16)
     rows = sinks.read_slices(i.spark, tables.path(incremental.EARNINGS))
     quarters = cents(report.quarterly_earnings(rows, TODAY), "volume_mwh", "income", "cost")
     settled = again.select("deal_id", "product_id", F.lit(True).alias("settled_again"))

@@ -47,24 +47,25 @@ def contract_digests(
     return whole.select(*CONTRACT, F.sha2(F.concat_ws("|", *own, *[F.lit(r.d or "") for r in common]), 256).alias("digest"))
 
 
-def _slice_of() -> Column:
-    return F.pmod(F.xxhash64(*CONTRACT), F.lit(SLICES)).cast("int").alias("slice")
+def _slice_of(slices: int) -> Column:
+    return F.pmod(F.xxhash64(*CONTRACT), F.lit(slices)).cast("int").alias("slice")
 
 
 def update_changed_earnings(
     tables: Tables, terms: DataFrame, generation: DataFrame, load: DataFrame, shapes: DataFrame, prices: DataFrame,
-    certificates: DataFrame, rates: DataFrame,
+    certificates: DataFrame, rates: DataFrame, slices: int = SLICES,
 ) -> DataFrame:
     """Brings the earnings table in line with the book: deal_id, product_id of the contracts settled.
 
     Contracts whose digest is that of the last run keep their rows. The others are settled, and
     their slices are replaced as a whole, together with the slices of contracts that left the
     book. The digests are replaced after that, so a run that broke off in between settles its
-    contracts once more, to the same rows. `terms` carry `instrument` and `instrument_id`.
+    contracts once more, to the same rows. `terms` carry `instrument` and `instrument_id`. A table
+    keeps its number of `slices` for good.
     """
     spark, known = tables.spark, tables.path(DIGESTS)
     inputs = (generation, load, shapes, prices, certificates, rates)
-    current = cut(contract_digests(terms, *inputs).select("*", _slice_of()))
+    current = cut(contract_digests(terms, *inputs).select("*", _slice_of(slices)))
     stored = Folder(spark, known)
     first = not stored.slices("", 1) and not stored.exists(COMMIT)
     before = current.limit(0) if first else cut(read_slices(spark, known, current.schema))
@@ -73,11 +74,11 @@ def update_changed_earnings(
         current.join(sized(earlier), CONTRACT, "left").where(~F.col("digest").eqNullSafe(F.col("_before"))).select(*CONTRACT, "slice")
     )
     left = cut(before.join(sized(current.select(*CONTRACT)), CONTRACT, "left_anti").select(*CONTRACT, "slice"))
-    touched = [r.slice for r in changed.unionByName(left).select("slice").distinct().collect()]  # SLICES at most
+    touched = [r.slice for r in changed.unionByName(left).select("slice").distinct().collect()]  # `slices` at most
     if not touched:
         return changed.select(*CONTRACT)
     part = terms.join(sized(changed.select(*CONTRACT)), CONTRACT, "left_semi")
-    settled = settle.settle_book(part, *inputs, turndowns=terms).select("*", _slice_of())
+    settled = settle.settle_book(part, *inputs, turndowns=terms).select("*", _slice_of(slices))
     new = [settled]
     if not first:
         held = read_slices(spark, tables.path(EARNINGS), settled.schema).where(F.col("slice").isin(touched))
@@ -85,6 +86,8 @@ def update_changed_earnings(
         new.append(held.join(sized(out), CONTRACT, "left_anti").select(*settled.columns))
     # Written beside the table before its slices are replaced, as the rows to keep are read from it.
     rows = cut(reduce(DataFrame.unionByName, new))
-    replace_slice(rows, tables.path(EARNINGS), ["slice"], [(s,) for s in touched])
-    replace_slice(current.where(F.col("slice").isin(touched)), known, ["slice"], [(s,) for s in touched])
+    digests = current.where(F.col("slice").isin(touched))
+    for table, path in ((rows, tables.path(EARNINGS)), (digests, known)):
+        # Few files a slice; a slice with many rows is divided over tasks at run time.
+        replace_slice(table.hint("rebalance", F.col("slice")), path, ["slice"], [(s,) for s in touched])
     return changed.select(*CONTRACT)
