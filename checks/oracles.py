@@ -218,11 +218,47 @@ SETTLE_ORDER = (
     "profiled_energy_cap", "generation_lgc", "retail_lgc",
 )
 
+FACTORS = """
+    select dealid deal_id, type, fromdate from_date, coalesce(lead(fromdate - 1) over (
+        partition by dealid, type order by fromdate), date '9999-12-31') to_date, factor from v_factors_raw"""
+
+
+def offtake(factors: str) -> str:
+    return f"""
+    select deal_id, product_id, case when tolling_fee is not null then 'asset_toll_energy' else 'ppa_energy' end instrument,
+        buy_sell, region_number, start_date, end_date,
+        {term_values(quantity='quantity_factor', price='price', tolling_fee='tolling_fee', floor='floor', turndown='turndown')}
+    from (
+        select u.deal_id, u.product_id, buy_sell, region_number, price * coalesce(r.factor, 1) price,
+            quantity_factor, floor, turndown, m.factor / (datediff('day', m.from_date, m.to_date) + 1) tolling_fee,
+            min(interval_date) start_date, max(interval_date) end_date
+        from q_horizon join v_units u on interval_date between start_date and end_date
+            join q_sides using (product_id, deal_id)
+            left join {factors} r on r.deal_id = u.deal_id and r.type = 'R' and interval_date between r.from_date and r.to_date
+            left join {factors} m on m.deal_id = u.deal_id and m.type = 'M' and interval_date between m.from_date and m.to_date
+        group by all)"""
+
+
+def wholesale(price: str = "price", factors: str = "") -> str:
+    return f"""
+    select deal_id, product_id, concat(case when shaped then 'profiled' else 'flat' end, '_energy_',
+            case instrument_calculation when 'Swap' then 'swap' else 'cap' end) instrument,
+        buy_sell, region_number, start_date, end_date,
+        {term_values(quantity='quantity', price='price', strike='strike_price')}
+    from (
+        select product_id, instrument_calculation, deal_id, buy_sell, r.region_number, quantity, {price}, strike_price,
+            min(interval_date) start_date, max(interval_date) end_date
+        from q_star join v_region r using (regionid)
+            join q_horizon on interval_date between product_start_date and product_end_date
+            {factors}
+        where instrument_calculation in ('Swap', 'Cap') and product_name not like '%ACCU%' and optionality = 'Firm'
+        group by all)
+    left join (select distinct product_id, volume_factor is not null shaped from v_shapes) using (product_id)"""
+
+
 STEPS: dict[str, str] = {
     "q_horizon": f"select * from v_dates where interval_date between {TODAY} and {TODAY} + 1460",
-    "q_factors": """
-        select dealid deal_id, type, fromdate from_date, coalesce(lead(fromdate - 1) over (
-            partition by dealid, type order by fromdate), date '9999-12-31') to_date, factor from v_factors_raw""",
+    "q_factors": FACTORS,
     "q_star": """
         select d.id deal_id, d.name deal_name, cast(row_number() over (partition by d.id order by l.transferdate,
                 l.line, l.productid, l.l_suppkey, l.quantity, l.price) as int) leg_number,
@@ -257,19 +293,12 @@ STEPS: dict[str, str] = {
         select product_id, interval_date, lgc_price, lgc_percentage from v_cert_rates_raw
         qualify row_number() over (partition by product_id, interval_date order by lgc_price, lgc_percentage) = 1""",
     "q_sides": "select product_id, deal_id, case when buy then 'Buy' else 'Sell' end buy_sell, price from v_terms",
-    "q_c1": f"""
-        select deal_id, product_id, case when tolling_fee is not null then 'asset_toll_energy' else 'ppa_energy' end instrument,
-            buy_sell, region_number, start_date, end_date,
-            {term_values(quantity='quantity_factor', price='price', tolling_fee='tolling_fee', floor='floor', turndown='turndown')}
-        from (
-            select u.deal_id, u.product_id, buy_sell, region_number, price * coalesce(r.factor, 1) price,
-                quantity_factor, floor, turndown, m.factor / (datediff('day', m.from_date, m.to_date) + 1) tolling_fee,
-                min(interval_date) start_date, max(interval_date) end_date
-            from q_horizon join v_units u on interval_date between start_date and end_date
-                join q_sides using (product_id, deal_id)
-                left join q_factors r on r.deal_id = u.deal_id and r.type = 'R' and interval_date between r.from_date and r.to_date
-                left join q_factors m on m.deal_id = u.deal_id and m.type = 'M' and interval_date between m.from_date and m.to_date
-            group by all)""",
+    "q_c1": offtake("q_factors"),
+    "q_c1_month": offtake("q_month_factors"),
+    "q_late_factors": "select * replace (fromdate + 150 as fromdate) from v_factors_raw",
+    "q_month_factors": f"""
+        select * replace (case when type = 'M' and to_date = date '9999-12-31' then last_day(from_date) else to_date end as to_date)
+        from ({FACTORS.replace("v_factors_raw", "q_late_factors")})""",
     "q_c2": f"""
         select deal_id, product_id, 'generation_lgc' instrument, buy_sell, region_number, start_date, end_date,
             {term_values(quantity='quantity_factor', lgc_price='lgc_price', lgc_percentage='lgc_percentage')}
@@ -296,19 +325,14 @@ STEPS: dict[str, str] = {
             select deal_id, product_id, buy_sell, region_number, coalesce(lgc_price, 0) lgc_price,
                 coalesce(lgc_percentage, 0) lgc_percentage, min(interval_date) start_date, max(interval_date) end_date
             from q_retail_days join q_cert_rates using (product_id, interval_date) group by all)""",
-    "q_c5": f"""
-        select deal_id, product_id, concat(case when shaped then 'profiled' else 'flat' end, '_energy_',
-                case instrument_calculation when 'Swap' then 'swap' else 'cap' end) instrument,
-            buy_sell, region_number, start_date, end_date,
-            {term_values(quantity='quantity', price='price', strike='strike_price')}
-        from (
-            select product_id, instrument_calculation, deal_id, buy_sell, r.region_number, quantity, price, strike_price,
-                min(interval_date) start_date, max(interval_date) end_date
-            from q_star join v_region r using (regionid)
-                join q_horizon on interval_date between product_start_date and product_end_date
-            where instrument_calculation in ('Swap', 'Cap') and product_name not like '%ACCU%' and optionality = 'Firm'
-            group by all)
-        left join (select distinct product_id, volume_factor is not null shaped from v_shapes) using (product_id)""",
+    "q_c5": wholesale(),
+    "q_c5_escalated": wholesale(
+        "price * coalesce(f_factor, 1) price",
+        "left join q_leg_factors on f_deal = deal_id and interval_date between from_date and to_date",
+    ),
+    "q_leg_factors": """
+        select dealid f_deal, fromdate from_date, coalesce(lead(fromdate - 1) over (
+            partition by dealid order by fromdate), date '9999-12-31') to_date, factor f_factor from v_leg_factors_raw""",
     "q_c6": f"""
         select deal_id, product_id, 'asset_toll_energy' instrument, buy_sell, region_number, start_date, end_date,
             {term_values(quantity='1', tolling_fee='toll * capacity * 24')} from v_storage""",
@@ -528,6 +552,15 @@ STATEMENTS: dict[str, str] = {
         select product_id, fuel, region_number, min(interval_date) start_date, max(interval_date) end_date
         from v_units join v_dates on interval_date between start_date and end_date
         group by product_id, fuel, region_number""",
+    "t4_split_ranges": """
+        select product_id, lgc_price, min(interval_date) start_date, max(interval_date) end_date
+        from (
+            select *, sum(starts) over (partition by product_id, lgc_price order by interval_date) island
+            from (
+                select *, case when lag(interval_date) over (partition by product_id, lgc_price order by interval_date)
+                    = interval_date - 1 then 0 else 1 end starts
+                from (select distinct product_id, lgc_price, interval_date from v_cert_rates_raw)))
+        group by product_id, lgc_price, island""",
     "t5_expand_to_dates": """
         select deal_id, product_id, start_date, end_date, interval_date
         from v_units join v_dates on interval_date between start_date and end_date""",
@@ -548,10 +581,12 @@ STATEMENTS: dict[str, str] = {
         select jurisdiction_id, product_id, interval_date, period_id, {cents('load_mwh')}, jurisdiction, j.region_number
         from v_load l join v_jurisdiction j using (jurisdiction_id)""",
     "c1_ppa_energy_terms": terms("q_c1"),
+    "c1_month_end_tolls": terms("q_c1_month"),
     "c2_ppa_certificate_terms": terms("q_c2"),
     "c3_retail_energy_terms": terms("q_c3"),
     "c4_retail_certificate_terms": terms("q_c4"),
     "c5_wholesale_terms": terms("q_c5"),
+    "c5_escalated_terms": terms("q_c5_escalated"),
     "c6_storage_terms": terms("q_c6"),
     "c7_settlement_terms": f"""
         select deal_id, product_id, instrument, coalesce(buy_sell = 'Buy', false) buy, region_number, start_date, end_date,

@@ -278,6 +278,12 @@ def _(i):
     return cal.compact_ranges(cal.expand_to_dates(i.units, i.dates), ["product_id", "fuel", "region_number"])
 
 
+@query("t4_split_ranges")
+def _(i):
+    """Ranges that end where a day has no rate."""
+    return cal.compact_ranges(i.cert_rates_raw, ["product_id", "lgc_price"], split_gaps=True)
+
+
 @query("t5_expand_to_dates")
 def _(i):
     return cal.expand_to_dates(i.units.select("deal_id", "product_id", "start_date", "end_date"), i.dates)
@@ -352,6 +358,14 @@ def _(i):
     return terms_cents(c1(i))
 
 
+@query("c1_month_end_tolls")
+def _(i):
+    """Tolls without an end hold to the end of their first month, which lies in the horizon here."""
+    factors = trades.deal_factors(i.factors_raw.withColumn("fromdate", F.date_add("fromdate", 150)))
+    rows = terms.ppa_energy_terms(i.units, offtake_trades(i), factors, horizon(i), open_toll_to_month_end=True)
+    return terms_cents(rows)
+
+
 @query("c2_ppa_certificate_terms")
 def _(i):
     return terms_cents(c2(i))
@@ -372,6 +386,12 @@ def _(i):
     return terms_cents(terms.wholesale_terms(star(i), i.region, i.shapes, horizon(i)))
 
 
+@query("c5_escalated_terms")
+def _(i):
+    factors = trades.deal_factors(i.leg_factors_raw)
+    return terms_cents(terms.wholesale_terms(star(i), i.region, i.shapes, horizon(i), escalation=factors))
+
+
 @query("c6_storage_terms")
 def _(i):
     return terms_cents(terms.storage_terms(i.storage))

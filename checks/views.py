@@ -186,6 +186,10 @@ VIEWS: dict[str, str] = {
         select l_orderkey dealid, l_partkey productid, l_linenumber line, l_suppkey, l_quantity quantity,
             l_extendedprice / l_quantity price, l_tax brokerage, l_shipdate transferdate, l_shipdate paymentdate
         from lineitem""",
+    "v_leg_factors_raw": """
+        select distinct dealid, 'R' as type, date '1996-05-30' + cast(line % 3 * 365 as int) fromdate,
+            cast(1.0 + line % 3 * 0.02 as double) factor
+        from v_legs""",
     "v_deals": """
         select o_orderkey id, concat('D', cast(o_orderkey as string)) name,
             case when o_orderkey % 2 = 0 then 'Buy' else 'Sell' end buysell, o_orderdate dealdate,
