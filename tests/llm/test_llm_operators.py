@@ -113,6 +113,44 @@ def test_token_files_are_pruned_by_metadata(spark, docs, tmp_path):
     assert one.count() == 1
 
 
+def scanned_rows(df):
+    """Rows that the file scan of `df` hands on."""
+    plan = df._jdf.queryExecution().executedPlan()
+    df._jdf.queryExecution().toRdd().count()
+    return plan.collectLeaves().head().metrics().get("numOutputRows").get().value()
+
+
+def test_token_files_skip_rows_by_index_and_bloom_filter(spark, tmp_path):
+    path = str(tmp_path / "tokens")
+    even = spark.range(0, 12000, 2).select(F.col("id").alias("doc_id"), F.lit("one text").alias("text"))
+    token_files.write_token_files(even.coalesce(1), path, TOKENIZER)
+    files = token_files.read_token_files(spark, path)
+    assert files.count() == 6000
+    # Bounds of the row groups leave one, of its stride.
+    held = files.where(F.col("doc_id") == 5000)
+    assert held.count() == 1
+    assert 1 <= scanned_rows(held) <= token_files.INDEX_STRIDE
+    # Odd ids lie within the bounds, so only the Bloom filters can tell that they are missing.
+    odd = [scanned_rows(files.where(F.col("doc_id") == n)) for n in range(1001, 11001, 1000)]
+    assert odd.count(0) >= 8
+
+
+def test_token_files_spread_the_rows_of_one_id(spark, tmp_path):
+    path = str(tmp_path / "tokens")
+    made = [(None if n % 3 else n, f"{n * 7919 % 4000:04d} words of a text") for n in range(4000)]
+    rows = spark.createDataFrame(made, "doc_id long, text string").repartition(4)
+    with_files = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        token_files.write_token_files(rows, path, TOKENIZER)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", with_files)
+    files = token_files.read_token_files(spark, path)
+    assert files.where("doc_id is null").select("file_no").distinct().count() > 3
+    found = listed(token_files.token_digests(spark, path), "doc_id", "start", "n_tokens", "ids_crc32")
+    assert found == sorted(brute.token_rows(made, Tokenizer.from_file(TOKENIZER)), key=repr)
+
+
 def test_word_encoder_equals_the_tokenizer():
     whole, encoder = Tokenizer.from_file(TOKENIZER), WordEncoder(TOKENIZER)
     random.seed(1)

@@ -16,7 +16,11 @@ LENGTH_BUCKET = 4096
 
 
 def token_lengths(docs: DataFrame, tokenizer: str, text_col: str = "text") -> DataFrame:
-    """The encoded length of each row's whole text (column n_tokens); null and empty give 0."""
+    """The encoded length of each row's whole text (column n_tokens); null and empty give 0.
+
+    A very long text is encoded whole in its task, whose memory grows with it; ids, ties and
+    repeated rows play no part; other columns are not looked at.
+    """
 
     def lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_encoder(tokenizer)

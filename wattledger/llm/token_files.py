@@ -12,12 +12,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wattledger.functions.plans import sized
+from wattledger.llm.common import named
 from wattledger.llm.encoding import slices, worker_encoder
 
 END_ID = 1
 # Rows between index entries, and the false-positive share of the Bloom filters.
 INDEX_STRIDE = 1000
 BLOOM_FPP = 0.01
+# Characters of a text by which the rows of one id are spread over files.
+SPREAD_CHARACTERS = 64
 
 
 def with_end(ids: np.ndarray, counts: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
@@ -44,7 +47,9 @@ def write_token_files(
     coding, version 2. A stripe never needs another one, so readers split files at stripes.
 
     Cases: a null or empty text is the end id alone; a null id comes first; rows with one id are
-    ordered by their texts; an empty table writes files without rows; other columns stay out.
+    ordered by their texts and spread over files by the first characters of these, so an id that
+    many rows share is not one task; a very long text is one row, encoded whole in its task, whose
+    memory grows with it; an empty table writes files without rows; other columns stay out.
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -69,8 +74,10 @@ def write_token_files(
                 at += len(part)
 
     kind = docs.schema[id_col].dataType.simpleString()
-    ordered = docs.select(id_col, text_col).repartitionByRange(id_col)
-    ordered = ordered.sortWithinPartitions(id_col, text_col)
+    # The first characters order texts as whole texts do, and keep the range bounds short.
+    opening = F.substring(named(text_col), 1, SPREAD_CHARACTERS)
+    ordered = docs.select(named(id_col), named(text_col)).repartitionByRange(named(id_col), opening)
+    ordered = ordered.sortWithinPartitions(named(id_col), named(text_col))
     coded = ordered.mapInArrow(
         encode, f"`{id_col}` {kind}, file_no int, start long, n_tokens long, ids array<int>"
     )
