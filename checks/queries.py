@@ -341,12 +341,12 @@ def _(i):
 # Settlement terms
 
 
-def c1(i):
-    return terms.ppa_energy_terms(i.units, offtake_trades(i), trades.deal_factors(i.factors_raw), horizon(i))
+def c1(i, days):
+    return terms.ppa_energy_terms(i.units, offtake_trades(i), trades.deal_factors(i.factors_raw), days)
 
 
-def c2(i):
-    return terms.ppa_certificate_terms(i.units, offtake_trades(i), certificate_rates(i), horizon(i), (7,))
+def c2(i, days):
+    return terms.ppa_certificate_terms(i.units, offtake_trades(i), certificate_rates(i), days, (7,))
 
 
 def terms_cents(df):
@@ -355,7 +355,7 @@ def terms_cents(df):
 
 @query("c1_ppa_energy_terms")
 def _(i):
-    return terms_cents(c1(i))
+    return terms_cents(c1(i, horizon(i)))
 
 
 @query("c1_month_end_tolls")
@@ -368,7 +368,7 @@ def _(i):
 
 @query("c2_ppa_certificate_terms")
 def _(i):
-    return terms_cents(c2(i))
+    return terms_cents(c2(i, horizon(i)))
 
 
 @query("c3_retail_energy_terms")
@@ -400,10 +400,10 @@ def _(i):
 @query("c7_settlement_terms")
 def _(i):
     legs = cut(star(i))
-    days, daily_rates = horizon(i), certificate_rates(i)
+    days, daily_rates = cal.date_lookup(horizon(i)), certificate_rates(i)
     return terms_cents(
         terms.settlement_terms(
-            c1(i), c2(i), terms.retail_energy_terms(legs, i.region, days),
+            c1(i, days), c2(i, days), terms.retail_energy_terms(legs, i.region, days),
             terms.retail_certificate_terms(legs, i.region, daily_rates, days),
             terms.wholesale_terms(legs, i.region, i.shapes, days), terms.storage_terms(i.storage),
         )

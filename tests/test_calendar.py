@@ -105,6 +105,23 @@ def test_clipping_crosses_years_without_dates(spark):
     assert got == {1: (date(2022, 5, 5), date(2022, 5, 5)), 2: (date(2019, 3, 1), date(2019, 3, 1))}
 
 
+def test_a_shared_date_lookup_clips_alike_and_reads_the_calendar_once(spark, tmp_path):
+    path = str(tmp_path / "calendar")
+    days = [(date(2019, 3, 1),), (date(2019, 3, 1),), (date(2020, 2, 29),), (date(2022, 5, 5),)]
+    spark.createDataFrame(days, "interval_date date").write.parquet(path)
+    calendar = spark.read.parquet(path)
+    made = [(n, date(2018 + n % 5, 1 + n % 12, 1), date(2019 + n % 6, 1 + n % 7, 28)) for n in range(200)] + [(200, None, None)]
+    ranges = spark.createDataFrame(made, "id int, start_date date, end_date date")
+    lookup = cal.date_lookup(calendar)
+    shared = cal.clip_to_dates(ranges, lookup)
+    assert sorted(map(tuple, shared.collect())) == sorted(map(tuple, cal.clip_to_dates(ranges, calendar).collect()))
+    assert shared.count() > 0
+    assert path not in shared._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.interval_date for r in cal.dates_of(lookup).collect()) == sorted({d for d, in days})
+    none = cal.date_lookup(calendar.where("interval_date > '2030-01-01'"))
+    assert cal.clip_to_dates(ranges, none).count() == 0 and cal.dates_of(none).count() == 0
+
+
 def test_ranges_split_at_gaps_on_request(spark):
     days = [(1, date(2020, 1, d)) for d in (1, 2, 3, 6, 7)] + [(2, date(2020, 1, 5))]
     daily = spark.createDataFrame(days + days[:2], "k int, interval_date date")

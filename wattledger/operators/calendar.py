@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass, replace
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattledger.functions.plans import BROADCAST_ROWS, sized
+from wattledger.functions.plans import BROADCAST_ROWS, cut, sized
 from wattledger.functions.timegrid import period_of, trading_date_of
 
 OPEN_END = date(9999, 12, 31)
@@ -124,25 +125,29 @@ def expand_to_dates(
     )
 
 
-def clip_to_dates(
-    ranges: DataFrame, calendar: DataFrame, start: str = "start_date", end: str = "end_date"
-) -> DataFrame:
-    """Each range cut to its first and last calendar date; ranges without one are dropped.
+@dataclass(frozen=True)
+class DateLookup:
+    """The dates of a calendar, and for every day of its span the calendar date at or after it and
+    at or before it. `first` and `last` are None without dates."""
 
-    The same as expanding to dates and taking their bounds, without the dates: every day of
-    the calendar's span knows the calendar date at or after it and at or before it, and a
-    range looks up its two ends. The lookup has one row per day of the span, ordered within
-    each year; what lies beyond the year comes from a row per year.
-    """
-    days = calendar.select("interval_date").distinct()
-    whole = calendar.agg(F.min("interval_date").alias("a"), F.max("interval_date").alias("b"))
-    bounds = whole.first()
+    dates: DataFrame
+    ends: DataFrame
+    first: date | None
+    last: date | None
+
+    @property
+    def small(self) -> bool:
+        """Whether the lookup, a row per day of the span, may go to every executor."""
+        return self.first is not None and (self.last - self.first).days < BROADCAST_ROWS
+
+
+def _lookup(days: DataFrame) -> DateLookup:
+    """The lookup has one row per day of the span, ordered within each year; what lies beyond the
+    year comes from a row per year."""
+    bounds = days.agg(F.min("interval_date").alias("a"), F.max("interval_date").alias("b")).first()
     if bounds.a is None:
-        return ranges.where(F.lit(False))
-    first, last = F.lit(bounds.a), F.lit(bounds.b)
-    whole = calendar.sparkSession.range(1).select(first.alias("a"), last.alias("b"))
-    # The lookup's size is known from the bounds.
-    small = (bounds.b - bounds.a).days < BROADCAST_ROWS
+        return DateLookup(days, days.where(F.lit(False)), None, None)
+    whole = days.sparkSession.range(1).select(F.lit(bounds.a).alias("a"), F.lit(bounds.b).alias("b"))
     span = whole.select(F.explode(F.sequence("a", "b")).alias("day")).withColumn("_year", F.year("day"))
     years = whole.select(F.explode(F.sequence(F.year("a"), F.year("b"))).alias("_year")).join(
         days.groupBy(F.year("interval_date").alias("_year")).agg(
@@ -163,12 +168,38 @@ def clip_to_dates(
             F.coalesce(F.max("interval_date").over(so_far), "_earlier").alias("previous"),
         )
     )
-    opening = ends.select(F.col("day").alias("_from"), F.col("next").alias("_opens"))
-    closing = ends.select(F.col("day").alias("_to"), F.col("previous").alias("_closes"))
-    opening, closing = (F.broadcast(x) if small else x.hint("merge") for x in (opening, closing))
+    return DateLookup(days, ends, bounds.a, bounds.b)
+
+
+def date_lookup(calendar: DataFrame) -> DateLookup:
+    """The lookup of a calendar as stored tables, for several operators to read: the calendar itself
+    is read once."""
+    found = _lookup(cut(calendar.select("interval_date").distinct()))
+    return replace(found, ends=cut(found.ends)) if found.first is not None else found
+
+
+def dates_of(calendar: DataFrame | DateLookup) -> DataFrame:
+    """The different dates of a calendar."""
+    return calendar.dates if isinstance(calendar, DateLookup) else calendar.select("interval_date").distinct()
+
+
+def clip_to_dates(
+    ranges: DataFrame, calendar: DataFrame | DateLookup, start: str = "start_date", end: str = "end_date"
+) -> DataFrame:
+    """Each range cut to its first and last calendar date; ranges without one are dropped.
+
+    The same as expanding to dates and taking their bounds, without the dates: a range looks up
+    its two ends among the days of the calendar's span.
+    """
+    lookup = calendar if isinstance(calendar, DateLookup) else _lookup(dates_of(calendar))
+    if lookup.first is None:
+        return ranges.where(F.lit(False))
+    opening = lookup.ends.select(F.col("day").alias("_from"), F.col("next").alias("_opens"))
+    closing = lookup.ends.select(F.col("day").alias("_to"), F.col("previous").alias("_closes"))
+    opening, closing = (F.broadcast(x) if lookup.small else x.hint("merge") for x in (opening, closing))
     return (
-        ranges.withColumn("_from", F.greatest(F.col(start), first))
-        .withColumn("_to", F.least(F.col(end), last))
+        ranges.withColumn("_from", F.greatest(F.col(start), F.lit(lookup.first)))
+        .withColumn("_to", F.least(F.col(end), F.lit(lookup.last)))
         .where(F.col(start).isNotNull() & F.col(end).isNotNull())
         .join(opening, "_from").join(closing, "_to")
         .where(F.col("_opens") <= F.col("_closes"))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattledger.functions.plans import sized, sized_all
-from wattledger.operators.calendar import OPEN_END, clip_to_dates, compact_ranges
+from wattledger.operators.calendar import OPEN_END, DateLookup, clip_to_dates, compact_ranges, dates_of
 from wattledger.operators.trades import with_region_number
 
 TERM_VALUES = (
@@ -68,7 +68,7 @@ def _cut_by(contracts: DataFrame, ranges: DataFrame, value: str) -> DataFrame:
 
 
 def ppa_energy_terms(
-    contracts: DataFrame, trades: DataFrame, factors: DataFrame, calendar: DataFrame,
+    contracts: DataFrame, trades: DataFrame, factors: DataFrame, calendar: DataFrame | DateLookup,
     open_toll_to_month_end: bool = False,
 ) -> DataFrame:
     """Offtake energy: price times escalation, daily toll where a monthly one holds.
@@ -109,7 +109,7 @@ def ppa_certificate_terms(
     contracts: DataFrame,
     trades: DataFrame,
     rates: DataFrame,
-    calendar: DataFrame,
+    calendar: DataFrame | DateLookup,
     zero_price_products: tuple[int, ...] = (),
 ) -> DataFrame:
     """Offtake certificates: contracts by the certificate rate of each of their dates.
@@ -121,7 +121,7 @@ def ppa_certificate_terms(
     parties = contracts.select(
         "deal_id", "product_id", "region_number", "start_date", "end_date", "quantity_factor"
     ).join(sides, ["product_id", "deal_id"])
-    dates = calendar.select("interval_date").distinct()
+    dates = dates_of(calendar)
     zero = F.col("product_id").isin(list(zero_price_products)) if zero_price_products else F.lit(False)
     parties = parties.withColumnsRenamed({"start_date": "_opens", "end_date": "_closes"})
     held = ["product_id", "_opens", "_closes"]
@@ -158,14 +158,14 @@ def _retail(trades: DataFrame, regions: DataFrame) -> DataFrame:
     return with_region_number(customers, regions)
 
 
-def retail_energy_terms(trades: DataFrame, regions: DataFrame, calendar: DataFrame) -> DataFrame:
+def retail_energy_terms(trades: DataFrame, regions: DataFrame, calendar: DataFrame | DateLookup) -> DataFrame:
     """Retail energy: the product's dates, priced by the rate calendar."""
     ranges = clip_to_dates(_retail(trades, regions), calendar, "product_start_date", "product_end_date")
     return _terms(_widest(ranges, ["deal_id", "product_id", "buy_sell", "region_number"]), "retail_energy")
 
 
 def retail_certificate_terms(
-    trades: DataFrame, regions: DataFrame, rates: DataFrame, calendar: DataFrame
+    trades: DataFrame, regions: DataFrame, rates: DataFrame, calendar: DataFrame | DateLookup
 ) -> DataFrame:
     """Retail certificates: one row per certificate price and percentage of the product.
 
@@ -174,7 +174,7 @@ def retail_certificate_terms(
     """
     customers = _retail(trades, regions)
     product = ["product_id", "product_start_date", "product_end_date"]
-    days, products = sized_all(calendar.select("interval_date").distinct(), customers.select(*product).distinct())
+    days, products = sized_all(dates_of(calendar), customers.select(*product).distinct())
     rated = (
         rates.join(days, "interval_date", "left_semi")
         .join(products, "product_id")
@@ -191,7 +191,7 @@ def retail_certificate_terms(
 
 
 def wholesale_terms(
-    trades: DataFrame, regions: DataFrame, shapes: DataFrame, calendar: DataFrame,
+    trades: DataFrame, regions: DataFrame, shapes: DataFrame, calendar: DataFrame | DateLookup,
     escalation: DataFrame | None = None,
 ) -> DataFrame:
     """Firm swaps and caps, flat or profiled.

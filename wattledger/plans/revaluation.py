@@ -85,9 +85,10 @@ def update_terms(
 ) -> DataFrame:
     """Stage 1: the settlement terms of the horizon that starts at `as_of`.
 
-    The star is stored in the columns that terms need, and read from there by each of them.
+    The star, in the columns that terms need, and the lookup of the horizon's dates are stored and
+    read from there by each of them.
     """
-    horizon = cal.horizon_filter(calendar, as_of)
+    horizon = cal.date_lookup(cal.horizon_filter(calendar, as_of))
     star = tables.store("trade_star", star.select(*STAR_COLUMNS))
     return tables.store(
         "settlement_terms",
