@@ -4,7 +4,9 @@ The same text runs in Spark SQL and in DuckDB, so a registered query and its ora
 from identical rows. The grid of the derived tables has 4 periods a day, which makes the
 sparse source tables meet in joins; `ticks` and `capacity` are on the real 5-minute grid.
 No view cuts its source: rows that shall find no match differ by value, so work grows with the
-given tables.
+given tables. Ids are grouped by division (`l_suppkey / 4` is a product of four suppliers), so ten
+times the source has ten times the products and units; only ids of small lists in a real book
+(regions, samples, calendars) are remainders.
 """
 
 from __future__ import annotations
@@ -57,7 +59,7 @@ VIEWS: dict[str, str] = {
     "v_spot": """
         select interval_date, period_id, region_number, min(rrp) rrp from v_sims group by all""",
     "v_ticks": """
-        select concat('U', cast(user_id % 10 as string)) duid, ts settlementdate, value from events""",
+        select concat('U', cast(cast(floor(user_id / 3) as int) as string)) duid, ts settlementdate, value from events""",
     "v_availability": """
         select case when value > 250 then duid else concat('X', duid) end duid, settlementdate, value availability
         from v_ticks""",
@@ -87,7 +89,7 @@ VIEWS: dict[str, str] = {
             (3, 'profiled_energy_cap'), (4, 'ppa_energy'), (5, 'asset_toll_energy'), (6, 'generation_lgc'),
             (7, 'retail_energy'), (8, 'retail_lgc')) i(instrument_id, instrument)""",
     "v_terms": """
-        select cast(s_suppkey as int) deal_id, cast(s_suppkey % 40 as int) product_id, instrument, instrument_id,
+        select cast(s_suppkey as int) deal_id, cast(floor(s_suppkey / 4) as int) product_id, instrument, instrument_id,
             (s_suppkey % 2 = 0) buy, cast(n_regionkey + 1 as int) region_number,
             date '1995-01-01' + cast((s_suppkey % 12) * 91 as int) start_date,
             date '1995-01-01' + cast((s_suppkey % 12) * 91 + 700 as int) end_date,
@@ -99,7 +101,7 @@ VIEWS: dict[str, str] = {
         from supplier join nation on s_nationkey = n_nationkey
             join v_instruments on instrument_id = s_suppkey % 9""",
     "v_generation": """
-        select cast(l_suppkey % 40 as int) product_id, cast(l_shipdate as date) interval_date,
+        select cast(floor(l_suppkey / 4) as int) product_id, cast(l_shipdate as date) interval_date,
             cast(l_orderkey % 4 + 1 as int) period_id, sum(l_quantity) / 12 generation_mwh
         from lineitem group by all""",
     "v_gen_profile": """
@@ -108,7 +110,7 @@ VIEWS: dict[str, str] = {
             generation_mwh
         from v_generation""",
     "v_load": """
-        select cast(l_suppkey % 40 as int) product_id, n_nationkey jurisdiction_id,
+        select cast(floor(l_suppkey / 4) as int) product_id, n_nationkey jurisdiction_id,
             cast(n_regionkey + 1 as int) region_number, cast(l_shipdate as date) interval_date,
             cast(l_orderkey % 4 + 1 as int) period_id, sum(l_quantity) load_mwh
         from lineitem join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey
@@ -126,7 +128,7 @@ VIEWS: dict[str, str] = {
             cast(1 as double) price_factor, cast(250 + product_id as double) strike
         from v_generation""",
     "v_halfhour": """
-        select cast(l_suppkey % 10 as int) product_id, n_name jurisdiction, cast(l_shipdate as date) interval_date,
+        select cast(floor(l_suppkey / 4) as int) product_id, n_name jurisdiction, cast(l_shipdate as date) interval_date,
             cast(l_orderkey % 2 + 1 as int) period_id, sum(l_quantity) quantity
         from lineitem join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey
         group by all""",
@@ -137,8 +139,8 @@ VIEWS: dict[str, str] = {
             case when product_id % 3 = 0 then concat('NOT ', jurisdiction) else jurisdiction end jurisdiction
             from v_halfhour)""",
     "v_units": """
-        select cast(s_suppkey as int) deal_id, cast(s_suppkey % 40 as int) product_id,
-            concat('U', cast(s_suppkey % 12 as string)) duid,
+        select cast(s_suppkey as int) deal_id, cast(floor(s_suppkey / 4) as int) product_id,
+            concat('U', cast(cast(floor(s_suppkey / 2) + 1 as int) as string)) duid,
             case when s_suppkey % 2 = 0 then 'Solar' else 'Wind' end fuel,
             case when s_suppkey % 3 = 0 then cast(0 as double) end floor,
             case when s_suppkey % 5 = 0 then cast(-48 as double) end turndown, cast(10 + s_suppkey as double) size_mw,
@@ -157,7 +159,7 @@ VIEWS: dict[str, str] = {
             cast(month(interval_date) as int) month_id, cast(day(interval_date) as int) day_id, period_id
         from v_capacity""",
     "v_unit_detail": """
-        select distinct concat('U', cast(user_id % 8 as string)) duid,
+        select distinct concat('U', cast(cast(floor(user_id / 3) + 2 as int) as string)) duid,
             date '1995-01-01' + cast(event_id % 3 * 1000 as int) start_date,
             date '1997-09-26' + cast(event_id % 3 * 1000 as int) end_date,
             cast(0.95 + event_id % 3 * 0.01 as double) transmissionlossfactor,
@@ -173,13 +175,13 @@ VIEWS: dict[str, str] = {
             date '1996-01-01' + cast(l_linenumber % 3 * 365 as int), cast(3000 + l_linenumber % 3 * 100 as double)
         from lineitem""",
     "v_rate_profiles_raw": """
-        select cast(l_partkey % 10 as int) product_id, 'R' as code, 5 as interval_minutes,
+        select cast(floor(l_partkey / 100) as int) product_id, 'R' as code, 5 as interval_minutes,
             case l_returnflag when 'A' then 'W' when 'N' then '6' else 'S' end day_type,
             cast(l_orderkey % 4 + 1 as int) period_id,
             date '1995-01-01' + cast(l_partkey % 6 * 400 as int) from_date, min(l_extendedprice / l_quantity) as rate
         from lineitem group by all""",
     "v_cert_rates_raw": """
-        select cast(l_suppkey % 40 as int) product_id, cast(l_shipdate as date) interval_date,
+        select cast(floor(l_suppkey / 4) as int) product_id, cast(l_shipdate as date) interval_date,
             cast(25 + l_linenumber as double) lgc_price, l_discount lgc_percentage
         from lineitem""",
     "v_legs": """
@@ -212,8 +214,8 @@ VIEWS: dict[str, str] = {
     "v_outlook": """
         select cast(o_custkey % 60 as int) sample_id,
             case when o_orderkey % 2 = 0 then 'Central' else 'Messy' end scenario, cast(l_suppkey as int) deal_id,
-            s_name deal_name, cast(l_suppkey % 40 as int) product_id,
-            concat('P', cast(l_suppkey % 40 as string)) product_name,
+            s_name deal_name, cast(floor(l_suppkey / 4) as int) product_id,
+            concat('P', cast(cast(floor(l_suppkey / 4) as int) as string)) product_name,
             case substring(o_orderpriority, 1, 1) when '1' then 'Approved' when '2' then 'Confirmed'
                 when '3' then 'Pending' when '4' then 'Hypothetical' else 'Rejected' end status,
             case when l_suppkey % 2 = 0 then 'Buy' else 'Sell' end buy_sell,
