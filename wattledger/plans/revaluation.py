@@ -17,7 +17,7 @@ from wattledger.operators import calendar as cal
 from wattledger.operators import calibrate, market, profiles, report, settle, terms, trades
 from wattledger.sources.checks import check_contract
 from wattledger.sources.schemas import TABLES, instrument_dim, with_instrument
-from wattledger.sources.sinks import read_slices, replace_slice, write_snapshot
+from wattledger.sources.sinks import Folder, read_slices, replace_slice, write_snapshot
 
 
 STAR_COLUMNS = (
@@ -49,10 +49,14 @@ class Tables:
 
     def read(self, name: str) -> DataFrame:
         """The table; with its buckets where this session's catalog knows them, else the same rows
-        from its folder."""
+        from its folder. A declared table that was stored without rows may have no files, and has
+        its declared columns then."""
         if self.spark.catalog.tableExists(self.bucketed(name)):
             return self.spark.table(self.bucketed(name))
-        return self.spark.read.parquet(self.path(name))
+        reader, contract = self.spark.read, TABLES.get(name)
+        if contract is not None and not Folder(self.spark, self.path(name)).files(""):
+            reader = reader.schema(contract.schema)
+        return reader.parquet(self.path(name))
 
     def store(
         self, name: str, df: DataFrame, partition_by: tuple[str, ...] = (), bucket_by: tuple[str, ...] = ()
