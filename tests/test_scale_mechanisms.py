@@ -48,6 +48,27 @@ def test_null_and_escaped_slices_are_replaced_and_cleared(spark):
     assert rows(spark.read.parquet(path), "n") == [(6,), (30,), (40,)]
 
 
+@pytest.mark.parametrize("alone", [0, 200])
+def test_new_folders_move_as_a_whole_and_slices_are_listed_in_few_calls(spark, monkeypatch, alone):
+    """Calls to the store for each slice made a table of thousands of slices slow."""
+    monkeypatch.setattr(sinks, "LISTED_ALONE", alone)
+    path, moved, listed = scratch_path(spark, "levels"), [], []
+    move, names = sinks.Folder.move, sinks.Folder.names
+    monkeypatch.setattr(sinks.Folder, "move", lambda self, *a: moved.append(a[1]) or move(self, *a))
+    monkeypatch.setattr(sinks.Folder, "names", lambda self, *a: listed.append(a) or names(self, *a))
+    table = spark.createDataFrame([(f"k{i // 3}:", i % 3, i) for i in range(12)], "k string, part int, n int")
+    held = lambda: rows(sinks.read_slices(spark, path, table.schema), "k", "part", "n")
+    sinks.replace_slice(table, path, ["k", "part"])
+    assert held() == rows(table, "k", "part", "n")
+    assert len(moved) == 4 + 1 and len(listed) == 1
+    # Old, cleared and new slices below old and new folders, one of them named although it never was.
+    later = spark.createDataFrame([("k0:", 1, 100), ("k0:", 7, 101), ("new", 0, 102)], "k string, part int, n int")
+    sinks.replace_slice(later, path, ["k", "part"], [("k3:", 2), (None, 0)])
+    kept = [r for r in rows(table, "k", "part", "n") if r[:2] not in {("k0:", 1), ("k3:", 2)}]
+    assert held() == sorted([*kept, *rows(later, "k", "part", "n")])
+    assert rows(spark.read.parquet(path), "n") == sorted((r[2],) for r in held())
+
+
 class Lost(Exception):
     pass
 
