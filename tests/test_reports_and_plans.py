@@ -122,6 +122,53 @@ def test_unit_without_meter_gets_the_regional_factor(spark):
     assert rows(got, "product_id", "period_id", "generation_mwh") == [(10, 1, 0.5), (20, 1, 0.25), (20, 2, 1.0)]
 
 
+def test_profiles_are_not_shuffled_by_contract_and_equal_plain_rows(spark, monkeypatch):
+    """The result has a row for each contract and interval: only what is read may be moved."""
+    from datetime import datetime
+
+    monkeypatch.setattr(profiles, "METERS_A_BUCKET", 2)
+    units = [
+        (p, d, r, f, float(10 + p)) for p, (d, r, f) in enumerate(
+            [(None, 1, "Solar"), ("U", 1, "Solar"), ("U", 1, "Solar"), ("U", 2, "Wind"), ("V", 1, "Wind"), ("W", 3, "Wind"),
+             ("X", None, "Solar"), ("Y", 1, None), ("Z", 1, "Solar"), ("U", 1, "Wind")]
+        )
+    ]
+    day = date(2024, 5, 1)
+    capacity = [(1, day, 1, 0.5, 0.1), (1, day, 1, 0.25, 0.2), (1, day, 2, None, 0.3), (2, day, 1, 0.5, None), (1, day, 9, 0.9, 0.9)]
+    at = lambda p: datetime(2024, 5, 1, 0, 5 * p)
+    scada = [("U", at(1), 6.0), ("U", at(1), 12.0), ("V", at(2), 24.0), ("W", at(1), 36.0), ("X", at(1), 1.0), ("Y", at(1), 1.0), ("U", at(3), None), (None, at(1), 5.0)]
+    dispatch = [("U", at(1), 3.0), ("W", at(2), 48.0), ("V", at(2), None), ("Z", at(9), 9.0)]
+    loss = {"U": 0.5, "W": 0.25}
+
+    expected = []
+    for product, duid, region, fuel, size in units:
+        for period in (1, 2, 3):
+            factors = [c[3 if fuel == "Solar" else 4] for c in capacity if c[0] == region and c[2] == period]
+            top = lambda xs: max((x for x in xs if x is not None), default=None)
+            read = [top(v for d, t, v in source if d == duid and d is not None and t == at(period)) for source in (dispatch, scada)]
+            factor = top(factors) if fuel else None
+            value = next((v for v in (*read, None if factor is None else factor * size) if v is not None), None)
+            if value is not None and region is not None and fuel is not None:
+                expected += [(m, product, period, value / 12 * loss.get(duid, 1.0)) for m in (1, 2)]
+
+    frame = spark.createDataFrame
+    reading = "duid string, settlementdate timestamp_ntz, {} double"
+    got = profiles.generation_profiles(
+        frame([(2024, 5, 1, p) for p in (1, 2, 3, 3)], "year int, month_id int, day_id int, period_id int"),
+        frame([(1, 2024), (2, 2024), (1, 2024), (1, None)], "model_id int, gen_reference_year int"),
+        frame([(p, *u) for p, *u in units], "product_id int, duid string, region_number int, fuel string, size_mw double"),
+        frame(scada, reading.format("scadavalue")), frame(dispatch, reading.format("availability")),
+        frame(capacity, "region_number int, interval_date date, period_id int, solar_avail_cf double, wind_avail_cf double"),
+        frame(
+            [(d, day, day, f, 1.0) for d, f in loss.items()],
+            "duid string, start_date date, end_date date, transmissionlossfactor double, distributionlossfactor double",
+        ),
+    )
+    assert rows(got, "model_id", "product_id", "period_id", "generation_mwh") == sorted(expected)
+    plan = got._jdf.queryExecution().executedPlan().toString().splitlines()
+    assert not [line for line in plan if "hashpartitioning(duid" in line and "region_number" in line]
+
+
 def test_unknown_model_raises(inputs):
     with pytest.raises(ValueError):
         profiles.simulations_for(inputs.sims, inputs.models, "absent")
