@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.views import AS_OF, Inputs
-from wattledger.functions.plans import cut, scratch_path
+from wattledger.functions.plans import cut, cut_by, scratch_path
 from wattledger.operators import calendar as cal
 from wattledger.operators import calibrate, market, profiles, report, settle, terms, trades
 from wattledger.plans import incremental, revaluation
@@ -119,9 +119,16 @@ def storage_rows(i: Inputs) -> DataFrame:
     return profiles.storage_profiles(dispatch_rows(i), i.storage, i.unit_detail, 1)
 
 
+def outlook(i: Inputs) -> DataFrame:
+    """The outlook, stored by deal once a query: curves are sums per deal, and none shuffles its rows again."""
+    if "_outlook" not in i.__dict__:
+        i._outlook = cut_by(i.outlook, ["deal_id"])
+    return i._outlook
+
+
 def clean(i: Inputs) -> DataFrame:
     """Outlook rows with quarter and instrument, as the outlook aggregates take them."""
-    return report.product_instrument(report.with_year_quarter(i.outlook, month=True), i.product_instrument)
+    return report.product_instrument(report.with_year_quarter(outlook(i), month=True), i.product_instrument)
 
 
 def outlook_cents(df: DataFrame) -> DataFrame:
@@ -137,7 +144,7 @@ def report_cents(df: DataFrame) -> DataFrame:
 
 def combined(i: Inputs) -> DataFrame:
     rows = clean(i)
-    ranks = cut(report.sample_rank(i.outlook))
+    ranks = cut(report.sample_rank(outlook(i)))
     return report.combine_curves(
         [
             report.outlook_simple(rows, "hindcast"),
@@ -705,7 +712,7 @@ def _(i):
 
 @query("r10_outlook_at_rank")
 def _(i):
-    ranks = cut(report.sample_rank(i.outlook))
+    ranks = cut(report.sample_rank(outlook(i)))
     p90 = report.outlook_at_rank(clean(i), ranks, report.P90_RANK, "p90")
     p10 = report.outlook_at_rank(clean(i), ranks, report.P10_RANK, "p10")
     return outlook_cents(p90.unionByName(p10))
@@ -722,8 +729,8 @@ def _(i):
         rules=RULES, excluded_deals=EXCLUDED, excluded_group=("BESS", 2, 1998),
     )
     start, end = date(1996, 1, 1), date(2000, 12, 31)
-    ranks = cut(report.sample_rank(i.outlook))
-    args = (i.outlook, i.product_instrument)
+    ranks = cut(report.sample_rank(outlook(i)))
+    args = (outlook(i), i.product_instrument)
     return outlook_cents(
         report.combine_curves(
             [

@@ -13,12 +13,18 @@ from __future__ import annotations
 
 import re
 
+from pyspark.sql import functions as F
+
+from wattledger.functions.plans import fits
+
 BASE_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
 )
 
 AS_OF = "1998-05-20"
 
+SUPPLIERS = 500_000
+
 VIEWS: dict[str, str] = {
     "v_region": """
         select cast(r_regionkey + 1 as int) region_number, concat(r_name, '1') regionid, r_name node
@@ -283,7 +289,11 @@ class Inputs:
         self._tag = re.sub(r"\W", "_", sf_dir)
         for table in BASE_TABLES:
             if not spark.catalog.tableExists(f"{table}{self._tag}"):
-                spark.read.parquet(f"{sf_dir}/{table}.parquet").createTempView(f"{table}{self._tag}")
+                rows = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+                # A narrow list that most views join: counted, and broadcast if it is not too long.
+                if table == "supplier" and fits(rows, SUPPLIERS):
+                    rows = F.broadcast(rows)
+                rows.createTempView(f"{table}{self._tag}")
 
     def __getattr__(self, name: str):
         return self.sql(f"select * from v_{name}")

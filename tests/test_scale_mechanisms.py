@@ -8,11 +8,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from checks import queries as q
-from conftest import rows
-from wattledger.functions.plans import cut, scratch_path
+from conftest import SMALL, rows
+from wattledger.functions.plans import cut, cut_by, scratch_path
 from wattledger.functions.sweep import sweep_join
 from wattledger.operators import calendar as cal
-from wattledger.operators import calibrate, settle, terms, trades
+from wattledger.operators import calibrate, report, settle, terms, trades
 from wattledger.sources import sinks
 from wattledger.sources.checks import check_contract
 from wattledger.sources.schemas import TABLES
@@ -108,6 +108,35 @@ def test_a_lost_driver_leaves_old_or_new_slices(spark, monkeypatch, step, after)
     assert rows(spark.read.parquet(path), "n") == sorted((n,) for n in expected.values())
 
 
+# Outlook
+
+
+def test_a_table_stored_by_key_is_summed_where_it_lies(spark):
+    for found in ([(None, 1.0), ("a", 2.0), ("a", 3.0), ("b:/", None)], []):
+        df = spark.createDataFrame(found, "k string, v double")
+        held = cut_by(df, ["k"])
+        assert rows(held) == rows(df) and held.schema == df.schema
+        sums = held.groupBy("k", "v").agg(F.count(F.lit(1)).alias("n")).groupBy("k").agg(F.sum("v").alias("v"))
+        assert "Exchange" not in executed(sums)
+        assert rows(sums) == rows(df.groupBy("k").agg(F.sum("v").alias("v")))
+
+
+@pytest.mark.parametrize("name", ["r7_outlook_sample_mean", "r12_clean_and_aggregate", "r13_combine_curves", "r14_outlook_report"])
+def test_curves_do_not_shuffle_the_outlook_again(spark, name):
+    """Its rows are shuffled once a query, when it is stored by deal, and not by each curve."""
+    assert "hashpartitioning(deal_id" not in executed(q.QUERIES[name](spark, SMALL))
+
+
+def test_a_long_product_list_does_not_shuffle_the_rows(spark):
+    """Only the products that occur are taken of it."""
+    info = spark.range(250_000).selectExpr("cast(id as int) product_id", "concat('I', id % 3) instrument")
+    info = info.unionByName(spark.createDataFrame([(7, "again"), (7, "again"), (None, "null")], "product_id int, instrument string"))
+    df = spark.createDataFrame([(7, 1), (8, 2), (None, 3), (-1, 4), (8, 2)], "product_id int, n int")
+    got = report.product_instrument(df, info)
+    assert "SortMergeJoin" not in executed(got)
+    assert rows(got, "n", "instrument") == [(1, "I1"), (1, "again"), (2, "I2"), (2, "I2"), (3, None), (4, None)]
+
+
 # Sweep
 
 
